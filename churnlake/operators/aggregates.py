@@ -203,9 +203,8 @@ def describe_numeric(df: DataFrame, columns: Sequence[str], key: str) -> DataFra
     )
     head = df.agg(stats.alias("_s")).select(F.inline("_s"))
     quarters = quantiles(df, columns, [key], {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-    rounded = [F.round(q, 2).alias(q) for q in ("p25", "p50", "p75")]
     # Both sides hold one row per described column.
-    return head.join(F.broadcast(quarters.select("column", *rounded)), "column", "left")
+    return head.join(F.broadcast(quarters), "column", "left")
 
 
 def profile_columns(df: DataFrame) -> DataFrame:

@@ -145,20 +145,27 @@ def cte_chain(df: DataFrame, min_charge: float, n: int) -> DataFrame:
     return order_limit(chosen, [("monthly_charges", "desc"), ("customer_id", "asc")], n)
 
 
-def union_all_segments(parts: Mapping[str, DataFrame], name: str = "segment") -> DataFrame:
-    """Labelled selections stacked by column name, duplicates kept."""
-    labelled = [df.select(F.lit(label).alias(name), "*") for label, df in parts.items()]
-    return reduce(DataFrame.unionByName, labelled)
+def union_all_segments(df: DataFrame, parts: Mapping[str, Column], name: str = "segment") -> DataFrame:
+    """UNION ALL of labelled selections from one frame, in one scan.
+
+    Each row is emitted once for every selection it belongs to, so a row in two of them
+    appears twice, as it would in the union.
+    """
+    labels = F.array_compact(F.array(*[F.when(cond, label) for label, cond in parts.items()]))
+    return df.select(F.explode(labels).alias(name), "*")
+
 
+def union_all_count(df: DataFrame, parts: Sequence[Column], name: str) -> DataFrame:
+    """Row count of the same stack; a row in two parts counts twice."""
+    return df.agg(reduce(lambda a, b: a + b, [F.count_if(cond) for cond in parts]).alias(name))
 
-def union_all_count(parts: Sequence[DataFrame], name: str) -> DataFrame:
-    """Row count of a stack; a row in two parts counts twice."""
-    counts = [p.agg(F.count(F.lit(1)).alias("n")) for p in parts]
-    return reduce(DataFrame.union, counts).agg(F.sum("n").cast("bigint").alias(name))
+
+def stack_frames(parts: Mapping[str, DataFrame], name: str = "segment") -> DataFrame:
+    """UNION ALL of different frames by column name, each labelled."""
+    labelled = [df.select(F.lit(label).alias(name), "*") for label, df in parts.items()]
+    return reduce(DataFrame.unionByName, labelled)
 
 
 def concat_frames(df: DataFrame, flag: str, yes: str, no: str, name: str = "segment") -> DataFrame:
     """Split by a 0/1 flag, tag the halves and stack them; a null flag belongs to neither."""
-    return union_all_segments(
-        {yes: df.filter(F.col(flag) == 1), no: df.filter(F.col(flag) == 0)}, name
-    )
+    return union_all_segments(df, {yes: F.col(flag) == 1, no: F.col(flag) == 0}, name)

@@ -116,7 +116,7 @@ def vs_partition_avg(df: DataFrame) -> DataFrame:
     return rows.select(
         "customer_id",
         "contract",
-        "monthly_charges",
+        as_double("monthly_charges").alias("monthly_charges"),
         as_double("_avg").alias("avg_in_contract"),
         F.round(overall, 2).cast("double").alias("overall_avg"),
         as_double(F.col("monthly_charges") - F.col("_avg")).alias("vs_contract_avg"),
@@ -219,7 +219,6 @@ def ranked_customers(df: DataFrame, key: str) -> DataFrame:
         [("monthly_charges", "asc")],
         [key],
         row_number="_row",
-        rank="_low",
         ntile={"charge_quartile": 4},
     )
     ties = placed.groupBy("monthly_charges").agg(F.max("_row").alias("_last"), F.count(F.lit(1)).alias("_ties"))
@@ -228,7 +227,7 @@ def ranked_customers(df: DataFrame, key: str) -> DataFrame:
     out = placed.join(tied, "monthly_charges", "left").withColumn(
         "revenue_rank", n - F.coalesce("_last", "_row") + 1
     )
-    out = with_group_mean(out.drop("_row", "_low", "_last"), "contract", "monthly_charges", "_mean")
+    out = with_group_mean(out.drop("_row", "_last"), "contract", "monthly_charges", "_mean")
     return out.withColumns(
         {
             "contract_avg_charge": F.round("_mean", 2).cast("double"),
