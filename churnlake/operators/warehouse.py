@@ -24,7 +24,7 @@ from churnlake.functions.scoring import (
 from churnlake.operators.aggregates import executive_kpis, measures
 from churnlake.operators.joins import anti_join
 from churnlake.plans.bounded import small_or_plain
-from churnlake.plans.ordering import number_rows
+from churnlake.plans.ordering import number_rows, number_small
 
 
 def staging_insert(df: DataFrame, staged_at: str) -> DataFrame:
@@ -104,59 +104,57 @@ def refreshed_scores(scores: DataFrame, min_score: int = 6) -> DataFrame:
     )
 
 
-def dim_build(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
+def dim_build(df: DataFrame, columns: Sequence[str], key: str, small: bool = False) -> DataFrame:
     """Distinct rows of the columns with a dense surrogate key in their order.
 
     The keys come from the distributed ordering, so a dimension as large as the fact
-    table does not pass through one task.
+    table does not pass through one task. ``small`` tries a plain numbering first, which
+    falls back to the same ordering when the dimension turns out to be large.
     """
     rows = df.select(*columns).distinct()
-    numbered = number_rows(rows, [(c, "asc") for c in columns], [], key)
+    by = [(c, "asc") for c in columns]
+    numbered = number_small(rows, by, key) if small else number_rows(rows, by, [], key)
     return numbered.select(key, *columns)
 
 
 def dim_insert_ignore(df: DataFrame, unique: Sequence[str], others: Sequence[str], key: str) -> DataFrame:
     """One row per unique combination; of several the smallest remaining values are kept."""
     kept = df.groupBy(*unique).agg(F.min(F.struct(*others)).alias("_o")).select(*unique, "_o.*")
-    return number_rows(kept, [(c, "asc") for c in unique], [], key).select(key, *unique, *others)
+    return number_small(kept, [(c, "asc") for c in unique], key).select(key, *unique, *others)
 
 
-def fact_build(df: DataFrame, customers: DataFrame, plans: DataFrame, payments: DataFrame) -> DataFrame:
-    """Measures with the three surrogate keys; an unknown natural key leaves a null.
+def fact_build(
+    df: DataFrame,
+    plans: DataFrame | None = None,
+    payments: DataFrame | None = None,
+    customers: DataFrame | None = None,
+) -> DataFrame:
+    """Measures with the surrogate key of each given dimension; an unknown natural key
+    leaves a null.
 
     Plans and payments are broadcast after a size check; customers are as many as the
     facts and are joined by shuffle on the natural key.
     """
-    plan = small_or_plain(
-        plans.select(
-            "plan_key",
-            F.col("contract").alias("_c"),
-            F.col("internet_service").alias("_i"),
-            F.col("phone_service").alias("_p"),
-        )
-    )
-    same_plan = (
-        (F.col("contract") == F.col("_c"))
-        & (F.col("internet_service") == F.col("_i"))
-        & (F.col("phone_service") == F.col("_p"))
-    )
-    payment = small_or_plain(payments.select("payment_key", "payment_method"))
-    return (
-        df.join(plan, same_plan, "left")
-        .join(payment, "payment_method", "left")
-        .join(customers.select("customer_key", "customer_id"), "customer_id", "left")
-        .select(
-            "customer_key",
-            "plan_key",
-            "payment_key",
-            "customer_id",
-            "monthly_charges",
-            "total_charges",
-            F.col("tenure").alias("tenure_months"),
-            F.col("churn").alias("is_churned"),
-            risk_score_full().alias("churn_risk_score"),
-            lifetime_value().alias("lifetime_value"),
-        )
+    out, keys = df, []
+    if plans is not None:
+        natural = ["contract", "internet_service", "phone_service"]
+        out = out.join(small_or_plain(plans.select("plan_key", *natural)), natural, "left")
+        keys.append("plan_key")
+    if payments is not None:
+        out = out.join(small_or_plain(payments.select("payment_key", "payment_method")), "payment_method", "left")
+        keys.append("payment_key")
+    if customers is not None:
+        out = out.join(customers.select("customer_key", "customer_id"), "customer_id", "left")
+        keys.append("customer_key")
+    return out.select(
+        *keys,
+        "customer_id",
+        "monthly_charges",
+        "total_charges",
+        F.col("tenure").alias("tenure_months"),
+        F.col("churn").alias("is_churned"),
+        risk_score_full().alias("churn_risk_score"),
+        lifetime_value().alias("lifetime_value"),
     )
 
 

@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlake.plans.bounded import freeze, small_or_plain
+from churnlake.plans.bounded import BROADCAST_ROWS, freeze, small_or_plain
 
 # monotonically_increasing_id keeps the position inside the partition in its low 33 bits.
 _POSITION_BITS = 33
@@ -69,6 +69,20 @@ def number_rows(df: DataFrame, by: Order, tie: Sequence[str], name: str = "row_n
     )
 
 
+def number_small(df: DataFrame, by: Order, name: str = "row_number") -> DataFrame:
+    """``number_rows`` for a frame that is expected to be small, such as a dimension.
+
+    Up to ``BROADCAST_ROWS`` rows are numbered by one plain window; a larger frame is
+    ordered like any table. ``by`` must identify a row.
+    """
+    rows = df.limit(BROADCAST_ROWS + 1).collect()
+    if len(rows) > BROADCAST_ROWS:
+        return number_rows(df, by, [], name).drop("_total")
+    w = Window.orderBy(*_sort_columns(by, []))
+    local = df.sparkSession.createDataFrame(rows, df.schema)
+    return local.withColumn(name, F.row_number().over(w).cast("bigint"))
+
+
 def ntile_of(position: Column, total: Column, tiles: int) -> Column:
     """Bucket of a 1-based position; the first ``total mod tiles`` buckets get one extra row."""
     k = F.lit(tiles)
