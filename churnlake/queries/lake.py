@@ -47,10 +47,7 @@ def read_csv_tolerant(spark, base):
     line = F.concat_ws(",", *fields, F.when(F.col("turn") % 2 == 0, F.replace(quoted, F.lit("\\\\"), F.lit("\\"))))
     table(spark, base, "conversations").select(line.alias("value")).write.text(path)
     schema = "conv_id bigint, turn bigint, role string, text string"
-    full = source.T.StructType.fromDDL(schema).add(source.CORRUPT, "string")
-    df = (
-        spark.read.schema(full).option("multiLine", True).option("columnNameOfCorruptRecord", source.CORRUPT).csv(path)
-    )
+    df = source.read_csv_tolerant(spark, path, schema, header=False)
     return df.select("conv_id", "turn", "role", "text", F.col(source.CORRUPT).isNotNull().alias("short_row"))
 
 
@@ -67,8 +64,8 @@ def read_json_documents(spark, base):
     )
     payloads.write.json(path)
     schema = "nation int, page bigint, items array<struct<id: bigint, name: string, balance: double>>"
-    docs = spark.read.schema(schema).json(path)
-    return docs.select("nation", F.inline("items"))
+    docs = source.read_json_documents(spark, path, "items", schema, one_per_file=False)
+    return docs.select(F.col("doc_nation").alias("nation"), "id", "name", "balance")
 
 
 @register("read_or_empty", f"{_PART}")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +26,11 @@ def read_csv_schema(spark: SparkSession, path: str, schema: str | T.StructType)
 
 
 def read_csv_tolerant(
-    spark: SparkSession, path: str, schema: str | T.StructType, quoted_newlines: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: str | T.StructType,
+    quoted_newlines: bool = True,
+    header: bool = True,
 ) -> DataFrame:
     """Rows with missing trailing columns are kept with nulls; the raw line of a malformed
     row is in ``_corrupt_record``. Quoted newlines make each file one unsplit read."""
@@ -35,7 +38,7 @@ def read_csv_tolerant(
     full.add(CORRUPT, "string")
     return (
         spark.read.schema(full)
-        .option("header", True)
+        .option("header", header)
         .option("multiLine", quoted_newlines)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
@@ -43,9 +46,15 @@ def read_csv_tolerant(
     )
 
 
-def read_json_documents(spark: SparkSession, path: str, items: str, schema: str | None = None) -> DataFrame:
-    """Payload documents ``{..., items: [...]}`` to one row per item, keeping the envelope."""
-    reader = spark.read.option("multiLine", True)
+def read_json_documents(
+    spark: SparkSession, path: str, items: str, schema: str | None = None, one_per_file: bool = True
+) -> DataFrame:
+    """Payload documents ``{..., items: [...]}`` to one row per item, keeping the envelope.
+
+    A file holds one document over several lines, or, for large inputs that should split,
+    one document per line.
+    """
+    reader = spark.read.option("multiLine", one_per_file)
     docs = (reader.schema(schema) if schema else reader).json(path)
     envelope = [c for c in docs.columns if c != items]
     return docs.select(*[F.col(c).alias(f"doc_{c}") for c in envelope], F.inline(items))
@@ -105,8 +114,8 @@ def lake_inventory(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-# Types of the inferred schema that are kept; every other type becomes text.
-SAMPLE_TYPES: Mapping[str, str] = {"int": "int", "bigint": "bigint", "double": "double"}
+# Inferred types that are kept; every other type becomes text.
+SAMPLE_TYPES = ("int", "bigint", "double")
 
 
 def schema_from_sample(spark: SparkSession, file: str) -> T.StructType:
@@ -114,5 +123,6 @@ def schema_from_sample(spark: SparkSession, file: str) -> T.StructType:
     seen = spark.read.csv(file, header=True, inferSchema=True).schema
     out = T.StructType()
     for f in seen.fields:
-        out.add(f.name.lower().replace(" ", "_"), SAMPLE_TYPES.get(f.dataType.simpleString(), "string"))
+        kept = f.dataType if f.dataType.simpleString() in SAMPLE_TYPES else T.StringType()
+        out.add(f.name.lower().replace(" ", "_"), kept)
     return out
