@@ -6,7 +6,7 @@ third of all rows costs one partial row per task, not a task of its own.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -32,18 +32,17 @@ from churnlake.plans.ordering import quantiles
 
 def measures(*names: str, count_as: str = "total") -> list[Column]:
     """Aggregates by report name."""
-    gone, kept = F.col("churn") == 1, F.col("churn") == 0
-    known: Mapping[str, Column] = {
-        count_as: F.count(F.lit(1)),
-        "churned": churned_count(),
-        "retained": F.count_if(kept),
-        "churn_rate_pct": churn_rate(),
-        "avg_monthly": mean("monthly_charges"),
-        "avg_tenure": mean("tenure", 1),
-        "total_revenue": total("monthly_charges"),
-        "revenue_at_risk": total_where(gone, "monthly_charges"),
+    known: Mapping[str, Callable[[], Column]] = {
+        count_as: lambda: F.count(F.lit(1)),
+        "churned": churned_count,
+        "retained": lambda: F.count_if(F.col("churn") == 0),
+        "churn_rate_pct": churn_rate,
+        "avg_monthly": lambda: mean("monthly_charges"),
+        "avg_tenure": lambda: mean("tenure", 1),
+        "total_revenue": lambda: total("monthly_charges"),
+        "revenue_at_risk": lambda: total_where(F.col("churn") == 1, "monthly_charges"),
     }
-    return [known[n].alias(n) for n in names]
+    return [known[n]().alias(n) for n in names]
 
 
 def churn_by(df: DataFrame, keys: Sequence[str], names: Sequence[str], count_as: str = "total") -> DataFrame:

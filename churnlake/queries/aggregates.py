@@ -245,7 +245,7 @@ def describe_numeric(spark, base):
     return op.describe_numeric(df, ["tenure", "monthly_charges", "total_charges"], "customer_id")
 
 
-_PROFILED = {"customer_id": "bigint", "contract": "string", "tenure": "int", "monthly_charges": "decimal(18,2)", "total_charges": "decimal(28,2)", "churn": "int"}
+_PROFILED = {"customer_id": "bigint", "contract": "string", "tenure": "int", "monthly_charges": "decimal(18,2)", "total_charges": "decimal(20,2)", "churn": "int"}
 
 
 @register("profile_columns", q.subs(" UNION ALL ".join(

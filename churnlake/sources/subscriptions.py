@@ -14,10 +14,9 @@ task in the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlake.functions.numbers import money
 from churnlake.functions.scoring import charge_band, tenure_group
 from churnlake.sources.tables import table
 
@@ -27,58 +26,29 @@ REFERENCE_MONTH = 2001 * 12 + 8
 # The charges of this data are about 3,900 times a monthly phone bill.
 CHARGE_UNIT = 3900
 
-def _order_columns() -> dict[str, Column]:
-    month = F.year("o_orderdate") * 12 + F.month("o_orderdate")
-    charge = money("o_totalprice")
-    return {
-        "customer_id": F.col("o_orderkey"),
-        "owner_id": F.col("o_custkey"),
-        "start_date": F.to_date("o_orderdate"),
-        "contract": F.when(F.col("o_orderstatus") == "F", "Month-to-month")
-        .when(F.col("o_orderstatus") == "O", "One year")
-        .otherwise("Two year"),
-        "payment_method": F.when(F.col("o_orderpriority") == "1-URGENT", "Electronic check")
-        .when(F.col("o_orderpriority") == "2-HIGH", "Mailed check")
-        .when(F.col("o_orderpriority") == "3-MEDIUM", "Bank transfer (automatic)")
-        .otherwise("Credit card (automatic)"),
-        "tenure": (F.lit(REFERENCE_MONTH) - month).cast("int"),
-        "monthly_charges": charge,
-    }
-
-
-def _customer_columns() -> dict[str, Column]:
-    segment = F.col("c_mktsegment")
-    return {
-        "internet_service": F.when(segment.isin("BUILDING", "AUTOMOBILE"), "Fiber optic")
-        .when(segment.isin("MACHINERY", "HOUSEHOLD"), "DSL")
-        .otherwise("No"),
-        "senior_citizen": F.when(F.col("c_acctbal") >= 7500, "Yes").otherwise("No"),
-        "phone_service": F.when(F.col("c_nationkey") >= 5, "Yes").otherwise("No"),
-    }
-
-
-def _line_columns() -> dict[str, Column]:
-    return {
-        "churn": F.when(F.col("returned") * 2 > F.col("gross"), 1).otherwise(0),
-        "total_charges": F.col("gross"),
-    }
-
-
-def _derived_columns() -> dict[str, Column]:
-    return {
-        "tenure_group": tenure_group(),
-        "charge_band": charge_band(F.col("monthly_charges"), CHARGE_UNIT),
-    }
-
-
-def line_totals(lineitem: DataFrame) -> DataFrame:
-    """Gross and returned value per order."""
-    price = money("l_extendedprice")
-    back = F.when(F.col("l_returnflag") == "R", price).otherwise(F.lit(0).cast("decimal(18,2)"))
-    return lineitem.groupBy("l_orderkey").agg(
-        F.sum(back).cast("decimal(28,2)").alias("returned"), F.sum(price).cast("decimal(28,2)").alias("gross")
-    )
-
+# Columns by the table that holds their facts.
+FROM_ORDERS = {
+    "customer_id": "o_orderkey",
+    "owner_id": "o_custkey",
+    "start_date": "to_date(o_orderdate)",
+    "contract": "CASE o_orderstatus WHEN 'F' THEN 'Month-to-month' WHEN 'O' THEN 'One year' ELSE 'Two year' END",
+    "payment_method": """CASE o_orderpriority WHEN '1-URGENT' THEN 'Electronic check' WHEN '2-HIGH' THEN 'Mailed check'
+        WHEN '3-MEDIUM' THEN 'Bank transfer (automatic)' ELSE 'Credit card (automatic)' END""",
+    "tenure": f"CAST({REFERENCE_MONTH} - (year(o_orderdate) * 12 + month(o_orderdate)) AS INT)",
+    "monthly_charges": "CAST(o_totalprice AS DECIMAL(18,2))",
+}
+FROM_CUSTOMER = {
+    "internet_service": """CASE WHEN c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN 'Fiber optic'
+        WHEN c_mktsegment IN ('MACHINERY', 'HOUSEHOLD') THEN 'DSL' ELSE 'No' END""",
+    "senior_citizen": "CASE WHEN c_acctbal >= 7500 THEN 'Yes' ELSE 'No' END",
+    "phone_service": "CASE WHEN c_nationkey >= 5 THEN 'Yes' ELSE 'No' END",
+}
+FROM_LINES = {
+    "churn": "CASE WHEN returned_cents * 2 > gross_cents THEN 1 ELSE 0 END",
+    "total_charges": "CAST(CAST(gross_cents AS DECIMAL(20,0)) / 100 AS DECIMAL(20,2))",
+}
+# Bands, and the column each is cut from.
+DERIVED = {"tenure_group": "tenure", "charge_band": "monthly_charges"}
 
 ALL_COLUMNS = [
     "customer_id",
@@ -92,37 +62,45 @@ ALL_COLUMNS = [
 ]
 
 
+def line_totals(lineitem: DataFrame) -> DataFrame:
+    """Gross and returned value per order in whole cents.
+
+    Prices carry two decimals, so cents are exact, and a sum of longs stays in the compact
+    aggregation buffer where a wide decimal would not.
+    """
+    cents = "CAST(rint(l_extendedprice * 100) AS BIGINT)"
+    return lineitem.groupBy("l_orderkey").agg(
+        F.expr(f"sum(CASE WHEN l_returnflag = 'R' THEN {cents} ELSE 0L END) AS returned_cents"),
+        F.expr(f"sum({cents}) AS gross_cents"),
+    )
+
+
+def _columns(source: dict[str, str], needed: set[str]) -> list[str]:
+    return [f"{value} AS {name}" for name, value in source.items() if name in needed]
+
+
 def subscriptions(spark: SparkSession, base: str, *columns: str) -> DataFrame:
     """The view with the named columns; the eight core columns when none are named."""
     wanted = list(columns) or ALL_COLUMNS
-    orders, household, lines, derived = (
-        _order_columns(),
-        _customer_columns(),
-        _line_columns(),
-        _derived_columns(),
-    )
-    needed = set(wanted)
-    if "tenure_group" in needed:
-        needed.add("tenure")
-    if "charge_band" in needed:
-        needed.add("monthly_charges")
-    with_lines = bool(needed & lines.keys())
-    with_household = bool(needed & household.keys())
-
-    keep = needed & orders.keys()
-    keep |= {"customer_id"} if with_lines else set()
-    keep |= {"owner_id"} if with_household else set()
-    df = table(spark, base, "orders").select(*[orders[c].alias(c) for c in orders if c in keep])
+    needed = set(wanted) | {DERIVED[c] for c in wanted if c in DERIVED}
+    with_lines, with_household = (bool(needed & s.keys()) for s in (FROM_LINES, FROM_CUSTOMER))
+    keys = {"customer_id"} if with_lines else set()
+    keys |= {"owner_id"} if with_household else set()
+
+    df = table(spark, base, "orders").selectExpr(*_columns(FROM_ORDERS, needed | keys))
+    added = []
     if with_household:
-        facts = table(spark, base, "customer").select(
-            F.col("c_custkey"), *[household[c].alias(c) for c in household if c in needed]
-        )
-        df = df.join(facts, F.col("owner_id") == F.col("c_custkey"), "left").drop("c_custkey")
-        df = df.fillna("No", [c for c in household if c in needed])
+        facts = [c for c in ("c_mktsegment", "c_acctbal", "c_nationkey") if any(c in FROM_CUSTOMER.get(n, "") for n in needed)]
+        side = table(spark, base, "customer").select("c_custkey", *facts)
+        df = df.join(side, F.expr("owner_id = c_custkey"), "left")
+        added += _columns(FROM_CUSTOMER, needed)
     if with_lines:
-        df = df.join(
-            line_totals(table(spark, base, "lineitem")), F.col("customer_id") == F.col("l_orderkey"), "left"
-        )
-        df = df.withColumns({c: lines[c] for c in lines if c in needed})
-    df = df.withColumns({c: derived[c] for c in derived if c in needed})
+        df = df.join(line_totals(table(spark, base, "lineitem")), F.expr("customer_id = l_orderkey"), "left")
+        added += _columns(FROM_LINES, needed)
+    if added:
+        df = df.selectExpr(*[c for c in FROM_ORDERS if c in needed], *added)
+    if "tenure_group" in needed:
+        df = df.withColumn("tenure_group", tenure_group())
+    if "charge_band" in needed:
+        df = df.withColumn("charge_band", charge_band(F.col("monthly_charges"), CHARGE_UNIT))
     return df.select(*wanted)
