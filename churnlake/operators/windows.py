@@ -1,8 +1,8 @@
 """Rankings, running figures and comparisons with a group.
 
-Row-level global rankings go through ``plans.ordering``. A window without ``partitionBy``
-appears below only over aggregates whose row count is fixed by their domain: contracts,
-lifecycle stages, or months of tenure.
+Row-level global rankings and running sums over any key go through ``plans.ordering``. A
+window without ``partitionBy`` appears below only over aggregates whose row count is fixed
+by their domain: lifecycle stages, or months of tenure up to a limit.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from churnlake.functions.numbers import (
 )
 from churnlake.operators.relational import Order, sort_keys
 from churnlake.plans.bounded import small_or_plain
-from churnlake.plans.ordering import ranked
+from churnlake.plans.ordering import ranked, running_sum
 
 # Names of charge quartiles and value quintiles.
 QUARTILE_TIERS = {1: "Budget", 2: "Standard", 3: "Premium", 4: "Enterprise"}
@@ -75,13 +75,12 @@ def running_total(df: DataFrame, key: str) -> DataFrame:
     per_key = df.groupBy(key).agg(
         F.sum(money("monthly_charges")).cast("decimal(28,2)").alias("_rev"), F.count(F.lit(1)).alias("customers")
     )
-    w = Window.orderBy(F.desc("_rev")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     everything = df.agg(F.sum(money("monthly_charges"))).scalar()
-    return per_key.select(
+    return running_sum(per_key, "_rev", "desc", "_rev", "_running").select(
         key,
         "customers",
         as_double("_rev").alias("monthly_rev"),
-        as_double(F.sum("_rev").over(w)).alias("running_total"),
+        as_double("_running").alias("running_total"),
         percent_of_money(F.col("_rev"), everything).alias("pct_of_total"),
     )
 

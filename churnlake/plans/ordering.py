@@ -31,13 +31,9 @@ def _sort_columns(by: Order, tie: Sequence[str]) -> list[Column]:
     return keys + [F.col(c).asc() for c in tie]
 
 
-def number_rows(df: DataFrame, by: Order, tie: Sequence[str], name: str = "row_number") -> DataFrame:
-    """``df`` with its global 1-based position, plus the row count in ``_total``.
-
-    ``tie`` makes the order total; its columns must identify a row.
-    """
-    order = _sort_columns(by, tie)
-    placed = freeze(
+def _placed(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Frozen rows in global order, with their partition and position inside it."""
+    return freeze(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id())
@@ -50,15 +46,27 @@ def number_rows(df: DataFrame, by: Order, tie: Sequence[str], name: str = "row_n
         .drop("_id"),
         "ordered",
     )
-    # One row per range partition: the two windows below never see table rows.
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
+def _sum_before() -> Column:
+    """Sum over the earlier partitions. The window sees one row per range partition."""
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return F.sum("_n").over(before)
+
+
+def number_rows(df: DataFrame, by: Order, tie: Sequence[str], name: str = "row_number") -> DataFrame:
+    """``df`` with its global 1-based position, plus the row count in ``_total``.
+
+    ``tie`` makes the order total; its columns must identify a row.
+    """
+    placed = _placed(df, _sort_columns(by, tie))
+    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = (
         placed.groupBy("_part")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(
             "_part",
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+            F.coalesce(_sum_before(), F.lit(0)).alias("_before"),
             F.sum("_n").over(everything).alias("_total"),
         )
     )
@@ -69,6 +77,32 @@ def number_rows(df: DataFrame, by: Order, tie: Sequence[str], name: str = "row_n
     )
 
 
+def running_sum(df: DataFrame, by: str, way: str, value: str, name: str) -> DataFrame:
+    """``df`` with the sum of ``value`` up to and including all rows tied on ``by``.
+
+    The values of ``by`` are summed first. Up to ``BROADCAST_ROWS`` of them go through one
+    plain window; more are summed inside their range partitions, each of which then adds
+    the total of the partitions before it.
+    """
+    per_value = df.groupBy(by).agg(F.sum(value).alias("_s"))
+    order = _sort_columns([(by, way)], [])
+    rows = per_value.limit(BROADCAST_ROWS + 1).collect()
+    if len(rows) <= BROADCAST_ROWS:
+        local = df.sparkSession.createDataFrame(rows, per_value.schema)
+        w = Window.orderBy(*order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        sums = F.broadcast(local.select(F.col(by).alias("_by"), F.sum("_s").over(w).alias(name)))
+    else:
+        placed = _placed(per_value, order)
+        inside = Window.partitionBy("_part").orderBy("_position").rowsBetween(Window.unboundedPreceding, 0)
+        offsets = (
+            placed.groupBy("_part").agg(F.sum("_s").alias("_n")).select("_part", _sum_before().alias("_before"))
+        )
+        sums = placed.join(F.broadcast(offsets), "_part").select(
+            F.col(by).alias("_by"), (F.sum("_s").over(inside) + F.coalesce("_before", F.lit(0))).alias(name)
+        )
+    return df.join(sums, F.col(by).eqNullSafe(F.col("_by")), "left").drop("_by")
+
+
 def number_small(df: DataFrame, by: Order, name: str = "row_number") -> DataFrame:
     """``number_rows`` for a frame that is expected to be small, such as a dimension.
 
