@@ -1,7 +1,8 @@
 """Joins with lookups, between aggregates and by membership.
 
-A literal lookup is a handful of rows, so its broadcast hint is safe. Any other side is
-left to the optimizer, or goes through the size check of ``small_or_plain``.
+The strategy is left to the optimizer, which broadcasts a side of known small size, such
+as a literal lookup. A side whose size is only known once it is computed goes through the
+check of ``small_or_plain``.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ def _on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) ->
 def lookup_join(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str, how: str = "inner") -> DataFrame:
     """Join a literal lookup on differently named keys and drop the lookup's key."""
     side = lookup.withColumnRenamed(lookup_key, "_key")
-    return df.join(F.broadcast(side), F.col(key) == F.col("_key"), how).drop("_key")
+    return df.join(side, F.col(key) == F.col("_key"), how).drop("_key")
 
 
 def inner_join_lookup(df: DataFrame, pricing: DataFrame) -> DataFrame:
@@ -36,7 +37,7 @@ def inner_join_lookup(df: DataFrame, pricing: DataFrame) -> DataFrame:
 
 def inner_join_aggregate(df: DataFrame, pricing: DataFrame) -> DataFrame:
     terms = pricing.select("contract_type", "discount_pct", "risk_level")
-    joined = df.join(F.broadcast(terms), F.col("contract") == F.col("contract_type"))
+    joined = df.join(terms, F.col("contract") == F.col("contract_type"))
     price = F.col("monthly_charges") * (100 - F.col("discount_pct").cast("decimal(5,2)")) / 100
     exact = price.cast("decimal(30,4)")
     return joined.groupBy("contract_type").agg(
@@ -79,7 +80,7 @@ def left_join_aggregate(df: DataFrame, sla: DataFrame) -> DataFrame:
 def plan_join_aggregate(df: DataFrame, plans: DataFrame) -> DataFrame:
     """Churn and revenue per plan of a lookup that shares the key's name."""
     return (
-        df.join(F.broadcast(plans), "contract", "left")
+        df.join(plans, "contract", "left")
         .groupBy(*plans.columns)
         .agg(
             F.count(F.lit(1)).alias("customers"),

@@ -43,14 +43,23 @@ def freeze(df: DataFrame, name: str = "frozen") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_or_plain(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` as a broadcast side if it has at most ``max_rows`` rows, else unchanged.
+def if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
+    """``df`` as a local relation if it has at most ``max_rows`` rows, else None.
 
-    The check fetches one row more than the limit, so it is bounded whatever the size.
-    A small side becomes a local relation and is not computed a second time; a large one
-    is joined by shuffle, where adaptive execution splits skewed partitions.
+    The check fetches one row more than the limit, so it is bounded whatever the size, and
+    a small frame is not computed a second time.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    limit = BROADCAST_ROWS if max_rows is None else max_rows
+    rows = df.limit(limit + 1).toArrow()
+    if rows.num_rows > limit:
+        return None
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
+def small_or_plain(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """``df`` as a broadcast side if it is small, else unchanged.
+
+    A large side is joined by shuffle, where adaptive execution splits skewed partitions.
+    """
+    local = if_small(df, max_rows)
+    return df if local is None else F.broadcast(local)

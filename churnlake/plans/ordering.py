@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlake.plans.bounded import BROADCAST_ROWS, freeze, small_or_plain
+from churnlake.plans.bounded import freeze, if_small, small_or_plain
 
 # monotonically_increasing_id keeps the position inside the partition in its low 33 bits.
 _POSITION_BITS = 33
@@ -86,9 +86,8 @@ def running_sum(df: DataFrame, by: str, way: str, value: str, name: str) -> Data
     """
     per_value = df.groupBy(by).agg(F.sum(value).alias("_s"))
     order = _sort_columns([(by, way)], [])
-    rows = per_value.limit(BROADCAST_ROWS + 1).collect()
-    if len(rows) <= BROADCAST_ROWS:
-        local = df.sparkSession.createDataFrame(rows, per_value.schema)
+    local = if_small(per_value)
+    if local is not None:
         w = Window.orderBy(*order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
         sums = F.broadcast(local.select(F.col(by).alias("_by"), F.sum("_s").over(w).alias(name)))
     else:
@@ -109,11 +108,10 @@ def number_small(df: DataFrame, by: Order, name: str = "row_number") -> DataFram
     Up to ``BROADCAST_ROWS`` rows are numbered by one plain window; a larger frame is
     ordered like any table. ``by`` must identify a row.
     """
-    rows = df.limit(BROADCAST_ROWS + 1).collect()
-    if len(rows) > BROADCAST_ROWS:
+    local = if_small(df)
+    if local is None:
         return number_rows(df, by, [], name).drop("_total")
     w = Window.orderBy(*_sort_columns(by, []))
-    local = df.sparkSession.createDataFrame(rows, df.schema)
     return local.withColumn(name, F.row_number().over(w).cast("bigint"))
 
 

@@ -198,11 +198,15 @@ def layout_for_filters(spark, base):
     return hit.select("customer_id", as_double("monthly_charges").alias("monthly_charges"))
 
 
-@register("repartition_coalesce")
+@register("repartition_coalesce", """SELECT 'spread' AS step, CAST(8 AS BIGINT) AS partitions, COUNT(*) AS n FROM orders
+    UNION ALL SELECT 'merged', CAST(2 AS BIGINT), COUNT(*) FROM orders""")
 def repartition_coalesce(spark, base):
     frames = sink.repartition_coalesce(subs(spark, base, "customer_id"), 8, 2)
     sizes = [
-        df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("step"), "*")
+        df.groupBy(F.spark_partition_id().alias("p"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("partitions"), F.sum("n").alias("n"))
+        .select(F.lit(name).alias("step"), "*")
         for name, df in frames.items()
     ]
     return sizes[0].union(sizes[1])

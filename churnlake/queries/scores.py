@@ -162,7 +162,7 @@ def value_columns(spark, base):
     f"""SELECT contract, {q.avg('CAST(price AS DECIMAL(18,2))')} AS avg_price, {q.money_sum('CAST(price AS DECIMAL(18,2))')} AS total_price FROM (
         SELECT contract, {q.ratio(f"({q.cents('monthly_charges')} * (100 - discount_pct))", "10000", 2)} AS price FROM subs JOIN plans USING (contract)) t GROUP BY contract""", q.PLANS))
 def discounted_price(spark, base):
-    plans = F.broadcast(lookups.from_literals(spark, lookups.CONTRACT_PLANS).select("contract", "discount_pct"))
+    plans = lookups.from_literals(spark, lookups.CONTRACT_PLANS).select("contract", "discount_pct")
     df = subs(spark, base, "contract", "monthly_charges").join(plans, "contract")
     priced = df.withColumn("price", scoring.discounted_price())
     return priced.groupBy("contract").agg(mean("price").alias("avg_price"), total("price").alias("total_price"))

@@ -1,7 +1,7 @@
 """Small lookup tables held as literals.
 
-Each has a handful of rows fixed here in the code, so hinting a broadcast is safe at any
-scale of the other side.
+They become local relations whose exact size the optimizer knows, so it broadcasts them
+without a hint, and would not if a table of real size were passed in their place.
 """
 
 from __future__ import annotations
@@ -54,8 +54,8 @@ CONTRACT_OFFERS = (
 
 def from_literals(spark: SparkSession, lookup: tuple[str, list[tuple]]) -> DataFrame:
     """A lookup as DataFrame; it becomes a local relation in the plan."""
-    schema, rows = lookup
-    return spark.createDataFrame(rows, schema)
+    fields = ", ".join(f"CAST({f.split()[0]} AS {f.split()[1]}) AS {f.split()[0]}" for f in lookup[0].split(", "))
+    return spark.sql(f"WITH {values_sql(lookup, 't')} SELECT {fields} FROM t")
 
 
 def values_sql(lookup: tuple[str, list[tuple]], name: str) -> str:

@@ -58,7 +58,7 @@ def test_rankings_of_nulls_and_of_nothing(spark):
 
 def test_large_sides_are_not_broadcast(spark, monkeypatch):
     """Beyond the size limit the same rows come from a shuffle join."""
-    monkeypatch.setattr(bounded.small_or_plain, "__defaults__", (3,))
+    monkeypatch.setattr(bounded, "BROADCAST_ROWS", 3)
     df = spark.createDataFrame([(i, i % 10) for i in range(100)], "id bigint, v int")
     out = ordering.ranked(df, [("v", "asc")], ["id"], rank="rk", dense_rank="dr")
     assert rows(out.filter("v = 9").select("rk", "dr").distinct()) == [(91, 10)]
@@ -77,14 +77,14 @@ def test_quantiles_equal_numpy(spark):
 
 
 def test_number_small_falls_back(spark, monkeypatch):
-    monkeypatch.setattr(ordering, "BROADCAST_ROWS", 2)
+    monkeypatch.setattr(bounded, "BROADCAST_ROWS", 2)
     out = ordering.number_small(spark.range(5).select((9 - F.col("id")).alias("k")), [("k", "asc")], "n")
     assert rows(out) == [(5, 1), (6, 2), (7, 3), (8, 4), (9, 5)]
 
 
 @pytest.mark.parametrize("limit", [10_000, 3])
 def test_running_sum_includes_ties(spark, monkeypatch, limit):
-    monkeypatch.setattr(ordering, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(bounded, "BROADCAST_ROWS", limit)
     data = [(i, i % 7, i) for i in range(50)] + [(50, None, 1)]
     out = ordering.running_sum(spark.createDataFrame(data, "id int, k int, v int"), "k", "desc", "v", "s")
     expected = [

@@ -6,8 +6,8 @@ from compare import differences
 from __spark_entry__ import entry, oracle_sql, queries
 
 QUERIES, ORACLES = queries(), oracle_sql()
-# Queries whose answer SQL cannot give: a hash sample, file sizes, partition ids.
-ROWS_ONLY = {"sample_rows", "lake_inventory", "repartition_coalesce"}
+# Queries whose answer SQL cannot give: a hash sample and file sizes.
+ROWS_ONLY = {"sample_rows", "lake_inventory"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

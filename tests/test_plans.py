@@ -45,6 +45,12 @@ def test_group_mean_uses_no_window(spark, base):
     assert "Window" not in text and "BroadcastHashJoin" in text
 
 
+def test_lookups_are_broadcast_by_their_size(spark, base):
+    text = plan(QUERIES["multi_join_enrich"](spark, base))
+    assert text.count("LocalTableScan") == 3 and "SortMergeJoin [contract" not in text
+    assert text.count("BroadcastHashJoin") >= 3
+
+
 def test_top_k_is_not_a_full_sort(spark, base):
     assert "TakeOrderedAndProject" in plan(QUERIES["action_753"](spark, base))
 
