@@ -202,8 +202,9 @@ def describe_numeric(df: DataFrame, columns: Sequence[str], key: str) -> DataFra
     )
     head = df.agg(stats.alias("_s")).select(F.inline("_s"))
     quarters = quantiles(df, columns, [key], {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-    # Both sides hold one row per described column.
-    return head.join(F.broadcast(quarters), "column", "left")
+    # Four digits hold any quartile of cents. Both sides have one row per described column.
+    exact = quarters.select("column", *[F.round(q, 4).alias(q) for q in ("p25", "p50", "p75")])
+    return head.join(F.broadcast(exact), "column", "left")
 
 
 def profile_columns(df: DataFrame) -> DataFrame:

@@ -22,7 +22,6 @@ from churnlake.functions.scoring import (
     TENURE_LABELS,
     charge_band,
     churn_flag_truthy,
-    tenure_group,
 )
 from churnlake.functions.text import contains_ignoring_case, title_case
 

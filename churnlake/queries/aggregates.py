@@ -235,7 +235,7 @@ def value_counts_payment(spark, base):
 def _describe_sql(c):
     d = f"CAST({c} AS DOUBLE)"
     return f"""SELECT '{c}' AS "column", COUNT({c}) AS count, {q.avg(c)} AS mean, ROUND(STDDEV({d}), 2) AS std, MIN({d}) AS min,
-      QUANTILE_CONT({d}, 0.25) AS p25, QUANTILE_CONT({d}, 0.5) AS p50, QUANTILE_CONT({d}, 0.75) AS p75,
+      ROUND(QUANTILE_CONT({d}, 0.25), 4) AS p25, ROUND(QUANTILE_CONT({d}, 0.5), 4) AS p50, ROUND(QUANTILE_CONT({d}, 0.75), 4) AS p75,
       MAX({d}) AS max FROM subs"""
 
 
