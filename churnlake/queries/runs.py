@@ -81,10 +81,10 @@ def on_demand_file_scan(spark, base):
     return quality.churn_file_summary(arrivals.on_demand_file_scan(spark, root))
 
 
-@register("pipeline_run", q.subs(
+@register("staged_run", q.subs(
     f"""SELECT 'SUCCESS' AS status, COUNT(*) AS total_customers, {q.CHURNED} AS total_churned, {q.pct('SUM(churn)', 'COUNT(*)', 2)} AS churn_rate_pct,
         {q.REVENUE} AS monthly_revenue, {q.AT_RISK} AS revenue_at_risk FROM subs"""))
-def pipeline_run(spark, base):
+def staged_run(spark, base):
     out = scratch_path(spark, "run")
     report = op.churn_run(spark, lambda: subs(spark, base), out, AT)
     stored = spark.read.schema(
@@ -116,14 +116,14 @@ def _map_sql(key):
     return f"(SELECT STRING_AGG(k || '=' || r, ';' ORDER BY k) FROM (SELECT {key} AS k, {q.RATE} AS r FROM subs GROUP BY 1) m)"
 
 
-@register("pipeline_insights", q.subs(
+@register("insight_report", q.subs(
     f"""SELECT COUNT(*) AS total_customers, CAST(COUNT_IF(churn = 1) AS BIGINT) AS churned_customers, CAST(COUNT_IF(churn = 0) AS BIGINT) AS retained_customers,
         {q.pct('SUM(churn)', 'COUNT(*)', 2)} AS churn_rate_pct, {q.AT_RISK} AS monthly_revenue_at_risk,
         {q.avg('CASE WHEN churn = 1 THEN monthly_charges END')} AS avg_monthly_charge_churned, {q.avg('CASE WHEN churn = 0 THEN monthly_charges END')} AS avg_monthly_charge_retained,
         {_map_sql('contract')} AS churn_by_contract, {_map_sql(_TENURE)} AS churn_by_tenure, {_map_sql('internet_service')} AS churn_by_internet, {_map_sql('payment_method')} AS churn_by_payment,
         (SELECT contract FROM (SELECT contract, {q.RATE} AS r FROM subs GROUP BY 1) m ORDER BY r DESC, contract LIMIT 1) AS top_risk_factor,
         (SELECT contract FROM (SELECT contract, {q.RATE} AS r FROM subs GROUP BY 1) m ORDER BY r, contract LIMIT 1) AS safest_contract FROM subs"""))
-def pipeline_insights(spark, base):
+def insight_report(spark, base):
     out = op.insights(subs(spark, base, *op.INSIGHT_GROUPS.values(), "monthly_charges", "churn"))
 
     def text(name):
