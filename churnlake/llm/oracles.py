@@ -138,9 +138,28 @@ SELECT doc_id, size, source_size, target, whole + CASE WHEN h <= cut THEN 1 ELSE
 FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source LEFT JOIN cut ON d.source IS NOT DISTINCT FROM cut.source
 """
 
+_OP7 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, g FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM d)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+), p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+), r(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a
+), m AS (SELECT a, min(b) AS component_id FROM r GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id FROM d LEFT JOIN n USING (doc_id) JOIN m ON m.a = d.doc_id
+"""
+
 ORACLES: dict[str, str] = {
     "op1_exact_top_k": _OP1,
     "op2_chat_windows": _OP2,
     "op3_url_verdicts": _OP3,
     "op5_mix_words": _OP5,
+    "op7_jaccard_groups": _OP7,
 }

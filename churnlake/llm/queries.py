@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlake.llm import chat, kdtree, mixing, topk, urls
+from churnlake.llm import chat, kdtree, mixing, partenum, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +80,10 @@ def op5_mix_words(spark: SparkSession, base: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op7_jaccard_groups(spark: SparkSession, base: str) -> DataFrame:
+    return partenum.jaccard_groups(_table(spark, base, "documents"))
+
+
 def op9_kd_shards(spark: SparkSession, base: str) -> DataFrame:
     return kdtree.kd_shards(_table(spark, base, "documents"), shards=SHARDS).select(
         "doc_id",
@@ -97,5 +101,6 @@ QUERIES: dict[str, Query] = {
     "op2_chat_windows": op2_chat_windows,
     "op3_url_verdicts": op3_url_verdicts,
     "op5_mix_words": op5_mix_words,
+    "op7_jaccard_groups": op7_jaccard_groups,
     "op9_kd_shards": op9_kd_shards,
 }
