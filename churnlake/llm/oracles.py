@@ -156,10 +156,28 @@ WITH RECURSIVE d AS (
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id FROM d LEFT JOIN n USING (doc_id) JOIN m ON m.a = d.doc_id
 """
 
+_OP8 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), x AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)
+), m AS (SELECT g, min(doc_id) AS least FROM x GROUP BY g
+), c AS (
+  SELECT DISTINCT doc_id, i + k AS at FROM (
+    SELECT x.doc_id, x.i, unnest(range(13)) AS k FROM x JOIN m ON x.g = m.g WHERE m.least < x.doc_id)
+), r AS (SELECT doc_id, list(at) AS gone FROM c GROUP BY 1)
+SELECT d.doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+       sha256(array_to_string(CASE WHEN gone IS NULL THEN w
+         ELSE list_filter(w, lambda v, j: NOT list_contains(gone, j)) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN r ON r.doc_id = d.doc_id
+"""
+
 ORACLES: dict[str, str] = {
     "op1_exact_top_k": _OP1,
     "op2_chat_windows": _OP2,
     "op3_url_verdicts": _OP3,
     "op5_mix_words": _OP5,
     "op7_jaccard_groups": _OP7,
+    "op8_fm_index_repeats": _OP8,
 }

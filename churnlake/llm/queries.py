@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlake.llm import chat, kdtree, mixing, partenum, topk, urls
+from churnlake.llm import chat, fmindex, kdtree, mixing, partenum, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +84,10 @@ def op7_jaccard_groups(spark: SparkSession, base: str) -> DataFrame:
     return partenum.jaccard_groups(_table(spark, base, "documents"))
 
 
+def op8_fm_index_repeats(spark: SparkSession, base: str) -> DataFrame:
+    return fmindex.repeat_digest(_table(spark, base, "documents"))
+
+
 def op9_kd_shards(spark: SparkSession, base: str) -> DataFrame:
     return kdtree.kd_shards(_table(spark, base, "documents"), shards=SHARDS).select(
         "doc_id",
@@ -102,5 +106,6 @@ QUERIES: dict[str, Query] = {
     "op3_url_verdicts": op3_url_verdicts,
     "op5_mix_words": op5_mix_words,
     "op7_jaccard_groups": op7_jaccard_groups,
+    "op8_fm_index_repeats": op8_fm_index_repeats,
     "op9_kd_shards": op9_kd_shards,
 }

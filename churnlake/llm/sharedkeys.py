@@ -67,8 +67,8 @@ def pack(keys: np.ndarray, owners: np.ndarray, extras: np.ndarray, bins: int, ch
     rows = _packed(home[~settled], ENTRY, keys[~settled], owners[~settled], extras[~settled])
     if settled.any():
         k, o, e = keys[settled], owners[settled], extras[settled]
-        starts, _ = runs(k)
-        rows += _packed(home[settled][starts], SHARED, k[starts], o[starts], e[starts])
+        starts, ends = runs(k)
+        rows += _packed(home[settled][starts], SHARED, k[starts], o[starts], (ends - starts).astype(np.int32))
         rows.append((chunk % bins, SETTLED, k.tobytes(), o.tobytes(), e.tobytes()))
     types = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
     columns = zip(*rows) if rows else [[]] * 5
@@ -84,7 +84,8 @@ def _joined(table: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray, np.ndar
 def bin_groups(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Shared keys of one bin as ``keys, owners, extras, fresh``, sorted by key and owner:
     first the bin's own, then the settled ones of each chunk. An entry of the bin's own that
-    is not fresh stands for the settled entries of a chunk and is one of them."""
+    is not fresh stands for the settled entries of a chunk and is one of them; its extra is
+    their number."""
     keys, owners, extras = _joined(table, ENTRY)
     fresh = np.ones(len(keys), bool)
     told = _joined(table, SHARED)
