@@ -164,9 +164,9 @@ WITH d AS (
   FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)
 ), m AS (SELECT g, min(doc_id) AS least FROM x GROUP BY g
 ), c AS (
-  SELECT DISTINCT doc_id, i + k AS at FROM (
+  SELECT DISTINCT doc_id, i + k AS spot FROM (
     SELECT x.doc_id, x.i, unnest(range(13)) AS k FROM x JOIN m ON x.g = m.g WHERE m.least < x.doc_id)
-), r AS (SELECT doc_id, list(at) AS gone FROM c GROUP BY 1)
+), r AS (SELECT doc_id, list(spot) AS gone FROM c GROUP BY 1)
 SELECT d.doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
        sha256(array_to_string(CASE WHEN gone IS NULL THEN w
          ELSE list_filter(w, lambda v, j: NOT list_contains(gone, j)) END, ' ')) AS kept_sha256

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlake.llm import chat, fmindex, kdtree, mixing, partenum, topk, urls
+from churnlake.llm import chat, fmindex, kdtree, mixing, partenum, pieces, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +23,9 @@ URL_RULES = [
     ("block", "net", "/fr/"),
 ]
 SHARDS = 16
+# Folder of the public tokenizer files.
+TOKENIZERS = os.environ.get("TOKENIZER_FILES", "/opt/tokenizers")
+PIECE_MODEL = "piece_bpe_32k.model"
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
@@ -100,6 +105,15 @@ def op9_kd_shards(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def piece_model(folder: str = TOKENIZERS) -> bytes:
+    """The model file's content; it travels to the tasks with the function that uses it."""
+    return (Path(folder) / PIECE_MODEL).read_bytes()
+
+
+def op10_piece_encoding(spark: SparkSession, base: str) -> DataFrame:
+    return pieces.encode_documents(_table(spark, base, "documents"), piece_model())
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_chat_windows": op2_chat_windows,
@@ -108,4 +122,5 @@ QUERIES: dict[str, Query] = {
     "op7_jaccard_groups": op7_jaccard_groups,
     "op8_fm_index_repeats": op8_fm_index_repeats,
     "op9_kd_shards": op9_kd_shards,
+    "op10_piece_encoding": op10_piece_encoding,
 }
