@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlake.llm import chat, fmindex, kdtree, mixing, partenum, pieces, topk, urls
+from churnlake.llm import chat, fmindex, kdtree, mixing, partenum, pieces, topk, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,7 @@ SHARDS = 16
 # Folder of the public tokenizer files.
 TOKENIZERS = os.environ.get("TOKENIZER_FILES", "/opt/tokenizers")
 PIECE_MODEL = "piece_bpe_32k.model"
+TOXIC_FROM = 0.3
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
@@ -85,6 +86,17 @@ def op5_mix_words(spark: SparkSession, base: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op6_string_kernel_toxicity(spark: SparkSession, base: str) -> DataFrame:
+    docs = _table(spark, base, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, _table(spark, base, "labels"))
+    return toxicity.score_texts(docs, model, "score").select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
 def op7_jaccard_groups(spark: SparkSession, base: str) -> DataFrame:
     return partenum.jaccard_groups(_table(spark, base, "documents"))
 
@@ -119,6 +131,7 @@ QUERIES: dict[str, Query] = {
     "op2_chat_windows": op2_chat_windows,
     "op3_url_verdicts": op3_url_verdicts,
     "op5_mix_words": op5_mix_words,
+    "op6_string_kernel_toxicity": op6_string_kernel_toxicity,
     "op7_jaccard_groups": op7_jaccard_groups,
     "op8_fm_index_repeats": op8_fm_index_repeats,
     "op9_kd_shards": op9_kd_shards,
