@@ -294,3 +294,21 @@ def jaccard_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     return named.join(least, F.col("group") == F.col("g"), "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")
     )
+
+
+def one_per_group(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of each group of linked ones: the smallest doc_id's.
+
+    Equal rows of it are given once. Rows without doc_id stay.
+    """
+    groups = freeze(jaccard_groups(docs, width, percent), "groups_of_documents")
+    # A row without doc_id has no id to compare; unlinked rows are their own group.
+    leaving = groups.filter("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(leaving, "doc_id", "left_anti")
+    repeated = freeze(
+        groups.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated"
+    )
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
+    several = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(several).select(*docs.columns)
