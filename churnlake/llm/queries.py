@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlake.llm import chat, fmindex, kdtree, mixing, partenum, pieces, topk, toxicity, urls
+from churnlake.llm import chat, fmindex, itq, kdtree, mixing, partenum, pieces, topk, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +81,10 @@ def op3_url_verdicts(spark: SparkSession, base: str) -> DataFrame:
     return urls.judge(_table(spark, base, "pages"), rules)
 
 
+def op4_itq_near_groups(spark: SparkSession, base: str) -> DataFrame:
+    return itq.near_groups(_table(spark, base, "embeddings"))
+
+
 def op5_mix_words(spark: SparkSession, base: str) -> DataFrame:
     mixed = mixing.mix_words(_table(spark, base, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -130,6 +134,7 @@ QUERIES: dict[str, Query] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_chat_windows": op2_chat_windows,
     "op3_url_verdicts": op3_url_verdicts,
+    "op4_itq_near_groups": op4_itq_near_groups,
     "op5_mix_words": op5_mix_words,
     "op6_string_kernel_toxicity": op6_string_kernel_toxicity,
     "op7_jaccard_groups": op7_jaccard_groups,
