@@ -1,109 +1,148 @@
 """Customer files as they arrive: validate, measure, stamp and store, each file on its own.
 
-Files are read as positional text and their columns are found by the names in each file's
-own header, so column order may differ between files. A file without a usable header is
-reported as failed and does not stop the batch. The same functions serve the stream and a
-scan of a given path.
+Every file is read under its own header, which is its first line, at any width, and quoted
+fields may hold line ends. Files with one header are read together, so a batch takes one read
+per distinct header. A file whose header lacks the key is reported as failed and does not
+stop the batch. The same functions serve the stream and a scan of a given path.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+import csv
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from churnlake.functions.numbers import percent
 from churnlake.functions.scoring import churn_flag_truthy
-from churnlake.plans.bounded import small_or_plain
+from churnlake.sources.files import list_files
 
-# Columns of an arriving customer file; the first one marks the header.
+# Columns of an arriving customer file; the first one must be in its header.
 FILE_COLUMNS = ["customerID", "Contract", "MonthlyCharges", "Churn"]
 KEY = FILE_COLUMNS[0]
+STAMP = "auto_processed_at"
 
-# Most columns a file may have, and most files one batch takes.
-MAX_COLUMNS = 32
+# Most files that one batch takes; the others follow in the next batch of the same run.
 FILES_PER_BATCH = 1_000
 
-
-def positional_schema(width: int = MAX_COLUMNS) -> str:
-    return ", ".join(f"_c{i} string" for i in range(width))
+_RESULT = (
+    "source_file string, output_file string, total_records bigint, valid bigint, invalid bigint, churned bigint, "
+    "churn_rate_pct double, processed_at string, status string, error string"
+)
 
 
-def with_source(df: DataFrame) -> DataFrame:
-    """Fields of each line as one array, with the file they came from."""
-    fields = [F.trim(F.col(c)) for c in df.columns]
-    return df.select(F.array(*fields).alias("fields"), F.col("_metadata.file_path").alias("source_file")).withColumn(
-        "is_header", F.coalesce(F.array_contains("fields", KEY), F.lit(False))
+def _first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """First line of each file. Only the first block of a file is looked at."""
+    lines = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+        "value",
     )
+    first = lines.filter("block = 0").groupBy("path").agg(F.min_by("value", "at").alias("line"))
+    return {r["path"]: r["line"] for r in first.collect()}
+
+
+def header_names(line: str) -> list[str]:
+    """Column names of a header line. Empty names and names that differ from an earlier one
+    in case at most get a number, so no column is lost."""
+    names: list[str] = []
+    seen: set[str] = set()
+    for i, name in enumerate(next(csv.reader([line.lstrip("﻿")]), [])):
+        name = name.strip() or f"_c{i}"
+        if name.lower() in seen:
+            name = f"{name}_{i}"
+        seen.add(name.lower())
+        names.append(name)
+    return names
 
 
-def named_rows(lines: DataFrame, columns: list[str] = FILE_COLUMNS) -> DataFrame:
-    """Lines with their fields under the names of the file's header.
+def _read(spark: SparkSession, names: Sequence[str], paths: Sequence[str], header: bool) -> DataFrame:
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    reader = spark.read.schema(schema).option("header", header).option("multiLine", True).option("escape", '"')
+    fields = [F.trim(F.col(f"`{n}`")).alias(n) for n in names]
+    return reader.csv(list(paths)).select(F.col("_metadata.file_path").alias("source_file"), *fields)
 
-    There is one header per file; its join side is broadcast after a size check. Header
-    lines stay, marked, so that a file without data rows is still seen.
+
+def read_files(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, list[DataFrame]]:
+    """The files as ``(source_file, has_header)``, and one frame of rows per distinct header.
+
+    The frames keep every column of their files. An unusable file gives its lines, the first
+    one included, under numbered names. A file without any line has no header.
     """
-    headers = lines.filter("is_header").groupBy("source_file").agg(F.min("fields").alias("header"))
-    joined = lines.join(small_or_plain(headers), "source_file", "left")
-
-    def field(name: str) -> Column:
-        place = F.nullif(F.array_position("header", name), F.lit(0)).cast("int")
-        return F.try_element_at("fields", place).alias(name)
-
-    known = F.col("header").isNotNull().alias("has_header")
-    return joined.select("source_file", "is_header", known, *[field(c) for c in columns])
-
-
-def file_results(rows: DataFrame, processed_at: str) -> DataFrame:
-    """One row per file: record counts, churn rate and status."""
-    data = ~F.col("is_header")
-    filled = (F.coalesce(F.col(KEY), F.lit("")) != "") & (F.coalesce("MonthlyCharges", F.lit("")) != "")
-    gone = churn_flag_truthy(F.col("Churn"))
-    counts = rows.groupBy("source_file").agg(
-        F.bool_or("has_header").alias("_headed"),
-        F.count_if(data).alias("total_records"),
-        F.count_if(data & filled).alias("valid"),
-        F.count_if(data & ~filled).alias("invalid"),
-        F.count_if(data & gone).alias("churned"),
+    lines = _first_lines(spark, paths) if paths else {}
+    groups: dict[tuple[bool, tuple[str, ...]], list[str]] = {}
+    for path in sorted(lines):
+        names = header_names(lines[path])
+        usable = KEY in names
+        groups.setdefault((usable, tuple(names if usable else [f"_c{i}" for i in range(len(names) or 1)])), []).append(path)
+    usable = {p: key[0] for key, found in groups.items() for p in found}
+    told = [(p, usable.get(p, False)) for p in sorted({*paths, *lines})]
+    files = spark.createDataFrame([t for t in told if t[0] in lines or not lines], "source_file string, has_header boolean")
+    return files, [_read(spark, names, found, ok) for (ok, names), found in groups.items()]
+
+
+def _measured(rows: DataFrame) -> DataFrame:
+    """Counts per file of one group."""
+    column = lambda c: F.col(c) if c in rows.columns else F.lit(None).cast("string")
+    filled = (F.coalesce(column(KEY), F.lit("")) != "") & (F.coalesce(column("MonthlyCharges"), F.lit("")) != "")
+    gone = F.coalesce(churn_flag_truthy(column("Churn")), F.lit(False))
+    return rows.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("total_records"),
+        F.count_if(filled).alias("valid"),
+        F.count_if(~filled).alias("invalid"),
+        F.count_if(gone).alias("churned"),
     )
+
+
+def file_results(files: DataFrame, groups: Sequence[DataFrame], processed_at: str, output: str = "") -> DataFrame:
+    """One row per file: where its rows went, record counts, churn rate and status."""
+    counts = files.sparkSession.createDataFrame([], "source_file string, total_records bigint, valid bigint, invalid bigint, churned bigint")
+    for rows in groups:
+        counts = counts.unionByName(_measured(rows))
+    none = F.lit(0).cast("bigint")
+    joined = files.join(counts, "source_file", "left")
     rate = F.coalesce(percent(F.col("churned"), F.col("total_records")), F.lit(0.0))
-    return counts.select(
+    return joined.select(
         "source_file",
-        "total_records",
-        "valid",
-        "invalid",
-        "churned",
+        F.when(F.col("has_header"), F.concat(F.lit(f"{output}/source="), F.url_encode("source_file"))).alias("output_file"),
+        *[F.coalesce(c, none).alias(c) for c in ("total_records", "valid", "invalid", "churned")],
         rate.alias("churn_rate_pct"),
         F.lit(processed_at).alias("processed_at"),
-        F.when(F.col("_headed"), "SUCCESS").otherwise("FAILED").alias("status"),
-        F.when(~F.col("_headed"), f"no header with {KEY}").alias("error"),
+        F.when(F.col("has_header"), "SUCCESS").otherwise("FAILED").alias("status"),
+        F.when(~F.col("has_header"), f"no header with {KEY}").alias("error"),
     )
 
 
-def scan_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of the CSV files at a path."""
-    reader = spark.read.schema(positional_schema()).option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
-    return with_source(reader.csv(path))
+def stamped(groups: Sequence[DataFrame], processed_at: str) -> list[DataFrame]:
+    """Rows of usable files with all their columns, the processing time, and the whole path
+    of their file in ``source``."""
+    out = []
+    for rows in groups:
+        if KEY in rows.columns:
+            kept = [F.col(f"`{c}`") for c in rows.columns if c not in ("source_file", STAMP, "source")]
+            out.append(rows.select(*kept, F.lit(processed_at).alias(STAMP), F.url_encode("source_file").alias("source")))
+    return out
 
 
-def on_demand_file_scan(spark: SparkSession, path: str) -> DataFrame:
-    """Data rows of one given file or folder, as the stream would process them."""
-    rows = named_rows(scan_lines(spark, path))
-    return rows.filter(~F.col("is_header")).drop("is_header", "has_header")
-
+def paths_under(spark: SparkSession, path: str) -> list[str]:
+    """CSV files at a path; a listing, which Spark makes on the driver anyway."""
+    return [r["path"] for r in list_files(spark, path, "*.csv").select("path").collect()]
 
-def stamped(rows: DataFrame, processed_at: str) -> DataFrame:
-    """Data rows with their processing time and the name of their file.
 
-    Lines of a file without a header cannot be named and are left out; its result row
-    says so.
-    """
-    return (
-        rows.filter(~F.col("is_header") & F.col("has_header"))
-        .withColumn("source", F.element_at(F.split("source_file", "/"), -1))
-        .select(*FILE_COLUMNS, F.lit(processed_at).alias("auto_processed_at"), "source")
-    )
+def on_demand_file_scan(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of one given file or folder, as the stream would process them: columns by name,
+    those of other files null."""
+    _, groups = read_files(spark, paths_under(spark, path))
+    schema = ", ".join(f"`{c}` string" for c in ["source_file", *FILE_COLUMNS])
+    out = spark.createDataFrame([], schema)
+    for rows in groups:
+        if KEY in rows.columns:
+            out = out.unionByName(rows, allowMissingColumns=True)
+    return out
 
 
 def stream_incoming_files(
@@ -117,36 +156,32 @@ def stream_incoming_files(
 ) -> StreamingQuery:
     """Process the files that are new since the last run, then stop.
 
-    Output folders are named by batch id and overwritten, so a batch that is retried after
-    a failure replaces its own output. Processed rows keep one folder per source file.
+    The stream carries the paths of new files; their contents are read by header. Output
+    folders are named by batch id and overwritten, so a batch that is retried after a failure
+    replaces its own output. Processed rows are Parquet with every column of their file, in
+    one folder per source file, named by its whole path.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            rows = named_rows(kept)
-            per_file = file_results(rows, processed_at)
-            per_file.write.mode("overwrite").json(f"{results}/batch={batch_id}")
-            (
-                stamped(rows, processed_at)
-                .hint("rebalance", "source")
-                .write.mode("overwrite")
-                .partitionBy("source")
-                .option("header", True)
-                .csv(f"{processed}/batch={batch_id}")
-            )
-        finally:
-            kept.unpersist()
-
-    lines = (
-        spark.readStream.schema(positional_schema())
+        files, groups = read_files(spark, [r["path"] for r in batch.select("path").collect()])
+        out = f"{processed}/batch={batch_id}"
+        file_results(files, groups, processed_at, out).write.mode("overwrite").json(f"{results}/batch={batch_id}")
+        mode = "overwrite"
+        for rows in stamped(groups, processed_at):
+            rows.hint("rebalance", "source").write.mode(mode).partitionBy("source").parquet(out)
+            mode = "append"
+
+    # Only path and length are read here: the content column is pruned.
+    found = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("pathGlobFilter", "*.csv")
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)
-        .csv(incoming)
+        .load(incoming)
     )
     return (
-        with_source(lines)
+        found.select("path")
         .writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -156,13 +191,10 @@ def stream_incoming_files(
 
 def read_results(spark: SparkSession, results: str) -> DataFrame:
     """Result rows of every batch."""
-    schema = (
-        "source_file string, total_records bigint, valid bigint, invalid bigint, churned bigint, "
-        "churn_rate_pct double, processed_at string, status string, error string"
-    )
-    return spark.read.schema(schema).json(f"{results}/batch=*")
+    return spark.read.schema(_RESULT).json(f"{results}/batch=*")
 
 
 def read_processed(spark: SparkSession, processed: str) -> DataFrame:
-    columns = ", ".join(f"{c} string" for c in [*FILE_COLUMNS, "auto_processed_at"])
-    return spark.read.schema(columns).option("header", True).option("recursiveFileLookup", True).csv(processed)
+    """Processed rows of every batch with the columns of all files; ``source`` is the encoded
+    path of the file."""
+    return spark.read.option("mergeSchema", True).parquet(processed).drop("batch")

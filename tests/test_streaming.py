@@ -1,4 +1,6 @@
-"""Arriving files: order of columns, bad files, and runs that take only new files."""
+"""Arriving files: own headers, any width, bad files, and runs that take only new files."""
+
+from urllib.parse import unquote_plus
 
 from conftest import rows
 
@@ -7,6 +9,9 @@ from churnlake.streaming import arrivals
 GOOD = "customerID,Contract,MonthlyCharges,Churn\nAUTO001,Month-to-month,89.50,1\nAUTO002,One year,65.00,0\nAUTO003,Month-to-month,99.00,1\nAUTO004,Two year,45.00,0\nAUTO005,Month-to-month,75.00,0\n"
 TURNED = "Churn,Extra,customerID,MonthlyCharges,Contract\nTrue,x,A1,10,One year\n0,x,,10,One year\nYes,x,A3,,One year\n"
 BROKEN = "some,other,file\n1,2,3\n"
+WIDE = ",".join(["customerID", *[f"x{i}" for i in range(34)], "Churn", "MonthlyCharges", "Contract"])
+WIDE += "\n" + "\n".join(",".join([f"w{k}", *["v"] * 34, "1", "5.5", "One year"]) for k in range(3)) + "\n"
+ODD = 'customerID,MonthlyCharges,Churn,note\nk1,1,0,"two\nlines, quoted"\nk2,9.5,1,customerID\ncustomerID,2,0,"say ""hi"""\n'
 
 
 def _run(spark, root):
@@ -19,38 +24,55 @@ def _run(spark, root):
 def _results(spark, root):
     out = arrivals.read_results(spark, f"{root}/results")
     return {
-        r["source_file"].rsplit("/", 1)[1]: (r["total_records"], r["valid"], r["invalid"], r["churned"], r["churn_rate_pct"], r["status"])
+        r["source_file"].split("/incoming/")[1]: (
+            r["total_records"], r["valid"], r["invalid"], r["churned"], r["churn_rate_pct"], r["status"]
+        )
         for r in out.collect()
-    }
+    }
 
 
 def test_files_are_processed_once_and_fail_alone(spark, tmp_path):
     incoming = tmp_path / "incoming"
-    incoming.mkdir()
-    (incoming / "good.csv").write_text(GOOD)
+    (incoming / "a").mkdir(parents=True)
+    (incoming / "b").mkdir()
+    (incoming / "a" / "x.csv").write_text(GOOD)
+    (incoming / "b" / "x.csv").write_text(WIDE)
     (incoming / "broken.csv").write_text(BROKEN)
+    (incoming / "headed.csv").write_text("customerID,MonthlyCharges\n")
     (incoming / "note.txt").write_text("not a file for us")
     _run(spark, tmp_path)
     assert _results(spark, tmp_path) == {
-        "good.csv": (5, 5, 0, 2, 40.0, "SUCCESS"),
+        "a/x.csv": (5, 5, 0, 2, 40.0, "SUCCESS"),
+        "b/x.csv": (3, 3, 0, 3, 100.0, "SUCCESS"),
         "broken.csv": (2, 0, 2, 0, 0.0, "FAILED"),
+        "headed.csv": (0, 0, 0, 0, 0.0, "SUCCESS"),
     }
     (incoming / "turned.csv").write_text(TURNED)
+    (incoming / "odd.csv").write_text(ODD)
     _run(spark, tmp_path)
     got = _results(spark, tmp_path)
-    assert got["turned.csv"] == (3, 1, 2, 2, 66.7, "SUCCESS") and len(got) == 3
+    assert got["turned.csv"] == (3, 1, 2, 2, 66.7, "SUCCESS") and len(got) == 6
+    assert got["odd.csv"] == (3, 3, 0, 1, 33.3, "SUCCESS")
     stored = arrivals.read_processed(spark, f"{tmp_path}/processed")
-    assert stored.count() == 8
-    assert rows(stored.filter("Contract = 'One year'"), "customerID", "MonthlyCharges", "Churn", "auto_processed_at") == [
-        ("A1", "10", "True", "now"), ("A3", None, "Yes", "now"), ("AUTO002", "65.00", "0", "now"), (None, "10", "0", "now"),
-    ]
+    assert stored.count() == 5 + 3 + 3 + 3
+    assert {f"x{i}" for i in range(34)} | {"Extra", "note"} <= set(stored.columns)
+    assert stored.filter("x33 = 'v'").count() == 3 and stored.filter("Extra = 'x'").count() == 3
+    assert rows(stored.filter("note is not null"), "customerID", "note") == [
+        ("customerID", 'say "hi"'), ("k1", "two\nlines, quoted"), ("k2", "customerID"),
+    ]
+    sources = {unquote_plus(r["source"]).split("/incoming/")[1] for r in stored.select("source").distinct().collect()}
+    assert sources == {"a/x.csv", "b/x.csv", "turned.csv", "odd.csv"}
+    places = {r["output_file"] for r in arrivals.read_results(spark, f"{tmp_path}/results").collect() if r["status"] == "SUCCESS"}
+    assert len(places) == 5
 
 
 def test_scan_of_one_file(spark, tmp_path):
     (tmp_path / "good.csv").write_text(GOOD)
     (tmp_path / "other.csv").write_text(TURNED)
     assert arrivals.on_demand_file_scan(spark, str(tmp_path / "good.csv")).count() == 5
-    (tmp_path / "headed.csv").write_text("customerID,MonthlyCharges\n")
-    lines = arrivals.scan_lines(spark, str(tmp_path / "headed.csv"))
-    row = arrivals.file_results(arrivals.named_rows(lines), "now").first()
-    assert (row["total_records"], row["churn_rate_pct"], row["status"]) == (0, 0.0, "SUCCESS")
+    both = arrivals.on_demand_file_scan(spark, str(tmp_path))
+    assert both.count() == 8 and "Extra" in both.columns
+
+
+def test_headers_keep_every_column():
+    assert arrivals.header_names("﻿a, b ,A,,a,\"c,d\"") == ["a", "b", "A_2", "_c3", "a_4", "c,d"]
