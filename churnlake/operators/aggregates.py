@@ -27,7 +27,6 @@ from churnlake.functions.numbers import (
 )
 from churnlake.functions.scoring import YEAR_EDGES, YEAR_LABELS, segment_risk_label
 from churnlake.operators.relational import sort_keys
-from churnlake.plans.bounded import small_or_plain
 from churnlake.plans.ordering import quantiles
 
 def measures(*names: str, count_as: str = "total") -> list[Column]:
@@ -245,7 +244,7 @@ def histogram(df: DataFrame, value: str, bins: int, by: str) -> DataFrame:
     """
     v = as_double(value)
     spans = df.groupBy(by).agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"))
-    rows = df.select(by, v.alias("_v")).filter("_v is not null").join(small_or_plain(spans), by)
+    rows = df.select(by, v.alias("_v")).filter("_v is not null").join(spans, by)
     width = (F.col("_hi") - F.col("_lo")) / bins
     # A class with a single value has no width: all of it is in the first bin.
     place = F.when(width == 0, 1).otherwise(

@@ -1,8 +1,8 @@
 """Joins with lookups, between aggregates and by membership.
 
 The strategy is left to the optimizer, which broadcasts a side of known small size, such
-as a literal lookup. A side whose size is only known once it is computed goes through the
-check of ``small_or_plain``.
+as a literal lookup. A side whose size is only known once it is computed is judged by its
+bytes at run time, by adaptive execution.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from churnlake.functions.numbers import as_double, churn_rate, churned_count, mean, total
 from churnlake.functions.scoring import discounted_price, lookup_risk_label
-from churnlake.plans.bounded import small_or_plain
 
 
 def _on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -182,8 +181,9 @@ def join_cte_results(df: DataFrame) -> DataFrame:
 
 
 def broadcast_join(df: DataFrame, side: DataFrame, key: str, how: str = "left") -> DataFrame:
-    """Broadcast ``side`` after its size is checked; a large one is joined by shuffle."""
-    return df.join(small_or_plain(side), key, how)
+    """Join with a side that is expected to be small. It is broadcast if its bytes are below
+    ``spark.sql.autoBroadcastJoinThreshold``, as planned or as measured at run time."""
+    return df.join(side, key, how)
 
 
 def semi_join(df: DataFrame, members: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:

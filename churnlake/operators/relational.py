@@ -113,7 +113,7 @@ def limit_n(df: DataFrame, key: str, n: int) -> DataFrame:
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """``n`` rows in the order of a seeded hash of the key: the same rows on any cluster."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)
 
 
 def scalar_subquery_select(df: DataFrame, value: str, digits: int = 2) -> DataFrame:

@@ -23,8 +23,7 @@ from churnlake.functions.scoring import (
 )
 from churnlake.operators.aggregates import executive_kpis, measures
 from churnlake.operators.joins import anti_join
-from churnlake.plans.bounded import small_or_plain
-from churnlake.plans.ordering import number_rows, number_small
+from churnlake.plans.ordering import number_rows
 
 
 def staging_insert(df: DataFrame, staged_at: str) -> DataFrame:
@@ -104,23 +103,21 @@ def refreshed_scores(scores: DataFrame, min_score: int = 6) -> DataFrame:
     )
 
 
-def dim_build(df: DataFrame, columns: Sequence[str], key: str, small: bool = False) -> DataFrame:
+def dim_build(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
     """Distinct rows of the columns with a dense surrogate key in their order.
 
     The keys come from the distributed ordering, so a dimension as large as the fact
-    table does not pass through one task. ``small`` tries a plain numbering first, which
-    falls back to the same ordering when the dimension turns out to be large.
+    table does not pass through one task.
     """
     rows = df.select(*columns).distinct()
     by = [(c, "asc") for c in columns]
-    numbered = number_small(rows, by, key) if small else number_rows(rows, by, [], key)
-    return numbered.select(key, *columns)
+    return number_rows(rows, by, [], key).select(key, *columns)
 
 
 def dim_insert_ignore(df: DataFrame, unique: Sequence[str], others: Sequence[str], key: str) -> DataFrame:
     """One row per unique combination; of several the smallest remaining values are kept."""
     kept = df.groupBy(*unique).agg(F.min(F.struct(*others)).alias("_o")).select(*unique, "_o.*")
-    return number_small(kept, [(c, "asc") for c in unique], key).select(key, *unique, *others)
+    return number_rows(kept, [(c, "asc") for c in unique], [], key).select(key, *unique, *others)
 
 
 def fact_build(
@@ -132,16 +129,15 @@ def fact_build(
     """Measures with the surrogate key of each given dimension; an unknown natural key
     leaves a null.
 
-    Plans and payments are broadcast after a size check; customers are as many as the
-    facts and are joined by shuffle on the natural key.
+    Adaptive execution picks each join's strategy by the dimension's size.
     """
     out, keys = df, []
     if plans is not None:
         natural = ["contract", "internet_service", "phone_service"]
-        out = out.join(small_or_plain(plans.select("plan_key", *natural)), natural, "left")
+        out = out.join(plans.select("plan_key", *natural), natural, "left")
         keys.append("plan_key")
     if payments is not None:
-        out = out.join(small_or_plain(payments.select("payment_key", "payment_method")), "payment_method", "left")
+        out = out.join(payments.select("payment_key", "payment_method"), "payment_method", "left")
         keys.append("payment_key")
     if customers is not None:
         out = out.join(customers.select("customer_key", "customer_id"), "customer_id", "left")
@@ -169,7 +165,7 @@ def _star(fact: DataFrame, dim: DataFrame, key: str, by: Sequence[str], *measure
 def star_query_plan(fact: DataFrame, plans: DataFrame) -> DataFrame:
     return _star(
         fact,
-        small_or_plain(plans.select("plan_key", "contract", "internet_service")),
+        plans.select("plan_key", "contract", "internet_service"),
         "plan_key",
         ["contract", "internet_service"],
         F.count(F.lit(1)).alias("subscriptions"),
@@ -182,7 +178,7 @@ def star_query_payment(fact: DataFrame, payments: DataFrame) -> DataFrame:
     """Per category and risk; a group with several reliabilities reports the lowest."""
     return _star(
         fact,
-        small_or_plain(payments.select("payment_key", "payment_category", "risk_level", "reliability_score")),
+        payments.select("payment_key", "payment_category", "risk_level", "reliability_score"),
         "payment_key",
         ["payment_category", "risk_level"],
         F.min("reliability_score").alias("reliability_score"),

@@ -7,7 +7,8 @@ by their domain: lifecycle stages, or months of tenure up to a limit.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,7 +27,6 @@ from churnlake.functions.numbers import (
     total_where,
 )
 from churnlake.operators.relational import Order, sort_keys
-from churnlake.plans.bounded import small_or_plain
 from churnlake.plans.ordering import ranked, running_sum
 
 # Names of charge quartiles and value quintiles.
@@ -52,16 +52,36 @@ def rank_vs_dense(df: DataFrame, by: Order, tie: Sequence[str]) -> DataFrame:
 
 def rank_top_with_ties(df: DataFrame, group: str, by: Order, n: int, name: str) -> DataFrame:
     """Rows ranked at most ``n`` in their group, every tied row kept."""
-    w = Window.partitionBy(group).orderBy(*sort_keys(by))
-    return df.withColumn(name, F.rank().over(w)).filter(F.col(name) <= n)
+    return _with_value_ranks(df, group, by, n, {name: "_rank"})
+
+
+def _with_value_ranks(df: DataFrame, group: str, by: Order, n: int, names: Mapping[str, str]) -> DataFrame:
+    """Rows whose values rank at most ``n`` in their group.
+
+    The distinct values are counted and ranked, at most ``n`` of them per group, and joined
+    back: no task sorts the rows of a group, however many share a value.
+    """
+    columns = [c for c, _ in by]
+    order = Window.partitionBy(group).orderBy(*sort_keys(by))
+    before = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    values = (
+        df.groupBy(group, *columns)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_dense", F.row_number().over(order))
+        .filter(F.col("_dense") <= n)
+        .withColumn("_rank", (F.coalesce(before, F.lit(0)) + 1).cast("int"))
+        .filter(F.col("_rank") <= n)
+    )
+    told = values.select(
+        *[F.col(c).alias(f"_v_{c}") for c in (group, *columns)], *[F.col(c).alias(name) for name, c in names.items()]
+    )
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_v_{c}")) for c in (group, *columns)])
+    return df.join(told, same).select(*df.columns, *names)
 
 
 def rank_and_dense_top(df: DataFrame, group: str, by: Order, n: int) -> DataFrame:
     """The same with both rankings beside each row."""
-    w = Window.partitionBy(group).orderBy(*sort_keys(by))
-    top = df.withColumn("spend_rank", F.rank().over(w)).filter(F.col("spend_rank") <= n)
-    # Rows above the cut are complete from the top, so their dense rank is final.
-    return top.withColumn("spend_dense_rank", F.dense_rank().over(w))
+    return _with_value_ranks(df, group, by, n, {"spend_rank": "_rank", "spend_dense_rank": "_dense"})
 
 
 def rank_then_filter(df: DataFrame, group: str, by: Order, n: int, keep: Column, name: str) -> DataFrame:
@@ -98,11 +118,11 @@ def with_group_mean(df: DataFrame, group: str, value: str, name: str) -> DataFra
     """Unrounded group mean on every row.
 
     A window would send a whole group to one task. The means are aggregated with partial
-    sums and joined back, by broadcast when their number is small.
+    sums and joined back.
     """
     means = df.groupBy(group).agg(raw_mean(value).alias(name))
     same = F.col(group).eqNullSafe(F.col("_group"))
-    return df.join(small_or_plain(means.withColumnRenamed(group, "_group")), same, "left").drop("_group")
+    return df.join(means.withColumnRenamed(group, "_group"), same, "left").drop("_group")
 
 
 def vs_partition_avg(df: DataFrame) -> DataFrame:
@@ -221,7 +241,7 @@ def ranked_customers(df: DataFrame, key: str) -> DataFrame:
         ntile={"charge_quartile": 4},
     )
     ties = placed.groupBy("monthly_charges").agg(F.max("_row").alias("_last"), F.count(F.lit(1)).alias("_ties"))
-    tied = small_or_plain(ties.filter("_ties > 1").select("monthly_charges", "_last"))
+    tied = ties.filter("_ties > 1").select("monthly_charges", "_last")
     n = df.agg(F.count(F.lit(1))).scalar()
     out = placed.join(tied, "monthly_charges", "left").withColumn(
         "revenue_rank", n - F.coalesce("_last", "_row") + 1

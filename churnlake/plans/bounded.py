@@ -1,4 +1,4 @@
-"""Frozen intermediate tables and broadcasts behind a size check."""
+"""Frozen intermediate tables in the shared folder."""
 
 from __future__ import annotations
 
@@ -6,9 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-BROADCAST_ROWS = 10_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -41,25 +38,3 @@ def freeze(df: DataFrame, name: str = "frozen") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
-    """``df`` as a local relation if it has at most ``max_rows`` rows, else None.
-
-    The check fetches one row more than the limit, so it is bounded whatever the size, and
-    a small frame is not computed a second time.
-    """
-    limit = BROADCAST_ROWS if max_rows is None else max_rows
-    rows = df.limit(limit + 1).toArrow()
-    if rows.num_rows > limit:
-        return None
-    return df.sparkSession.createDataFrame(rows, df.schema)
-
-
-def small_or_plain(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``df`` as a broadcast side if it is small, else unchanged.
-
-    A large side is joined by shuffle, where adaptive execution splits skewed partitions.
-    """
-    local = if_small(df, max_rows)
-    return df if local is None else F.broadcast(local)

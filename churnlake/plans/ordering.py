@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlake.plans.bounded import freeze, if_small, small_or_plain
+from churnlake.plans.bounded import freeze
 
 # monotonically_increasing_id keeps the position inside the partition in its low 33 bits.
 _POSITION_BITS = 33
@@ -80,41 +80,19 @@ def number_rows(df: DataFrame, by: Order, tie: Sequence[str], name: str = "row_n
 def running_sum(df: DataFrame, by: str, way: str, value: str, name: str) -> DataFrame:
     """``df`` with the sum of ``value`` up to and including all rows tied on ``by``.
 
-    The values of ``by`` are summed first. Up to ``BROADCAST_ROWS`` of them go through one
-    plain window; more are summed inside their range partitions, each of which then adds
-    the total of the partitions before it.
+    The values of ``by`` are summed first, then inside their range partitions; each partition
+    adds the total of those before it.
     """
     per_value = df.groupBy(by).agg(F.sum(value).alias("_s"))
-    order = _sort_columns([(by, way)], [])
-    local = if_small(per_value)
-    if local is not None:
-        w = Window.orderBy(*order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        sums = F.broadcast(local.select(F.col(by).alias("_by"), F.sum("_s").over(w).alias(name)))
-    else:
-        placed = _placed(per_value, order)
-        inside = Window.partitionBy("_part").orderBy("_position").rowsBetween(Window.unboundedPreceding, 0)
-        offsets = (
-            placed.groupBy("_part").agg(F.sum("_s").alias("_n")).select("_part", _sum_before().alias("_before"))
-        )
-        sums = placed.join(F.broadcast(offsets), "_part").select(
-            F.col(by).alias("_by"), (F.sum("_s").over(inside) + F.coalesce("_before", F.lit(0))).alias(name)
-        )
+    placed = _placed(per_value, _sort_columns([(by, way)], []))
+    inside = Window.partitionBy("_part").orderBy("_position").rowsBetween(Window.unboundedPreceding, 0)
+    offsets = placed.groupBy("_part").agg(F.sum("_s").alias("_n")).select("_part", _sum_before().alias("_before"))
+    sums = placed.join(F.broadcast(offsets), "_part").select(
+        F.col(by).alias("_by"), (F.sum("_s").over(inside) + F.coalesce("_before", F.lit(0))).alias(name)
+    )
     return df.join(sums, F.col(by).eqNullSafe(F.col("_by")), "left").drop("_by")
 
 
-def number_small(df: DataFrame, by: Order, name: str = "row_number") -> DataFrame:
-    """``number_rows`` for a frame that is expected to be small, such as a dimension.
-
-    Up to ``BROADCAST_ROWS`` rows are numbered by one plain window; a larger frame is
-    ordered like any table. ``by`` must identify a row.
-    """
-    local = if_small(df)
-    if local is None:
-        return number_rows(df, by, [], name).drop("_total")
-    w = Window.orderBy(*_sort_columns(by, []))
-    return local.withColumn(name, F.row_number().over(w).cast("bigint"))
-
-
 def ntile_of(position: Column, total: Column, tiles: int) -> Column:
     """Bucket of a 1-based position; the first ``total mod tiles`` buckets get one extra row."""
     k = F.lit(tiles)
@@ -151,10 +129,10 @@ def ranked(
         keys = out.groupBy(*names).agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_ties"))
         if dense_rank:
             numbered = number_rows(keys, [("_first", "asc")], [], "_dense").drop("_total")
-            out = _join_values(out, small_or_plain(numbered), names, ["_first", "_dense"])
+            out = _join_values(out, numbered, names, ["_first", "_dense"])
             added[dense_rank] = F.col("_dense")
         else:
-            out = _join_values(out, small_or_plain(keys.filter("_ties > 1")), names, ["_first"])
+            out = _join_values(out, keys.filter("_ties > 1"), names, ["_first"])
         if rank:
             added[rank] = F.coalesce(F.col("_first"), F.col("_row"))
     return out.withColumns(added).select(*df.columns, *added)
@@ -185,9 +163,7 @@ def quantiles(
     ).filter(F.col("_value").isNotNull())
     rows = number_rows(long, [("_c", "asc"), ("_value", "asc")], tie, "_row").select("_c", "_value", "_row")
     # One row per column.
-    spans = small_or_plain(
-        rows.groupBy("_c").agg(F.min("_row").alias("_start"), F.count(F.lit(1)).alias("_n"), *also)
-    )
+    spans = rows.groupBy("_c").agg(F.min("_row").alias("_start"), F.count(F.lit(1)).alias("_n"), *also)
     at = F.array(*[F.struct(F.lit(q).alias("label"), F.lit(p).alias("p")) for q, p in probs.items()])
     wanted = spans.select("_c", "_start", ((F.col("_n") - 1)).alias("_last"), F.explode(at).alias("_q")).select(
         "_c", F.col("_q.label").alias("_label"), (F.col("_last") * F.col("_q.p")).alias("_at"), "_start"

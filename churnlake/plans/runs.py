@@ -17,10 +17,9 @@ from pyspark.sql import functions as F
 
 from churnlake.functions.numbers import mean, mean_where, percent, total, total_where
 from churnlake.functions.scoring import lifetime_value, risk_label_753, risk_score_full
-from churnlake.operators.quality import ValidationError, customer_rules, quality_checks
+from churnlake.operators.quality import ValidationError, customer_rules, quality_checks, validation_gate
 from churnlake.operators.windows import rank_then_filter
-from churnlake.plans.bounded import small_or_plain
-from churnlake.sinks.files import reused, write_json_report, write_single_file
+from churnlake.sinks.files import write_csv, write_json_report
 
 log = logging.getLogger(__name__)
 
@@ -88,10 +87,22 @@ def kpis(df: DataFrame) -> DataFrame:
     )
 
 
+def gate(df: DataFrame) -> dict[str, Any]:
+    """Share of rows without a customer or with impossible figures, checked against the limit."""
+    bad = (
+        F.when(F.col("customer_id").isNull(), "no customer")
+        .when(~F.coalesce(F.col("monthly_charges") >= 0, F.lit(False)), "charges")
+        .when(~F.coalesce(F.col("tenure") >= 0, F.lit(False)), "tenure")
+    )
+    row = validation_gate(df.withColumn("reason", bad))
+    return {"invalid_records": row["invalid_records"]}
+
+
 def churn_run(spark: SparkSession, read: Callable[[], DataFrame], out: str, run_at: str) -> RunReport:
     """The standard run: read, check, score, rank, summarise, save.
 
-    The scored frame is kept once and read by the ranking, the summary and the save.
+    The gate ends the run before anything is written if too many rows are invalid. The scored
+    frame is written once and read back by the ranking and the summary.
     """
     state: dict[str, DataFrame] = {}
 
@@ -104,14 +115,16 @@ def churn_run(spark: SparkSession, read: Callable[[], DataFrame], out: str, run_
             raise ValidationError("No records to validate")
         report.metrics["data_quality"] = "ALL PASSED" if row["all_passed"] else "ISSUES FOUND"
         report.metrics["total_records"] = row["total_records"]
+        report.metrics |= gate(state["rows"])
 
     def save(report: RunReport) -> None:
-        with reused(enriched(state["rows"])) as kept:
-            kept.write.mode("overwrite").parquet(f"{out}/enriched")
-            write_single_file(top_priority(kept), f"{out}/top_priority")
-            summary = kpis(kept)
-            write_json_report(summary.withColumn("run_at", F.lit(run_at)), f"{out}/report")
-            report.metrics["executive_summary"] = summary.first().asDict()
+        scored = enriched(state["rows"])
+        scored.write.mode("overwrite").parquet(f"{out}/enriched")
+        kept = spark.read.schema(scored.schema).parquet(f"{out}/enriched")
+        write_csv(top_priority(kept), f"{out}/top_priority")
+        summary = kpis(kept)
+        write_json_report(summary.withColumn("run_at", F.lit(run_at)), f"{out}/report")
+        report.metrics["executive_summary"] = summary.first().asDict()
 
     return run_stages("churn run", {"extract": extract, "quality": check, "transform and load": save})
 
@@ -151,9 +164,7 @@ def insights(df: DataFrame) -> DataFrame:
     """
     gone, kept = F.col("churn") == 1, F.col("churn") == 0
     keys = list(INSIGHT_GROUPS.values())
-    combos = small_or_plain(
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.count_if(gone).alias("_gone"))
-    )
+    combos = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.count_if(gone).alias("_gone")))
     out = df.agg(
         F.count(F.lit(1)).alias("total_customers"),
         F.count_if(gone).alias("churned_customers"),

@@ -211,9 +211,9 @@ def pivot_rates(spark, base):
 @register("pivot_value", q.subs(
     "SELECT payment_method, "
     + ", ".join(f"COALESCE(MAX(CASE WHEN contract = '{v}' THEN churn_rate_pct END), 0) AS {n}" for v, n in CONTRACTS.items())
-    + f" FROM (SELECT payment_method, contract, {q.RATE} AS churn_rate_pct FROM subs WHERE tenure <= 24 GROUP BY 1, 2) t GROUP BY payment_method"))
+    + f" FROM (SELECT payment_method, contract, {q.RATE} AS churn_rate_pct FROM subs GROUP BY 1, 2) t GROUP BY payment_method"))
 def pivot_value(spark, base):
-    df = subs(spark, base, "payment_method", "contract", "tenure", "churn").filter("tenure <= 24")
+    df = subs(spark, base, "payment_method", "contract", "churn")
     rates = df.groupBy("payment_method", "contract").agg(*op.measures("churn_rate_pct"))
     return op.pivot_value(rates, "payment_method", "contract", "churn_rate_pct", CONTRACTS)
 

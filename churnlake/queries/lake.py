@@ -1,5 +1,7 @@
 """Sources and sinks bound to the tables: each query writes what it then reads."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from churnlake.functions import text
@@ -76,12 +78,12 @@ def read_or_empty(spark, base):
 
 @register("latest_file", "SELECT p_brand, COUNT(*) AS n FROM part WHERE p_size > 25 GROUP BY p_brand")
 def latest_file(spark, base):
-    """Two drops in one folder; the newer holds the larger parts."""
+    """Two drops of any number of files; the newer holds the larger parts."""
     root = scratch_path(spark, "drops")
     small, large = _part(spark, base).filter("p_size <= 25"), _part(spark, base).filter("p_size > 25")
-    sink.write_single_file(small, f"{root}/a")
-    sink.write_single_file(large, f"{root}/b")
-    newest = source.latest_file(spark, root)
+    sink.write_csv(small, f"{root}/a")
+    sink.write_csv(large, f"{root}/b")
+    newest = source.latest_drop(spark, root)
     return source.read_csv_schema(spark, newest, _PART_SCHEMA).groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -104,12 +106,12 @@ def lake_inventory(spark, base):
     return source.lake_inventory(spark, root)
 
 
-@register("schema_from_sample", """SELECT p_size, COUNT(*) AS n, SUM(p_retailprice) > 0 AS priced FROM part GROUP BY p_size""")
+@register("schema_from_sample", """SELECT p_size, COUNT(*) AS n, CAST(SUM(CAST(p_retailprice * 100 AS BIGINT)) AS BIGINT) AS cents FROM part GROUP BY p_size""")
 def schema_from_sample(spark, base):
     path = _part_csv(spark, base)
     schema = source.schema_from_sample(spark, source.latest_file(spark, path))
     df = source.read_csv_schema(spark, path, schema)
-    return df.groupBy("p_size").agg(F.count(F.lit(1)).alias("n"), (F.sum("p_retailprice") > 0).alias("priced"))
+    return df.groupBy("p_size").agg(F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("p_retailprice") * 100).cast("bigint")).alias("cents"))
 
 
 @register("write_csv", "SELECT s_suppkey, s_name, s_acctbal FROM supplier")
@@ -133,12 +135,12 @@ def write_single_file(spark, base):
 
 
 @register("write_partitioned", q.subs(
-    "SELECT LOWER(REPLACE(REPLACE(contract, '-', '_'), ' ', '_')) AS contract_slug, churn, COUNT(*) AS n FROM subs WHERE contract = 'Month-to-month' GROUP BY ALL"))
+    "SELECT LOWER(REPLACE(REPLACE(contract, '-', '_'), ' ', '_')) AS contract_slug, churn, COUNT(*) AS n FROM subs GROUP BY ALL"))
 def write_partitioned(spark, base):
     path = scratch_path(spark, "partitioned")
     df = subs(spark, base, "customer_id", "contract", "churn").withColumn("contract_slug", text.partition_slug("contract"))
     sink.write_partitioned(df, path, ["contract_slug", "churn"])
-    stored = spark.read.parquet(path).filter("contract_slug = 'month_to_month'")
+    stored = spark.read.parquet(path)
     return stored.groupBy("contract_slug", "churn").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -164,7 +166,7 @@ def ctas(spark, base):
     summary = subs(spark, base, "contract", "monthly_charges").groupBy("contract").agg(
         F.count(F.lit(1)).alias("customers"), total("monthly_charges").alias("revenue")
     )
-    return sink.ctas(summary, "contract_totals", scratch_path(spark, "ctas"))
+    return sink.ctas(summary, f"contract_totals_{uuid.uuid4().hex}", scratch_path(spark, "ctas"))
 
 
 @register("split_outputs", q.subs(

@@ -57,7 +57,7 @@ def duplicate_summary(spark, base):
 
 
 @register("required_columns",
-    """SELECT 'Missing column: ' || c AS issue FROM (VALUES ('MonthlyCharges'), ('Churn'), ('Contract'), ('tenure'), ('customerID'),
+    """SELECT 'Missing column: ' || c AS issue FROM (VALUES ('customerID'), ('Churn'), ('Contract'), ('tenure'), ('MonthlyCharges'),
        ('TotalCharges'), ('InternetService'), ('PaymentMethod')) v(c)
        WHERE LOWER(c) NOT IN (SELECT 'churn' UNION SELECT 'contract' UNION SELECT 'tenure')
        UNION ALL SELECT 'Duplicate owner_ids found' WHERE (SELECT COUNT(*) - COUNT(DISTINCT o_custkey) FROM orders) > 0""")

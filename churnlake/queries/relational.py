@@ -144,10 +144,12 @@ def limit_n(spark, base):
     return op.limit_n(subs(spark, base, "customer_id", "tenure", "contract"), "customer_id", 5)
 
 
-@register("sample_rows")
+@register("sample_rows", q.subs(
+    """SELECT customer_id, tenure, CAST(monthly_charges AS DOUBLE) AS monthly_charges, contract, churn FROM subs
+       ORDER BY md5('42:' || CAST(customer_id AS VARCHAR)), customer_id LIMIT 5"""))
 def sample_rows(spark, base):
     df = subs(spark, base, "customer_id", "tenure", "monthly_charges", "contract", "churn")
-    return op.sample_rows(df, "customer_id", 5, seed=42)
+    return op.sample_rows(df, "customer_id", 5, seed=42).withColumn("monthly_charges", F.col("monthly_charges").cast("double"))
 
 
 _MEAN = "mean AS (SELECT SUM(CAST(monthly_charges*100 AS HUGEINT)) AS s, COUNT(*) AS n FROM subs)"

@@ -150,7 +150,7 @@ def _plans(spark, base):
 
 def _payments(spark, base):
     literal = lookups.from_literals(spark, lookups.PAYMENT_RISK)
-    return op.dim_build(literal, literal.columns, "payment_key", small=True)
+    return op.dim_build(literal, literal.columns, "payment_key")
 
 
 def _fact(spark, base, **dims):
@@ -223,6 +223,24 @@ def reporting_views(spark, base):
     )
 
 
+@register("reporting_view_kpis", q.subs(
+    f"""SELECT COUNT(*) AS total_customers, {q.CHURNED} AS total_churned, {q.pct('SUM(churn)', 'COUNT(*)', 2)} AS churn_rate_pct, {q.REVENUE} AS monthly_revenue FROM subs"""))
+def reporting_view_kpis(spark, base):
+    _views(spark, base)
+    return spark.sql("SELECT total_customers, total_churned, churn_rate_pct, monthly_revenue FROM vw_executive_kpis")
+
+
+@register("reporting_view_summary", q.subs(
+    f"""SELECT contract, internet_service, COUNT(*) AS total, {q.RATE} AS churn_rate_pct FROM subs GROUP BY ALL
+        ORDER BY churn_rate_pct DESC, contract, internet_service LIMIT 5"""))
+def reporting_view_summary(spark, base):
+    _views(spark, base)
+    return spark.sql(
+        """SELECT contract, internet_service, total, churn_rate_pct FROM vw_churn_summary
+           ORDER BY churn_rate_pct DESC, contract, internet_service LIMIT 5"""
+    )
+
+
 @register("reporting_view_risk", q.subs(
     f"""SELECT customer_id, contract, risk_score, action FROM list WHERE monthly_charges >= {100 * q.UNIT} AND risk_score >= 7
         ORDER BY monthly_charges DESC, customer_id LIMIT 8""", _VIEW))

@@ -1,7 +1,7 @@
 """File outputs.
 
-A full table is written in parallel. One file is written only for a result whose size has
-been checked.
+A full table is written in parallel. One file is for results that the caller bounds, such as
+an aggregate or a limited list.
 """
 
 from __future__ import annotations
@@ -13,22 +13,15 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SINGLE_FILE_ROWS = 100_000
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_single_file(df: DataFrame, path: str, max_rows: int = SINGLE_FILE_ROWS) -> bool:
-    """One CSV file when the result is small, else as many as it needs; True for one file.
-
-    The check stops reading after ``max_rows + 1`` rows. The result should be an aggregate
-    or a limited list: it is computed for the check and again for the write.
-    """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    write_csv(df.coalesce(1) if small else df, path)
-    return small
+def write_single_file(df: DataFrame, path: str) -> None:
+    """One CSV file, whatever the size: for a result that the caller bounds; a table of open
+    size belongs in ``write_csv``. Only the finished rows go to one task, not the work
+    before."""
+    write_csv(df.repartition(1), path)
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str], sort: Sequence[str] = ()) -> None:
@@ -52,7 +45,7 @@ def layout_for_filters(df: DataFrame, path: str, by: str, sort: Sequence[str]) -
 
 def write_json_report(report: DataFrame, path: str) -> None:
     """A one-row report as one JSON document."""
-    report.coalesce(1).write.mode("overwrite").json(path)
+    report.repartition(1).write.mode("overwrite").json(path)
 
 
 def ctas(df: DataFrame, name: str, path: str) -> DataFrame:
@@ -85,10 +78,12 @@ def split_outputs(enriched: DataFrame) -> Mapping[str, DataFrame]:
 
 
 def write_split_outputs(enriched: DataFrame, root: str) -> list[str]:
-    """Write the three subsets of one frame, computed once."""
-    with reused(enriched) as kept:
-        outputs = split_outputs(kept)
-        for name, df in outputs.items():
+    """Write the three subsets of one frame. The frame is computed for the first and read back
+    for the others."""
+    enriched.write.mode("overwrite").parquet(f"{root}/enriched")
+    outputs = split_outputs(enriched.sparkSession.read.schema(enriched.schema).parquet(f"{root}/enriched"))
+    for name, df in outputs.items():
+        if name != "enriched":
             df.write.mode("overwrite").parquet(f"{root}/{name}")
     return list(outputs)
 

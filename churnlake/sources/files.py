@@ -88,6 +88,12 @@ def latest_file(spark: SparkSession, root: str, pattern: str = "*.csv") -> str |
     return list_files(spark, root, pattern).agg(newest.alias("path")).first()["path"]
 
 
+def latest_drop(spark: SparkSession, root: str, pattern: str = "*.csv") -> str | None:
+    """Folder of the newest file below a folder: a drop of any number of files."""
+    newest = latest_file(spark, root, pattern)
+    return newest.rsplit("/", 1)[0] if newest else None
+
+
 def read_all_under_prefix(
     spark: SparkSession, root: str, schema: str | T.StructType, pattern: str = "*.csv"
 ) -> DataFrame:

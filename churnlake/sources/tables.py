@@ -3,18 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
-
-_SCHEMAS: dict[str, StructType] = {}
-
 
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """A table by name. Its footer is read once per process; later reads reuse the schema
-    and start no job."""
-    path = f"{base}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    """A table by name, with the schema it has now."""
+    return spark.read.parquet(f"{base}/{name}.parquet")
 
 
 def register_views(spark: SparkSession, base: str, names: list[str]) -> None:

@@ -6,16 +6,19 @@ from decimal import Decimal
 import numpy as np
 import pytest
 from conftest import rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from churnlake.functions import ladders, numbers, scoring, text
 from churnlake.operators import aggregates, joins, quality, relational, warehouse, windows
-from churnlake.plans import bounded, ordering, runs
+from churnlake.operators.quality import ValidationError
+from churnlake.plans import ordering, runs
 from churnlake.sinks import files as sink
 from churnlake.sinks import versions
 from churnlake.sources import calendar
 from churnlake.sources import documents as docs
 from churnlake.sources import files as source
+from churnlake.sources.tables import table
 
 SUBS = "customer_id bigint, contract string, payment_method string, tenure int, monthly_charges decimal(18,2), churn int"
 
@@ -56,14 +59,34 @@ def test_rankings_of_nulls_and_of_nothing(spark):
     assert ordering.ranked(df.filter("id > 9"), [("v", "asc")], ["id"], "rn").count() == 0
 
 
-def test_large_sides_are_not_broadcast(spark, monkeypatch):
-    """Beyond the size limit the same rows come from a shuffle join."""
-    monkeypatch.setattr(bounded, "BROADCAST_ROWS", 3)
+def test_ranks_of_many_ties(spark):
     df = spark.createDataFrame([(i, i % 10) for i in range(100)], "id bigint, v int")
     out = ordering.ranked(df, [("v", "asc")], ["id"], rank="rk", dense_rank="dr")
     assert rows(out.filter("v = 9").select("rk", "dr").distinct()) == [(91, 10)]
-    side = bounded.small_or_plain(df.select("v"), 3)
-    assert "broadcast" not in side._jdf.queryExecution().logical().toString().lower()
+
+
+def test_top_ranks_keep_ties_without_sorting_rows(spark):
+    df = spark.createDataFrame([(i, "g" if i % 3 else "h", 7 if i < 40 else i % 9) for i in range(120)], "id int, g string, v int")
+    out = windows.rank_and_dense_top(df, "g", [("v", "desc")], 30)
+    w = Window.partitionBy("g").orderBy(F.desc("v"))
+    plain = df.withColumns({"r": F.rank().over(w), "d": F.dense_rank().over(w)}).filter("r <= 30")
+    assert rows(out, "id", "spend_rank", "spend_dense_rank") == rows(plain, "id", "r", "d")
+
+
+def test_a_table_has_the_schema_it_has_now(spark, tmp_path):
+    path = f"{tmp_path}/t.parquet"
+    spark.range(3).write.parquet(path)
+    assert table(spark, str(tmp_path), "t").columns == ["id"]
+    spark.range(3).withColumn("more", F.lit(1)).write.mode("overwrite").parquet(path)
+    assert table(spark, str(tmp_path), "t").columns == ["id", "more"]
+
+
+def test_a_failing_gate_writes_nothing(spark, tmp_path):
+    bad = spark.createDataFrame([(i, -1.0 if i < 3 else 5.0, 1) for i in range(10)], "customer_id int, monthly_charges double, tenure int")
+    with pytest.raises(ValidationError):
+        runs.gate(bad)
+    report = runs.churn_run(spark, lambda: bad, f"{tmp_path}/out", "now")
+    assert report.status == "FAILED" and not (tmp_path / "out").exists()
 
 
 def test_quantiles_equal_numpy(spark):
@@ -76,15 +99,7 @@ def test_quantiles_equal_numpy(spark):
         assert np.allclose([row["p25"], row["p50"], row["p90"]], np.quantile(values, [0.25, 0.5, 0.9]))
 
 
-def test_number_small_falls_back(spark, monkeypatch):
-    monkeypatch.setattr(bounded, "BROADCAST_ROWS", 2)
-    out = ordering.number_small(spark.range(5).select((9 - F.col("id")).alias("k")), [("k", "asc")], "n")
-    assert rows(out) == [(5, 1), (6, 2), (7, 3), (8, 4), (9, 5)]
-
-
-@pytest.mark.parametrize("limit", [10_000, 3])
-def test_running_sum_includes_ties(spark, monkeypatch, limit):
-    monkeypatch.setattr(bounded, "BROADCAST_ROWS", limit)
+def test_running_sum_includes_ties(spark):
     data = [(i, i % 7, i) for i in range(50)] + [(50, None, 1)]
     out = ordering.running_sum(spark.createDataFrame(data, "id int, k int, v int"), "k", "desc", "v", "s")
     expected = [
@@ -315,12 +330,14 @@ def test_inventory_and_latest(spark, tmp_path):
     assert source.read_all_under_prefix(spark, str(tmp_path), "k int").count() == 3
 
 
-def test_single_file_only_for_small_results(spark, tmp_path):
-    df = spark.range(100).repartition(4)
-    assert sink.write_single_file(df, str(tmp_path / "one"))
+def test_single_file_and_drops_of_many_files(spark, tmp_path):
+    df = spark.range(200_000).repartition(4)
+    sink.write_single_file(df, str(tmp_path / "one"))
     assert len(list((tmp_path / "one").glob("part-*"))) == 1
-    assert not sink.write_single_file(df, str(tmp_path / "many"), max_rows=10)
-    assert len(list((tmp_path / "many").glob("part-*"))) == 4
+    sink.write_csv(df, str(tmp_path / "drops" / "a"))
+    sink.write_csv(df.filter("id < 150000"), str(tmp_path / "drops" / "b"))
+    newest = source.latest_drop(spark, str(tmp_path / "drops"))
+    assert newest.endswith("/b") and source.read_csv_schema(spark, newest, "id bigint").count() == 150_000
 
 
 def test_json_documents(spark, tmp_path):
