@@ -69,7 +69,7 @@ def stream_incoming_files(spark, base):
     root = scratch_path(spark, "arrivals")
     _drop_files(spark, base, f"{root}/incoming", ["Month-to-month", "One year", "Two year"])
     _run_stream(spark, root)
-    return arrivals.read_processed(spark, f"{root}/processed")
+    return arrivals.read_processed(spark, f"{root}/processed").drop("source")
 
 
 @register("on_demand_file_scan", q.subs(
