@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,40 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+class FrozenScope:
+    """Paths that were frozen while the scope was open."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+        self.kept: set[str] = set()
+
+    def keep(self, *frames: DataFrame) -> None:
+        """Frozen frames that the result still reads."""
+        self.kept |= {path for df in frames for path in df.inputFiles() or ()}
+
+
+_OPEN: list[FrozenScope] = []
+
+
+@contextmanager
+def frozen_scope(spark: SparkSession) -> Iterator[FrozenScope]:
+    """Frames frozen inside are deleted at the end, but for those kept, which pass to an
+    enclosing scope. What leaves the scope must read kept frames only."""
+    scope = FrozenScope()
+    _OPEN.append(scope)
+    try:
+        yield scope
+    finally:
+        _OPEN.remove(scope)
+        for path in scope.paths:
+            if any(f"/{path.rsplit('/', 1)[1]}/" in f for f in scope.kept):
+                if _OPEN:
+                    _OPEN[-1].paths.append(path)
+            else:
+                where = spark._jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def freeze(df: DataFrame, name: str = "frozen") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -36,5 +72,7 @@ def freeze(df: DataFrame, name: str = "frozen") -> DataFrame:
     and each pass reads only the columns it needs.
     """
     path = scratch_path(df.sparkSession, name)
+    if _OPEN:
+        _OPEN[-1].paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

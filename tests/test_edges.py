@@ -2,6 +2,7 @@
 
 import random
 from decimal import Decimal
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -13,6 +14,7 @@ from churnlake.functions import ladders, numbers, scoring, text
 from churnlake.operators import aggregates, joins, quality, relational, warehouse, windows
 from churnlake.operators.quality import ValidationError
 from churnlake.plans import ordering, runs
+from churnlake.plans.bounded import freeze, frozen_scope
 from churnlake.sinks import files as sink
 from churnlake.sinks import versions
 from churnlake.sources import calendar
@@ -81,6 +83,17 @@ def test_a_table_has_the_schema_it_has_now(spark, tmp_path):
     assert table(spark, str(tmp_path), "t").columns == ["id", "more"]
 
 
+def test_frozen_frames_go_with_their_scope(spark):
+    with frozen_scope(spark) as outer:
+        with frozen_scope(spark) as inner:
+            gone, kept = freeze(spark.range(3), "gone"), freeze(spark.range(4), "kept")
+            paths = [Path(df.inputFiles()[0].removeprefix("file:").replace("//", "/")) for df in (gone, kept)]
+            inner.keep(kept)
+        assert kept.count() == 4 and not paths[0].exists() and paths[1].exists()
+        assert len(outer.paths) == 1
+    assert not paths[1].exists()
+
+
 def test_a_failing_gate_writes_nothing(spark, tmp_path):
     bad = spark.createDataFrame([(i, -1.0 if i < 3 else 5.0, 1) for i in range(10)], "customer_id int, monthly_charges double, tenure int")
     with pytest.raises(ValidationError):
