@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -118,14 +119,20 @@ class Kernel:
 
     def against(self, words: Sequence[str], landmarks: Sequence[str]) -> np.ndarray:
         """Kernels of words (rows) with landmarks (columns)."""
-        tables = np.stack([self.table(w) for w in landmarks], axis=1)
-        used = np.flatnonzero(tables.any(axis=1))
-        row = np.zeros(_LETTERS**3, np.int64)
+        letters = np.array([len(w) for w in landmarks], np.int64)
+        column = np.repeat(np.arange(len(landmarks)), letters)
+        found = [(features, column[at], weight) for at, features, weight in self.each(landmarks)]
+        used = np.unique(np.concatenate([f for f, _, _ in found]))
+        row = np.zeros(_LETTERS**3, np.int32)
         row[used] = np.arange(1, len(used) + 1)
-        dense = np.vstack([np.zeros((1, len(landmarks))), tables[used]])
+        # Only subsequences of landmarks have a row; the first row stands for all others.
+        dense = np.zeros((len(used) + 1, len(landmarks)))
+        for features, columns, weight in found:
+            np.add.at(dense, (row[features], columns), weight)
+        dense /= self.norms(letters)
         out = np.zeros((len(words), len(landmarks)))
-        for first in range(0, len(words), 1000):
-            part = words[first : first + 1000]
+        for first in range(0, len(words), 500):
+            part = words[first : first + 500]
             lengths = np.array([len(w) for w in part], np.int64)
             owner = np.repeat(np.arange(len(part)), lengths)
             for at, features, weight in self.each(part):
@@ -157,12 +164,13 @@ class ToxicModel:
 
     def margins(self, words: Sequence[str], kernel: Kernel) -> np.ndarray:
         """Margin of each word: that of its worst variant."""
-        if not words:
-            return np.zeros(0)
-        each = [variants(w) for w in words]
-        flat = kernel.scores([u for v in each for u in v], self.weights)
-        starts = np.cumsum([0] + [len(v) for v in each[:-1]])
-        return np.maximum.reduceat(flat, starts) + self.bias
+        out = [np.zeros(0)]
+        for first in range(0, len(words), 50_000):
+            each = [variants(w) for w in words[first : first + 50_000]]
+            flat = kernel.scores([u for v in each for u in v], self.weights)
+            starts = np.cumsum([0] + [len(v) for v in each[:-1]])
+            out.append(np.maximum.reduceat(flat, starts) + self.bias)
+        return np.concatenate(out)
 
     def probability(self, margin: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -60, 60)))
@@ -230,7 +238,8 @@ def fit(texts: Sequence[str], toxic: Sequence[int]) -> ToxicModel:
     """Learn from labelled texts. Without any word that toxic texts alone share, every text
     gets the share of toxic ones as its score."""
     toxic = np.array(toxic, int)
-    docs = [units_of(t) for t in texts]
+    # Equal words of all texts are one object, which keeps the driver's memory small.
+    docs = [set(map(sys.intern, units_of(t))) for t in texts]
     rate = (toxic.sum() + 1) / (len(toxic) + 2)
     letters = Counter(c for d in docs[:500] for w in d for c in w if c.isalpha())
     alphabet = "".join(sorted(c for c, _ in letters.most_common(_LETTERS - 2)))
@@ -257,7 +266,9 @@ def fit(texts: Sequence[str], toxic: Sequence[int]) -> ToxicModel:
         y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
         w = _support_vectors(kernel.against(shown(words), shown(landmarks)) @ map_, y, np.full(len(y), COST))
         model.bias = float(w[-1])
-        model.weights = sum(a * kernel.table(l) for a, l in zip(map_ @ w[:-1], shown(landmarks)))
+        model.weights = np.zeros(_LETTERS**3)
+        for share, landmark in zip(map_ @ w[:-1], shown(landmarks)):
+            model.weights += share * kernel.table(landmark)
         margin = model.margins(clean, kernel)
         worst = [clean[i] for i in np.argsort(-margin, kind="stable")[:1500] if margin[i] > -1]
         negative |= dict.fromkeys(worst)
@@ -318,9 +329,7 @@ class _Scorer:
         if len(self.known) + len(distinct) > REMEMBERED:
             self.known.clear()
         new = [w for w in distinct if w not in self.known]
-        for i in range(0, len(new), 100_000):
-            words = new[i : i + 100_000]
-            self.known.update(zip(words, self.model.margins(words, self.kernel).tolist()))
+        self.known.update(zip(new, self.model.margins(new, self.kernel).tolist()))
         known, empty = self.known.__getitem__, self.model.bias
         worst = np.array([max(map(known, d), default=empty) for d in docs], float)
         return self.model.probability(worst)
