@@ -225,6 +225,15 @@ def staging_validation(staging: DataFrame, target: DataFrame, key: str, charge:
     )
 
 
+def validation_report(checked: DataFrame, key: str, n: int = 3) -> DataFrame:
+    """One row: counts, status, and the first ``n`` failing rows as ``key: issues``."""
+    text = F.concat(F.col(key).cast("string"), F.lit(": "), F.array_join("issues", "; "))
+    first = sample_issues(checked, key, n).select(F.struct(key, text.alias("text")).alias("row"))
+    rows = first.agg(F.array_sort(F.collect_list("row")).alias("rows"))
+    texts = rows.select(F.transform("rows", lambda r: r["text"]).alias("texts")).scalar()
+    return validation_summary(checked).withColumn("first_issues", texts)
+
+
 def invalid_share(df: DataFrame, name: str = "reason") -> DataFrame:
     """Counts behind the gate; the flag is false for an empty frame."""
     bad = F.count_if(F.col(name).isNotNull())

@@ -154,6 +154,15 @@ def sample_issues(spark, base):
     return op.sample_issues(checked, "o_orderkey").select("o_orderkey", F.array_join("issues", "; ").alias("issues"))
 
 
+@register("validation_report", q.with_(
+    """SELECT COUNT(*) AS total_records, CAST(COUNT_IF(issues = '') AS BIGINT) AS valid, CAST(COUNT_IF(issues <> '') AS BIGINT) AS invalid,
+       'WARNINGS' AS status, (SELECT STRING_AGG(o_orderkey || ': ' || issues, ' | ' ORDER BY o_orderkey)
+         FROM (SELECT o_orderkey, issues FROM checked WHERE issues <> '' ORDER BY o_orderkey LIMIT 3) f) AS first_issues FROM checked""", _TEXT))
+def validation_report(spark, base):
+    checked = op.validate_all_reasons(_customer_text(spark, base), op.customer_file_rules())
+    return op.validation_report(checked, "o_orderkey").withColumn("first_issues", F.array_join("first_issues", " | "))
+
+
 @register("validation_gate", q.with_(
     f"""SELECT COUNT(*) AS total_records, CAST(COUNT_IF(reason IS NOT NULL) AS BIGINT) AS invalid_records,
         {q.pct('COUNT_IF(reason IS NOT NULL)', 'COUNT(*)', 2)} AS invalid_pct, COUNT_IF(reason IS NOT NULL) < COUNT(*) * 0.05 AS validation_passed FROM hr_checked""", _HR))
