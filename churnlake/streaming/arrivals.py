@@ -51,7 +51,7 @@ def header_names(line: str) -> list[str]:
     in case at most get a number, so no column is lost."""
     names: list[str] = []
     seen: set[str] = set()
-    for i, name in enumerate(next(csv.reader([line.lstrip("﻿")]), [])):
+    for i, name in enumerate(next(csv.reader([line.lstrip("\ufeff")]), [])):
         name = name.strip() or f"_c{i}"
         if name.lower() in seen:
             name = f"{name}_{i}"

@@ -75,4 +75,4 @@ def test_scan_of_one_file(spark, tmp_path):
 
 
 def test_headers_keep_every_column():
-    assert arrivals.header_names("﻿a, b ,A,,a,\"c,d\"") == ["a", "b", "A_2", "_c3", "a_4", "c,d"]
+    assert arrivals.header_names("\ufeffa, b ,A,,a,\"c,d\"") == ["a", "b", "A_2", "_c3", "a_4", "c,d"]
