@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from churnlake.llm import sharedkeys
 from churnlake.llm.bloom import bloom_joins
 from churnlake.llm.words import Words, chunks, mixed, shingles
-from churnlake.plans.bounded import freeze
+from churnlake.plans.bounded import freeze, frozen_scope
 
 WIDTH = 13
 SEED = 5
@@ -443,11 +443,14 @@ def repeats(docs: DataFrame, width: int = WIDTH, frequent: int = FREQUENT) -> tu
 
 def repeat_digest(docs: DataFrame, width: int = WIDTH, frequent: int = FREQUENT) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_words, n_removed, kept_sha256``."""
-    rows, cut = repeats(docs, width, frequent)
-    lost = cut.select(
-        F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "n_removed", F.sha2("kept", 256).alias("kept_sha256")
-    ).distinct()
-    lost = freeze(lost, "lost")
+    with frozen_scope(docs.sparkSession) as scope:
+        rows, cut = repeats(docs, width, frequent)
+        rows = freeze(rows, "documents")
+        lost = cut.select(
+            F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+        ).distinct()
+        lost = freeze(lost, "lost")
+        scope.keep(rows, lost)
     return rows.join(lost, (F.col("doc_id") == F.col("d")) & (F.col("text_hash") == F.col("h")), "left").select(
         "doc_id",
         "n_words",
@@ -460,11 +463,13 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, frequent: int = FREQUEN
     """``docs`` with repeated passages cut out of ``text``, and ``n_chars`` to match if there
     is such a column. Texts that lose nothing stay as they are; a text that loses words is
     its kept words joined by one space. No row is dropped."""
-    _, cut = repeats(docs, width, frequent)
-    lost = freeze(
-        cut.filter("n_removed > 0").select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("kept").alias("_kept")).distinct(),
-        "lost",
-    )
+    with frozen_scope(docs.sparkSession) as scope:
+        _, cut = repeats(docs, width, frequent)
+        lost = freeze(
+            cut.filter("n_removed > 0").select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), F.col("kept").alias("_kept")).distinct(),
+            "lost",
+        )
+        scope.keep(lost)
     same = (F.col("doc_id") == F.col("_d")) & (F.xxhash64("text") == F.col("_h"))
     joined = docs.join(lost, same, "left")
     changed = {"text": F.coalesce("_kept", "text")}

@@ -11,9 +11,11 @@ A range may be empty in both sets. A set with fewer than n - k empty ranges can'
 partner in empty ranges alone, so it leaves them out; the rare set with more emits them.
 Nothing is cut off: no signature, bucket or partner count is capped.
 
-Links between sets of one signature are tested in two rounds. First each set against the
-smallest of its bucket. Then, only in buckets whose sets are not in one component yet, all
-pairs across components. A pair is dropped without its sets where a parity sketch already
+Links between sets of one signature are tested until components can't grow. First each set
+against the smallest of its buckets. While many tests are left in buckets whose sets are not
+in one component yet, a center drawn anew for each bucket is tested against the members of
+other components, which joins large groups of copies. Last, the members outside a bucket's
+main component are tested against all of other components. A pair is dropped without its sets where a parity sketch already
 differs in more than k bits (each differing element flips one bit at most); the others are
 tested by exact intersection. Texts with one shingle set are one node throughout.
 """
@@ -21,6 +23,7 @@ tested by exact intersection. Texts with one shingle set are one node throughout
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -32,10 +35,12 @@ from churnlake.llm import sharedkeys
 from churnlake.llm.bloom import bloom_joins
 from churnlake.llm.components import components
 from churnlake.llm.words import Words, chunks, mixed, shingles
-from churnlake.plans.bounded import freeze
+from churnlake.plans.bounded import freeze, frozen_scope
 
 WIDTH = 5
 PERCENT = 80
+#: Tests per member of open buckets from which centers are tried first, and turns of that.
+TESTS_PER_MEMBER, CENTER_TURNS = 128, 3
 
 _DOC, _EDGE, _MEMBER = 3, 4, 5
 _NO_ID = np.iinfo(np.int64).min
@@ -104,11 +109,13 @@ def _emit(bins: int, width: int, percent: int):
             for part in chunks(batch):
                 ids = part.column("doc_id").fill_null(_NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
                 nodes, sizes = np.full(len(ids), _NO_ID), np.zeros(len(ids), np.int32)
+                sketches = []
                 keys, owners, seen = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], set()
                 for i, found in enumerate(_sets(Words(part.column("text")), width)):
                     sizes[i] = len(found)
                     if len(found):
                         nodes[i] = _node(found)
+                        sketches.append(_sketch(found))
                         if nodes[i] not in seen:
                             seen.add(nodes[i])
                             keys.append(signatures(found, percent))
@@ -123,7 +130,7 @@ def _emit(bins: int, width: int, percent: int):
                         pa.array([_DOC], pa.int32()),
                         pa.array([ids.tobytes()]),
                         pa.array([nodes.tobytes()]),
-                        pa.array([sizes.tobytes()]),
+                        pa.array([sizes.tobytes() + b"".join(x.tobytes() for x in sketches)]),
                     ],
                     names=["bin", "kind", "keys", "owners", "extras"],
                 )
@@ -131,14 +138,14 @@ def _emit(bins: int, width: int, percent: int):
     return emit
 
 
-_FOUND = "kind int, a long, b long, n int"
+_FOUND = "kind int, a long, b long, n int, sketch array<long>"
 
 
 def _buckets(table: pa.Table) -> pa.Table:
     """Edges from the smallest node of each shared signature, and members ``(key, node)`` of
     the signatures of three nodes or more. A signature that is whole in this bin is given
     once per list of members."""
-    kinds, left, right, sizes = [], [], [], []
+    kinds, left, right, sizes, sketches = [], [], [], [], []
 
     def put(kind: int, a: np.ndarray, b: np.ndarray, n: np.ndarray | None = None) -> None:
         kinds.append(np.full(len(a), kind, np.int32))
@@ -147,8 +154,13 @@ def _buckets(table: pa.Table) -> pa.Table:
         sizes.append(np.zeros(len(a), np.int32) if n is None else n)
 
     for row in table.filter(pa.compute.equal(table["kind"], _DOC)).to_pylist():
-        ids, nodes, n = (np.frombuffer(row[c], t) for c, t in (("keys", np.int64), ("owners", np.int64), ("extras", np.int32)))
+        ids, nodes = np.frombuffer(row["keys"], np.int64), np.frombuffer(row["owners"], np.int64)
+        n = np.frombuffer(row["extras"], np.int32, len(ids))
         put(_DOC, ids, nodes, n)
+        words, at = np.frombuffer(row["extras"][4 * len(ids) :], np.int64), 0
+        for size in n.tolist():
+            sketches.append(words[at : at + _sketch_words(size)] if size else None)
+            at += _sketch_words(size) if size else 0
     for i, (keys, owners, _, fresh) in enumerate(sharedkeys.bin_groups(table)):
         if not len(keys):
             continue
@@ -167,14 +179,15 @@ def _buckets(table: pa.Table) -> pa.Table:
         put(_MEMBER, keys[member], owners[member])
     columns = [np.concatenate(x) if x else np.zeros(0) for x in (kinds, left, right, sizes)]
     types = [pa.int32(), pa.int64(), pa.int64(), pa.int32()]
-    return pa.table(
-        [pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(columns, types)], names=["kind", "a", "b", "n"]
-    )
+    arrays = [pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(columns, types)]
+    lists = pa.array(sketches, pa.list_(pa.int64()))
+    arrays.append(pa.concat_arrays([lists, pa.nulls(len(arrays[0]) - len(lists), lists.type)]))
+    return pa.table(arrays, names=["kind", "a", "b", "n", "sketch"])
 
 
 def _sketch_words(n: int) -> int:
-    """Words of the parity sketch of a set: four bits an element, a power of two."""
-    return max(4, 1 << max(0, (n - 1) // 16).bit_length())
+    """Words of the parity sketch of a set: a bit or two an element, a power of two."""
+    return max(2, 1 << max(0, (n - 1) // 64).bit_length())
 
 
 def _sketch(shingle_set: np.ndarray) -> np.ndarray:
@@ -188,15 +201,10 @@ def _with_sets(width: int):
         for batch in batches:
             for part in chunks(batch):
                 found = list(_sets(Words(part.column("text")), width))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("node"),
-                        pa.array([len(x) for x in found], pa.int32()),
-                        pa.array([_sketch(x) for x in found], pa.list_(pa.int64())),
-                        pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64())),
-                    ],
-                    names=["node", "n", "sketch", "elements"],
-                )
+                # A repeated doc_id may have other texts: its node tells the right one.
+                right = np.array([len(x) > 0 and _node(x) == n for x, n in zip(found, part.column("node").to_pylist())], bool)
+                sets = pa.array([x.view(np.int64) for x, r in zip(found, right) if r], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column("node").filter(pa.array(right)), sets], names=["node", "elements"])
 
     return add
 
@@ -219,38 +227,112 @@ def _may_link(percent: int) -> Column:
     return sizes & (flips * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose sets have the wanted similarity."""
-    side = lambda x, *more: sets.select(F.col("node").alias(x), *more)
-    light = lambda x: side(x, F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
-    likely = freeze(
-        pairs.join(light("a"), "a").join(light("b"), "b").filter(_may_link(percent)).select("a", "b"), "likely"
+@dataclass
+class _Corpus:
+    """Texts, and ``(node, doc_id, n, sketch)`` of each distinct set."""
+
+    texts: DataFrame
+    nodes: DataFrame
+    width: int
+    percent: int
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """The pairs ``(a, b)`` of nodes whose sets have the wanted similarity.
+
+        Only sets of pairs that pass the sketch test are made, from the texts of one document
+        each.
+        """
+        light = lambda x: self.nodes.select(
+            F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")
+        )
+        both = pairs.join(light("a"), "a").join(light("b"), "b")
+        likely = freeze(both.filter(_may_link(self.percent)).select("a", "b", (F.col("na") + F.col("nb")).alias("sizes")), "likely")
+        ends = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct()
+        wanted = freeze(ends.join(self.nodes.select("node", "doc_id"), "node"), "wanted")
+        with bloom_joins(pairs.sparkSession):
+            read = self.texts.join(wanted.filter(F.col("doc_id") > F.lit(_NO_ID)), "doc_id").select("node", "text")
+            # A repeated row gives its set twice, which repeats links and changes nothing.
+            sets = freeze(read.mapInArrow(_with_sets(self.width), "node long, elements array<long>"), "sets")
+        heavy = lambda x: sets.select(F.col("node").alias(x), F.col("elements").alias(f"e{x}"))
+        common = F.size(F.array_intersect("ea", "eb"))
+        near = likely.join(heavy("b"), "b").join(heavy("a"), "a").filter(
+            common * 100 >= (F.col("sizes") - common) * self.percent
+        )
+        return freeze(near.select("a", "b"), "links")
+
+
+def _open_members(members: DataFrame, groups: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Members of the signatures whose nodes are not all in one component, with the component
+    that most of them are in (``main``) and the number of tests that the others need. Of the
+    signatures with equal members one is kept."""
+    known = freeze(
+        members.join(groups.withColumnRenamed("node", "b"), "b", "left")
+        .select(F.col("a").alias("key"), F.col("b").alias("node"), F.coalesce("component", "b").alias("component"))
+        .distinct(),
+        "members",
     )
-    heavy = lambda x: side(x, F.col("n").alias(f"n{x}"), F.col("elements").alias(f"e{x}"))
-    both = likely.join(heavy("b"), "b").join(heavy("a"), "a")
-    common = F.size(F.array_intersect("ea", "eb"))
-    return freeze(
-        both.filter(common * 100 >= (F.col("na") + F.col("nb") - common) * percent).select("a", "b"), "links"
+    mark = F.sum(F.xxhash64("node").cast("decimal(38,0)"))
+    parts = known.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), mark.alias("mark"))
+    keys = parts.groupBy("key").agg(
+        F.sum("n").alias("all"),
+        F.max("n").alias("most"),
+        F.max_by("component", F.struct("n", "component")).alias("main"),
+        F.sum("mark").alias("mark"),
     )
+    once = keys.filter("most < all").groupBy("mark", "all", "most", "main").agg(F.min("key").alias("key"))
+    tests = ((F.col("all") - F.col("most")) * F.col("all")).alias("tests")
+    unsettled = freeze(once.select("key", "main", tests), "open_keys")
+    return freeze(known.join(unsettled, "key").join(nodes.select("node", "n", "sketch"), "node"), "open")
+
+
+def _to_center(rows: DataFrame, turn: int) -> DataFrame:
+    """Pairs of each open signature's center of this turn and the members of other components."""
+    order = F.xxhash64("node", F.lit(turn))
+    centers = freeze(
+        rows.groupBy("key").agg(F.min_by(F.struct("node", "component"), F.struct(order, "node")).alias("c")).select("key", "c.*"),
+        "centers",
+    )
+    pairs = rows.join(centers.select("key", F.col("node").alias("c"), F.col("component").alias("cc")), "key")
+    ends = pairs.filter("component <> cc").select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b"))
+    return ends.distinct()
 
 
-def _across(members: DataFrame, groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one signature that lie in different components and may link."""
-    known = members.join(groups.withColumnRenamed("node", "b"), "b", "left").select(
-        F.col("a").alias("key"), F.col("b").alias("node"), F.coalesce("component", "b").alias("component")
-    )
-    known = freeze(known, "members")
-    open_keys = freeze(
-        known.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter("low <> high")
-        .select("key"),
-        "open_keys",
+def _across(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one signature in different components that may link, whatever their number:
+    the members outside the main component against all others."""
+    one = rows.filter("component <> main").select(
+        "key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("sketch").alias("sa")
     )
-    rows = freeze(known.join(open_keys, "key").distinct().join(sets.select("node", "n", "sketch"), "node"), "open")
-    one = rows.select("key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    two = rows.select("key", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    return one.join(two, "key").filter("a < b and ca <> cb").filter(_may_link(percent)).select("a", "b").distinct()
+    two = rows.select(
+        "key", F.col("node").alias("b"), F.col("component").alias("cb"), (F.col("component") == F.col("main")).alias("mb"),
+        F.col("n").alias("nb"), F.col("sketch").alias("sb"),
+    )
+    met = one.join(two, "key").filter("ca <> cb and (mb or a < b)").filter(_may_link(percent))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _between(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The pairs whose ends are not in one component."""
+    side = lambda x: groups.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
+    both = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    return both.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+
+
+def _linked_groups(edges: DataFrame, members: DataFrame, corpus: _Corpus) -> DataFrame:
+    """``(node, component)`` over all links of nodes that share a signature."""
+    links = corpus.linked(edges.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    links = links.union(corpus.linked(_between(edges, freeze(components(links), "groups"))))
+    for turn in range(CENTER_TURNS + 1):
+        groups = freeze(components(links), "groups")
+        rows = _open_members(members, groups, corpus.nodes)
+        per_key = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.max("tests").alias("tests"))
+        load = per_key.agg(F.sum("rows").alias("rows"), F.sum("tests").alias("tests")).first()
+        if not load["rows"]:
+            return groups
+        if load["tests"] <= TESTS_PER_MEMBER * load["rows"] or turn == CENTER_TURNS:
+            break
+        links = links.union(corpus.linked(_to_center(rows, turn)))
+    return components(links.union(corpus.linked(_across(rows, corpus.percent))))
 
 
 def jaccard_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -260,37 +342,35 @@ def jaccard_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     or the whole sequence if it has fewer. Two documents link if 100 |x & y| is at least
     ``percent`` |x | y|; ``component_id`` is the smallest doc_id reachable over links. A
     null, empty or blank text has no shingles and links with nothing. A row without doc_id
-    takes part in links; alone it has a null ``component_id``. Rows with one doc_id are
-    judged by their own texts. An empty table gives no rows.
+    belongs to the group of documents with its set, if there is one; else its
+    ``component_id`` is null. Rows with one doc_id are judged by their own texts. An empty
+    table gives no rows.
 
     Sets and shingles are compared by 64-bit hashes.
     """
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long"), "text")
-    bins = sharedkeys.bins_for(texts)
-    packed = texts.mapInArrow(_emit(bins, width, percent), sharedkeys.SCHEMA)
-    found = freeze(sharedkeys.in_bins(packed, _buckets, _FOUND), "signatures")
-    rows = found.filter(F.col("kind") == _DOC).select(
-        F.when(F.col("a") != _NO_ID, F.col("a")).alias("doc_id"), F.when(F.col("n") > 0, F.col("b")).alias("node"), "n"
-    )
-    edges = freeze(found.filter(F.col("kind") == _EDGE).select("a", "b").distinct(), "stars")
-    ends = edges.select(F.col("a").alias("node")).union(edges.select(F.col("b").alias("node"))).distinct()
-    # One document stands for each node.
-    chosen = rows.filter("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    wanted = freeze(chosen.join(ends, "node"), "wanted")
-    with bloom_joins(spark):
-        # A repeated doc_id may have other texts: the set of the right one is told by its node.
-        read = texts.join(wanted.filter(F.col("doc_id") > F.lit(_NO_ID)), "doc_id")
-        sets = freeze(read.mapInArrow(_with_sets(width), "node long, n int, sketch array<long>, elements array<long>"), "sets")
-    links = _linked(edges, sets, percent)
-    members = found.filter(F.col("kind") == _MEMBER).select("a", "b")
-    more = _linked(_across(members, freeze(components(links), "groups"), sets, percent), sets, percent)
-    groups = components(links.union(more))
-    named = rows.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
-    named = freeze(named.select("doc_id", "n", "group"), "named")
-    least = freeze(
-        named.filter("group is not null").groupBy(F.col("group").alias("g")).agg(F.min("doc_id").alias("least")), "least"
-    )
+    with frozen_scope(docs.sparkSession) as scope:
+        texts = docs.select(F.col("doc_id").cast("long"), "text")
+        bins = sharedkeys.bins_for(texts)
+        packed = texts.mapInArrow(_emit(bins, width, percent), sharedkeys.SCHEMA)
+        found = freeze(sharedkeys.in_bins(packed, _buckets, _FOUND), "signatures")
+        rows = found.filter(F.col("kind") == _DOC).select(
+            F.when(F.col("a") != _NO_ID, F.col("a")).alias("doc_id"), F.when(F.col("n") > 0, F.col("b")).alias("node"), "n", "sketch"
+        )
+        edges = freeze(found.filter(F.col("kind") == _EDGE).select("a", "b").distinct(), "stars")
+        # One document stands for each node.
+        nodes = (
+            rows.filter("doc_id is not null and node is not null")
+            .groupBy("node")
+            .agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("sketch").alias("sketch"))
+        )
+        members = found.filter(F.col("kind") == _MEMBER).select("a", "b")
+        groups = _linked_groups(edges, members, _Corpus(texts, freeze(nodes, "nodes"), width, percent))
+        named = rows.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
+        named = freeze(named.select("doc_id", "n", "group"), "named")
+        least = freeze(
+            named.filter("group is not null").groupBy(F.col("group").alias("g")).agg(F.min("doc_id").alias("least")), "least"
+        )
+        scope.keep(named, least)
     return named.join(least, F.col("group") == F.col("g"), "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")
     )
