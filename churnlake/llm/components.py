@@ -36,6 +36,15 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(low.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node points at one node, which points at none: all components are stars
+    around their smallest node."""
+    several = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if not several.isEmpty():
+        return False
+    return edges.join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of ``edges (a, b)`` that is not itself the
     smallest node of its component.
@@ -49,11 +58,6 @@ def components(edges: DataFrame) -> DataFrame:
         .distinct(),
         "edges",
     )
-    mark = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-    before = None
-    while True:
-        state = now.agg(F.count(F.lit(1)).alias("n"), mark.alias("mark")).first()
-        if state["n"] == 0 or (before is not None and before == state):
-            return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        before = state
+    while not _settled(now):
         now = freeze(_small_star(freeze(_large_star(now), "large_star")), "small_star")
+    return now.select(F.col("a").alias("node"), F.col("b").alias("component"))

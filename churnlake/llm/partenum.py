@@ -320,10 +320,17 @@ def _between(pairs: DataFrame, groups: DataFrame) -> DataFrame:
 
 def _linked_groups(edges: DataFrame, members: DataFrame, corpus: _Corpus) -> DataFrame:
     """``(node, component)`` over all links of nodes that share a signature."""
-    links = corpus.linked(edges.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    links = links.union(corpus.linked(_between(edges, freeze(components(links), "groups"))))
+
+    def joined(groups: DataFrame, links: DataFrame) -> DataFrame:
+        """Components after more links; those known count as links."""
+        if links.isEmpty():
+            return groups
+        known = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        return freeze(components(known.union(links)), "groups")
+
+    groups = freeze(components(corpus.linked(edges.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))), "groups")
+    groups = joined(groups, corpus.linked(_between(edges, groups)))
     for turn in range(CENTER_TURNS + 1):
-        groups = freeze(components(links), "groups")
         rows = _open_members(members, groups, corpus.nodes)
         per_key = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.max("tests").alias("tests"))
         load = per_key.agg(F.sum("rows").alias("rows"), F.sum("tests").alias("tests")).first()
@@ -331,8 +338,8 @@ def _linked_groups(edges: DataFrame, members: DataFrame, corpus: _Corpus) -> Dat
             return groups
         if load["tests"] <= TESTS_PER_MEMBER * load["rows"] or turn == CENTER_TURNS:
             break
-        links = links.union(corpus.linked(_to_center(rows, turn)))
-    return components(links.union(corpus.linked(_across(rows, corpus.percent))))
+        groups = joined(groups, corpus.linked(_to_center(rows, turn)))
+    return joined(groups, corpus.linked(_across(rows, corpus.percent)))
 
 
 def jaccard_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
