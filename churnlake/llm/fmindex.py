@@ -256,6 +256,18 @@ def _seen_twice(frequent: int):
     return seen
 
 
+def _told(hashes: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """A hash of each segment's words with their places in it, some segments at a time."""
+    out = [np.zeros(0, np.uint64)]
+    for at in range(0, len(low), 4096):
+        a, size = low[at : at + 4096], (high - low)[at : at + 4096]
+        begins = np.cumsum(size) - size
+        place = np.arange(int(size.sum())) - np.repeat(begins, size)
+        each = mixed(hashes[np.repeat(a, size) + place] + place.astype(np.uint64))
+        out.append(mixed(np.add.reduceat(each, begins) + size.astype(np.uint64)))
+    return np.concatenate(out)
+
+
 _SEGMENT = "key long, doc_id long, start int, length int, words string"
 
 
@@ -282,13 +294,8 @@ def _segments(width: int):
                 low, high, owner = begin[head], begin[tail] + width, ids[doc[head]]
                 keys = seeds[place[head]].view(np.int64)
                 # Equal segments of this chunk: the smallest document's is sent, the others are
-                # repeats of it. They are told by the hashes of all their words.
-                total = np.concatenate([[0], np.cumsum(mixed(hashes), dtype=np.uint64)]).astype(np.uint64)
-                ordered = np.concatenate(
-                    [[0], np.cumsum(mixed(hashes) * (np.arange(len(hashes), dtype=np.uint64) + np.uint64(1)), dtype=np.uint64)]
-                ).astype(np.uint64)
-                plain = total[high] - total[low]
-                same = mixed(ordered[high] - ordered[low] - plain * low.astype(np.uint64)) + mixed(plain + (high - low).astype(np.uint64))
+                # repeats of it. They are told by a hash of all their words, each with its place.
+                same = _told(hashes, low, high)
                 order = np.lexsort((owner, same))
                 sent = np.ones(len(order), bool)
                 sent[order[1:]] = same[order[1:]] != same[order[:-1]]

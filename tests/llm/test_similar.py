@@ -128,6 +128,24 @@ def test_repeats_equal_brute_force_on_both_ways(spark):
         assert {r[0]: (r[1], r[2], r[3]) for r in found} == repeats_by_force(rows)
 
 
+def test_segments_of_the_same_words_in_another_order():
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    texts = ["x y p q y x r s t u v w z", "y x p q x y r s t u v w z"]
+    texts += [" ".join(rng.choice(["no", "yes"]) for _ in range(rng.randrange(13, 24))) for _ in range(150)]
+    texts += texts[:2]
+    everywhere = [[np.arange(len(t.split()), dtype=np.int32).tobytes()] for t in texts]
+    batch = pa.table({"doc_id": list(range(len(texts))), "text": texts, "places": everywhere}).to_batches()[0]
+    found = [r for part in fmindex._segments(13)(iter([batch])) for r in part.to_pylist()]
+    first = {}
+    for r in sorted(found, key=lambda r: r["doc_id"]):
+        segment = tuple(texts[r["doc_id"]].split()[r["start"] : r["start"] + r["length"]])
+        sent = first.setdefault(segment, r["doc_id"]) == r["doc_id"]
+        assert r["words"] == (" ".join(segment) if sent else None)
+    assert {r["doc_id"] for r in found if r["words"] is None} >= {len(texts) - 2, len(texts) - 1}
+
+
 def test_repeats_of_awkward_rows(spark, awkward):
     found = sorted(((r[0], r[1], r[2]) for r in fmindex.repeat_digest(awkward).collect()), key=str)
     want = [(1, 6, 0), (2, 0, 0), (3, 0, 0), (4, 0, 0), (5, 40_000, 0), (6, 40_000, 40_000), (None, 2, 0), (7, 1, 0), (7, 1, 0)]
