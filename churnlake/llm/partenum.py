@@ -164,11 +164,14 @@ def _buckets(table: pa.Table) -> pa.Table:
     for i, (keys, owners, _, fresh) in enumerate(sharedkeys.bin_groups(table)):
         if not len(keys):
             continue
+        # Before repeated entries go: an entry that is not fresh tells of members in other bins,
+        # also where the bin has a fresh one of the same node.
+        starts, _ = sharedkeys.runs(keys)
+        whole = np.logical_and.reduceat(fresh, starts) if i == 0 else np.zeros(len(starts), bool)
         new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])])
         keys, owners, fresh = keys[new], owners[new], fresh[new]
         starts, ends = sharedkeys.runs(keys)
         counts = ends - starts
-        whole = np.logical_and.reduceat(fresh, starts) if i == 0 else np.zeros(len(starts), bool)
         lists = np.add.reduceat(mixed(owners.view(np.uint64)), starts) + counts.astype(np.uint64)
         first = np.zeros(len(starts), bool)
         first[np.unique(lists, return_index=True)[1]] = True

@@ -80,6 +80,20 @@ def test_similar_sets_share_a_signature():
                 assert np.intersect1d(partenum.signatures(x), partenum.signatures(y)).size
 
 
+def test_members_of_a_signature_settled_in_one_chunk_and_alone_in_others():
+    import pyarrow as pa
+
+    n, m, p, key = 5, 7, 9, 1234
+    chunks = [[n, m], [n], [p]]
+    parts = [sharedkeys.pack(np.full(len(c), key), np.array(c), np.zeros(len(c)), 4, i) for i, c in enumerate(chunks)]
+    table = pa.Table.from_batches(parts)
+    members = set()
+    for b in range(4):
+        found = partenum._buckets(table.filter(pa.compute.equal(table["bin"], b)))
+        members |= {r["b"] for r in found.to_pylist() if r["kind"] == partenum._MEMBER and r["a"] == key}
+    assert members == {n, m, p}
+
+
 def test_jaccard_groups_of_awkward_rows(spark, awkward):
     found = sorted(((r[0], r[1], r[2]) for r in partenum.jaccard_groups(awkward).collect()), key=str)
     n = 40_000 - 4
