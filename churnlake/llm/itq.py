@@ -2,9 +2,12 @@
 
 A rotation is learned that makes the signs of a vector's coordinates a balanced binary code
 (alternating between codes and the rotation that fits them best). Vectors meet in multi-index
-Hamming tables, one for each 16-bit part of a code: two codes that differ in fewer bits than
-a code has parts share a part. Two codes from different starts catch nearly all that one
-misses. Pairs that meet are compared by cosine on the original vectors.
+Hamming tables, each keyed by some bits drawn from two codes. How many bits and tables there
+are is found from the sample: pairs made at the threshold, where recall is lowest, tell how
+many bits such pairs differ in, and of all choices whose expected recall there is at least
+``RECALL`` the one of least work is taken. If bits tell too little (few vectors, or a common
+mean close to the threshold), that is one table of no bits, in which all vectors meet. Pairs
+that meet are compared by cosine on the original vectors.
 
 Each pair is judged once, in the first table where it meets, which its codes tell. A table
 entry that many vectors share is cut into blocks, and each pair of blocks is one matrix
@@ -27,9 +30,12 @@ from churnlake.plans.bounded import freeze
 
 #: Vectors that the rotations are learned from, by a hash of their id.
 SAMPLE = 20_000
-BITS, PART, CODES = 64, 16, 2
-TABLES = CODES * BITS // PART
+BITS, CODES = 64, 2
 THRESHOLD = 0.9
+#: Expected share of the pairs at the threshold that meet in a table.
+RECALL = 0.98
+#: Most bits of a table's keys, and the work of one table entry in compared pairs.
+PART, ENTRY_COST = 28, 100
 BLOCK = 1024
 ROWS_PER_BIN = 20_000
 _SMALL = 32
@@ -37,10 +43,11 @@ _SMALL = 32
 
 @dataclass
 class Quantizer:
-    """Mean and one projection per code."""
+    """Mean, one projection per code, and the bits of each table."""
 
     mean: np.ndarray
     projections: list[np.ndarray]
+    tables: np.ndarray | None = None
 
     def codes(self, unit: np.ndarray) -> np.ndarray:
         """One row of 64-bit codes per vector."""
@@ -51,6 +58,52 @@ class Quantizer:
         out = [np.packbits(shifted @ p > 0, axis=1, bitorder="little").view(np.int64)[:, 0] for p in self.projections]
         return np.stack(out, axis=1)
 
+    def parts(self, codes: np.ndarray) -> np.ndarray:
+        """The bits of each table (columns) of each row of codes, as numbers."""
+        bits = _bits(codes).astype(np.int32)
+        out = np.zeros((len(codes), len(self.tables)), np.int32)
+        for t, chosen in enumerate(self.tables):
+            for i, bit in enumerate(chosen):
+                out[:, t] |= bits[:, bit] << i
+        return out
+
+
+def _bits(codes: np.ndarray) -> np.ndarray:
+    return np.unpackbits(np.ascontiguousarray(codes).view(np.uint8), axis=1, bitorder="little")
+
+
+def _agreement(model: Quantizer, sample: np.ndarray, threshold: float, rng: np.random.Generator) -> list[np.ndarray]:
+    """Shares of bits that pairs at the threshold agree in: each vector of the sample with one
+    turned away from it in any direction, and with one turned towards another of the sample."""
+    x = sample[rng.permutation(len(sample))[:2000]]
+    out = []
+    for away in (rng.normal(size=x.shape), np.roll(x, 1, axis=0)):
+        away = away - (away * x).sum(axis=1, keepdims=True) * x
+        length = np.sqrt((away * away).sum(axis=1))
+        fits = length > 1e-6
+        y = threshold * x[fits] + np.sqrt(max(0.0, 1 - threshold * threshold)) * away[fits] / length[fits, None]
+        if fits.any():
+            out.append((_bits(model.codes(x[fits])) == _bits(model.codes(y))).mean(axis=1))
+    return out
+
+
+def choose_tables(model: Quantizer, sample: np.ndarray, count: int, threshold: float, seed: int = 11) -> np.ndarray:
+    """Bits of each table (rows) for ``count`` vectors."""
+    rng = np.random.default_rng(seed)
+    shares = _agreement(model, sample, threshold, rng)
+    recall = lambda width, n: min(float((1 - (1 - a**width) ** n).mean()) for a in shares)
+    width, tables, least = 0, 1, ENTRY_COST + count
+    for w in range(1, PART + 1 if shares else 0):
+        low, n = 0, 1
+        while recall(w, n) < RECALL and n * ENTRY_COST < least:
+            low, n = n, 2 * n
+        while n - low > 1:
+            low, n = (low, (low + n) // 2) if recall(w, (low + n) // 2) >= RECALL else ((low + n) // 2, n)
+        cost = n * (ENTRY_COST + count / 2**w)
+        if recall(w, n) >= RECALL and cost < least:
+            width, tables, least = w, n, cost
+    return np.array([rng.permutation(CODES * BITS)[:width] for _ in range(tables)], np.int64).reshape(tables, width)
+
 
 def learn(sample: np.ndarray, rounds: int = 50, seed: int = 7) -> Quantizer:
     """Fit on unit vectors. Wide vectors are first cut to their 64 main directions, narrow
@@ -96,8 +149,7 @@ def _encode(model: Quantizer):
             if not batch.num_rows:
                 continue
             codes = model.codes(_unit(_matrix(batch.column("v"))))
-            parts = codes.view(np.uint16).reshape(len(codes), TABLES).astype(np.int64)
-            keys = parts + (np.arange(TABLES, dtype=np.int64) << PART)
+            keys = model.parts(codes) + (np.arange(len(model.tables), dtype=np.int64) << PART)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(list(codes), pa.list_(pa.int64())), pa.array(list(keys), pa.list_(pa.int64()))],
                 names=[*batch.schema.names, "codes", "keys"],
@@ -112,6 +164,13 @@ def _first_here(parts_a: np.ndarray, parts_b: np.ndarray, table: np.ndarray) ->
     return same.argmax(axis=-1) == table
 
 
+def _first_met(parts: np.ndarray, a: np.ndarray, b: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """``_first_here`` for pairs of rows, some at a time."""
+    step = max(1, (1 << 22) // parts.shape[1])
+    cuts = [slice(at, at + step) for at in range(0, len(a), step)]
+    return np.concatenate([np.zeros(0, bool), *(_first_here(parts[a[c]], parts[b[c]], table[c]) for c in cuts)])
+
+
 def _lowest(mask: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Smallest label of each linked set of a matrix whose rows and columns carry labels."""
     while True:
@@ -122,14 +181,14 @@ def _lowest(mask: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray,
         a, b = to_a, to_b
 
 
-def _rerank(threshold: float):
+def _rerank(threshold: float, model: Quantizer):
     def rerank(table: pa.Table) -> pa.Table:
         table = table.sort_by([("key", "ascending"), ("i", "ascending"), ("j", "ascending"), ("block", "ascending")])
         rep, many, key = (table[c].to_numpy() for c in ("rep", "many", "key"))
         i, j, block = (table[c].to_numpy() for c in ("i", "j", "block"))
         unit = _unit(_matrix(table["v"]))
         codes = pa.concat_arrays(table["codes"].chunks).flatten().to_numpy().reshape(-1, CODES)
-        parts = np.ascontiguousarray(codes).view(np.uint16).reshape(len(codes), TABLES)
+        parts = model.parts(codes)
         links = np.zeros(len(rep), np.int64)
         edges: list[tuple[np.ndarray, np.ndarray]] = []
         new = np.ones(len(rep), bool)
@@ -146,10 +205,10 @@ def _rerank(threshold: float):
             b = a + step
             fits = (i[a] == j[a]) | (block[a] != block[b])
             a, b = a[fits], b[fits]
-            near = _first_here(parts[a], parts[b], table_no[a])
-            a, b = a[near], b[near]
             near = np.einsum("nd,nd->n", unit[a], unit[b]) >= threshold
             a, b = a[near], b[near]
+            near = _first_met(parts, a, b, table_no[a])
+            a, b = a[near], b[near]
             np.add.at(links, a, many[b])
             np.add.at(links, b, many[a])
             edges.append((rep[a], rep[b]))
@@ -163,7 +222,7 @@ def _rerank(threshold: float):
                 mask = unit[rows] @ unit[right].T >= threshold
                 mask &= rows[:, None] < right[None, :]
                 x, y = np.nonzero(mask)
-                kept = _first_here(parts[rows[x]], parts[right[y]], table_no[s])
+                kept = _first_met(parts, rows[x], right[y], table_no[rows[x]])
                 mask[x[~kept], y[~kept]] = False
                 links[rows] += mask @ many[right]
                 links[right] += many[rows] @ mask
@@ -208,7 +267,9 @@ def near_groups(
         & F.forall("v", lambda x: x.isNotNull() & (F.abs(x) < infinite))
         & F.exists("v", lambda x: x != 0)
     )
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("v")).withColumn(
+    # Floats stay floats on the way to the tables.
+    kind = "array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" else "array<double>"
+    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast(kind).alias("v")).withColumn(
         "sound", F.coalesce(sound, F.lit(False))
     )
     distinct = freeze(
@@ -221,8 +282,10 @@ def near_groups(
         found = _matrix(picked)
         known[:, : found.shape[1]] = _unit(found)
     model = learn(known)
+    count = distinct.count()
+    model.tables = choose_tables(model, known, count, threshold)
     coded = freeze(
-        distinct.mapInArrow(_encode(model), "v array<double>, rep long, many long, codes array<long>, keys array<long>"), "codes"
+        distinct.mapInArrow(_encode(model), f"v {kind}, rep long, many long, codes array<long>, keys array<long>"), "codes"
     )
     load = coded.select(F.explode("keys").alias("key")).groupBy("key").count()
     crowded = freeze(load.filter(F.col("count") > block).select("key", F.ceil(F.col("count") / block).alias("blocks")), "crowded")
@@ -235,11 +298,11 @@ def near_groups(
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
     )
-    bins = max(12, coded.count() * TABLES // ROWS_PER_BIN)
+    bins = max(12, count * len(model.tables) // ROWS_PER_BIN)
     dealt = tiles.withColumn("bin", F.pmod(F.xxhash64("key", "i", "j"), F.lit(bins))).select(
         "bin", "key", "i", "j", "block", "rep", "many", "codes", "v"
     )
-    found = freeze(dealt.groupBy("bin").applyInArrow(_rerank(threshold), "a long, n long, b long"), "found")
+    found = freeze(dealt.groupBy("bin").applyInArrow(_rerank(threshold, model), "a long, n long, b long"), "found")
     links = found.filter("n is not null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("links"))
     groups = components(found.filter("b is not null").select("a", "b")).withColumnRenamed("node", "rep")
     told = distinct.join(links, "rep", "left").join(groups, "rep", "left").select(

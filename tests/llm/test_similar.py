@@ -224,6 +224,41 @@ def test_near_vectors_recall_and_exactness(spark):
         assert np.mean([found[i]["component_id"] == label[i] for i in range(400)]) >= 0.9
 
 
+def spread_pairs(seed, n, mean):
+    """Unit vectors with a common mean, and for each one of cosine 0.90 to 0.96 with it."""
+    rng = np.random.default_rng(seed)
+    unit = lambda x: x / np.linalg.norm(x, axis=1)[:, None]
+    m = np.zeros(64)
+    m[0] = mean
+    draw = lambda: unit(unit(rng.normal(size=(n, 64))) * np.sqrt(1 - mean * mean) + m)
+    x, away = draw(), draw()
+    away = unit(away - (away * x).sum(axis=1)[:, None] * x)
+    cosine = rng.uniform(0.9, 0.96, n)[:, None]
+    return x, cosine * x + np.sqrt(1 - cosine**2) * away
+
+
+def test_near_vectors_recall_close_to_the_threshold(spark):
+    for mean in (0.0, 0.8):
+        x = np.concatenate(spread_pairs(3, 1500, mean)).astype(np.float32)
+        rows = [(i, v) for i, v in enumerate(x.tolist())]
+        x = x.astype(float)
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        n = (x @ x.T >= 0.9).sum(axis=1) - 1
+        mine = np.array([r[1] for r in sorted(itq.near_groups(vectors(spark, rows)).collect())])
+        assert (mine <= n).all() and mine.sum() >= 0.95 * n.sum()
+
+
+def test_tables_for_many_vectors_catch_pairs_close_to_the_threshold():
+    for mean in (0.0, 0.8):
+        x, y = spread_pairs(4, 3000, mean)
+        model = itq.learn(x)
+        for count in (10_000, 1_000_000):
+            model.tables = itq.choose_tables(model, x, count, 0.9)
+            assert model.tables.shape[1] > 0  # not by comparing all with all
+            met = (model.parts(model.codes(x)) == model.parts(model.codes(y))).any(axis=1)
+            assert met.mean() >= 0.95
+
+
 def test_awkward_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [nan, 1.0]), (7, [inf, 1.0]), (8, [None, 1.0])]
