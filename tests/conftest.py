@@ -29,9 +29,3 @@ def con():
     from compare import connect
 
     return connect(BASE)
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=str)

@@ -6,7 +6,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
-from conftest import rows
+from compare import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

@@ -2,7 +2,7 @@
 
 from decimal import Decimal
 
-from conftest import rows
+from compare import rows
 from pyspark.sql import functions as F
 
 from churnlake.functions import scoring

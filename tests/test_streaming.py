@@ -2,7 +2,7 @@
 
 from urllib.parse import unquote_plus
 
-from conftest import rows
+from compare import rows
 
 from churnlake.streaming import arrivals
 
