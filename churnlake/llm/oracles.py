@@ -173,6 +173,88 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
 FROM d LEFT JOIN r ON r.doc_id = d.doc_id
 """
 
+# crc32 bit by bit over the decimal digits; trees and folds level by level.
+_OP12 = r"""
+WITH RECURSIVE d AS (
+  SELECT *, coalesce(xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+      lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)
+    ), 4294967295) % 7 = 0, false) AS hit FROM documents
+), e AS (
+  SELECT *, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS before,
+         coalesce(strlen(text) || ':' || text, '-') AS after FROM d
+), l AS (
+  SELECT doc_id, lang, sha256(before || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || after) AS leaf,
+         sha256(before || coalesce(strlen(CAST(n_chars + hit::INT AS VARCHAR)) || ':' || (n_chars + hit::INT), '-') || after) AS altered FROM e
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM l
+), t(lang, k, i, h) AS (
+  SELECT lang, 0, i, leaf FROM o
+  UNION ALL
+  SELECT lang, k + 1, i // 2, sha256(string_agg(h, '' ORDER BY i))
+  FROM (SELECT *, count(*) OVER (PARTITION BY lang) AS n FROM t) WHERE n > 1 GROUP BY lang, k, i // 2
+), s AS (
+  SELECT lang, arg_max(h, k) AS subroot, max(k) AS height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i FROM t GROUP BY lang
+), u(k, i, h) AS (
+  SELECT 0, i, subroot FROM s
+  UNION ALL
+  SELECT k + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)) FROM (SELECT *, count(*) OVER () AS n FROM u) WHERE n > 1 GROUP BY k, i // 2
+), b AS (
+  SELECT o.lang, o.i, t.k, t.h, (o.i >> t.k) % 2 = 1 AS before
+  FROM o JOIN t ON o.lang IS NOT DISTINCT FROM t.lang AND t.i = xor(o.i >> t.k, 1)
+  UNION ALL
+  SELECT o.lang, o.i, s.height + u.k, u.h, (s.i >> u.k) % 2 = 1
+  FROM o JOIN s ON o.lang IS NOT DISTINCT FROM s.lang JOIN u ON u.i = xor(s.i >> u.k, 1)
+), f(lang, i, k, h) AS (
+  SELECT lang, i, 0, altered FROM o
+  UNION ALL
+  SELECT f.lang, f.i, f.k + 1, sha256(CASE WHEN b.h IS NULL THEN f.h WHEN b.before THEN b.h || f.h ELSE f.h || b.h END)
+  FROM f JOIN s ON f.lang IS NOT DISTINCT FROM s.lang
+  LEFT JOIN b ON b.lang IS NOT DISTINCT FROM f.lang AND b.i = f.i AND b.k = f.k
+  WHERE f.k < s.height + (SELECT max(k) FROM u)
+), p AS (SELECT lang, i, string_agg(h, '' ORDER BY k) AS h FROM b GROUP BY 1, 2
+), g AS (SELECT lang, i, arg_max(h, k) AS h FROM f GROUP BY 1, 2
+)
+SELECT o.doc_id, o.leaf, s.subroot, r.root, sha256(coalesce(p.h, '')) AS proof_sha256, g.h AS folded_root, g.h = r.root AS verified
+FROM o JOIN s ON o.lang IS NOT DISTINCT FROM s.lang
+JOIN g ON g.lang IS NOT DISTINCT FROM o.lang AND g.i = o.i
+LEFT JOIN p ON p.lang IS NOT DISTINCT FROM o.lang AND p.i = o.i
+CROSS JOIN (SELECT arg_max(h, k) AS root FROM u) r
+"""
+
+# The tree over all texts and edited texts.
+_OP13 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, CAST(length(coalesce(text, '')) AS BIGINT) AS n FROM documents
+), o AS (
+  SELECT *, coalesce(lead(text) OVER w, first_value(text) OVER w) AS next FROM d WINDOW w AS (ORDER BY doc_id DESC)
+), e AS (
+  SELECT *, substring(text, 1, n - n // 3) || substring(next, 1, n // 3) AS edited FROM o
+), x AS (SELECT text AS t FROM e UNION SELECT edited FROM e
+), s AS (
+  SELECT t, list_transform(string_split(t, chr(10)), lambda p: list_transform(
+           regexp_extract_all(p, '^[^.!?]{1,12}[.!?]*|[^.!?]{1,48}[.!?]*|[.!?]+'), lambda s: sha256(s))) AS ds FROM x
+), p AS (
+  SELECT t, list_transform(ds, lambda l: {'d': sha256(array_to_string(l, '')), 's': array_to_string(list_transform(l, lambda y: ',' || y[1:8]), '')}) AS ps,
+         list_distinct(list_transform(flatten(ds), lambda y: y[1:8])) AS leaves FROM s
+), c AS (
+  SELECT *, list_filter(range(1, len(ps) + 1), lambda i: i = len(ps) OR ps[i].s = '' OR ps[i].d[1] < '4') AS ends FROM p
+), g AS (
+  SELECT t, leaves, list_transform(ends, lambda e, j: ps[CASE WHEN j = 1 THEN 1 ELSE ends[j - 1] + 1 END:e]) AS gs FROM c
+), h AS (
+  SELECT t, leaves, list_transform(gs, lambda g: {'d': sha256(array_to_string(list_transform(g, lambda p: p.d), '')),
+           's': array_to_string(list_transform(g, lambda p: p.d[1:8] || p.s), ';')}) AS ss FROM g
+), f AS (
+  SELECT t, leaves, sha256(array_to_string(list_transform(ss, lambda s: s.d), ''))
+           || array_to_string(list_transform(ss, lambda s: '|' || s.d[1:8] || ':' || s.s), '') AS f FROM h
+)
+SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, a.f AS fingerprint, b.f AS edited_fingerprint,
+       CASE WHEN a.f[1:64] = b.f[1:64] THEN 1.0::DOUBLE WHEN len(a.leaves) + len(b.leaves) = 0 THEN 0.0::DOUBLE
+         ELSE len(list_intersect(a.leaves, b.leaves))::DOUBLE / len(list_distinct(a.leaves || b.leaves)) END AS near_edited,
+       CASE WHEN a.f[1:64] = c.f[1:64] THEN 1.0::DOUBLE WHEN len(a.leaves) + len(c.leaves) = 0 THEN 0.0::DOUBLE
+         ELSE len(list_intersect(a.leaves, c.leaves))::DOUBLE / len(list_distinct(a.leaves || c.leaves)) END AS near_next
+FROM e JOIN f a ON a.t = e.text JOIN f b ON b.t = e.edited JOIN f c ON c.t = e.next
+"""
+
 ORACLES: dict[str, str] = {
     "op1_exact_top_k": _OP1,
     "op2_chat_windows": _OP2,
@@ -180,4 +262,6 @@ ORACLES: dict[str, str] = {
     "op5_mix_words": _OP5,
     "op7_jaccard_groups": _OP7,
     "op8_fm_index_repeats": _OP8,
+    "op12_merkle_manifest": _OP12,
+    "op13_merkle_fingerprints": _OP13,
 }

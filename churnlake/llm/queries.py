@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlake.llm import chat, fmindex, itq, kdtree, mixing, partenum, pieces, topk, toxicity, urls
+from churnlake.llm import chat, fingerprints, fmindex, itq, kdtree, manifest, mixing, partenum, pieces, topk, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -130,6 +130,14 @@ def op10_piece_encoding(spark: SparkSession, base: str) -> DataFrame:
     return pieces.encode_documents(_table(spark, base, "documents"), piece_model())
 
 
+def op12_merkle_manifest(spark: SparkSession, base: str) -> DataFrame:
+    return manifest.checked_manifest(_table(spark, base, "documents"))
+
+
+def op13_merkle_fingerprints(spark: SparkSession, base: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(_table(spark, base, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_chat_windows": op2_chat_windows,
@@ -141,4 +149,6 @@ QUERIES: dict[str, Query] = {
     "op8_fm_index_repeats": op8_fm_index_repeats,
     "op9_kd_shards": op9_kd_shards,
     "op10_piece_encoding": op10_piece_encoding,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_merkle_fingerprints": op13_merkle_fingerprints,
 }
