@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,36 +44,38 @@ class FrozenScope:
         self.kept |= {path for df in frames for path in df.inputFiles() or ()}
 
 
-_OPEN: list[FrozenScope] = []
+# Open scopes of this thread, outermost first: another thread's frames are not ours to delete.
+_OPEN: ContextVar[tuple[FrozenScope, ...]] = ContextVar("frozen_scopes", default=())
 
 
 @contextmanager
 def frozen_scope(spark: SparkSession) -> Iterator[FrozenScope]:
     """Frames frozen inside are deleted at the end, but for those kept, which pass to an
     enclosing scope. What leaves the scope must read kept frames only."""
-    scope = FrozenScope()
-    _OPEN.append(scope)
+    scope, outer = FrozenScope(), _OPEN.get()
+    _OPEN.set((*outer, scope))
     try:
         yield scope
     finally:
-        _OPEN.remove(scope)
+        _OPEN.set(outer)
         for path in scope.paths:
             if any(f"/{path.rsplit('/', 1)[1]}/" in f for f in scope.kept):
-                if _OPEN:
-                    _OPEN[-1].paths.append(path)
+                if outer:
+                    outer[-1].paths.append(path)
             else:
                 where = spark._jvm.org.apache.hadoop.fs.Path(path)
                 where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def freeze(df: DataFrame, name: str = "frozen") -> DataFrame:
+def freeze(df: DataFrame, name: str = "frozen", folders: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Later passes see the same rows in the same assignment even when an executor is lost,
-    and each pass reads only the columns it needs.
+    and each pass reads only the columns it needs. ``folders`` are columns whose values get
+    a folder each, so that a filter on them skips files.
     """
     path = scratch_path(df.sparkSession, name)
-    if _OPEN:
-        _OPEN[-1].paths.append(path)
-    df.write.parquet(path)
+    if _OPEN.get():
+        _OPEN.get()[-1].paths.append(path)
+    df.write.partitionBy(*folders).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
