@@ -7,7 +7,7 @@ WITH v AS (
   SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT))) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND abs(CAST(x AS DOUBLE)) * 64 < 1073741824)) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
   GROUP BY vec_id
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id,
@@ -173,6 +173,30 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
 FROM d LEFT JOIN r ON r.doc_id = d.doc_id
 """
 
+_OP11 = """
+WITH v AS (
+  SELECT vec_id, min({'label': CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END,
+    'v': list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT))}) AS r
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+  GROUP BY vec_id
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.r.label = b.r.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.r.v, b.r.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), n AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+  WHERE 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
 # crc32 bit by bit over the decimal digits; trees and folds level by level.
 _OP12 = r"""
 WITH RECURSIVE d AS (
@@ -262,6 +286,7 @@ ORACLES: dict[str, str] = {
     "op5_mix_words": _OP5,
     "op7_jaccard_groups": _OP7,
     "op8_fm_index_repeats": _OP8,
+    "op11_hard_negatives": _OP11,
     "op12_merkle_manifest": _OP12,
     "op13_merkle_fingerprints": _OP13,
 }

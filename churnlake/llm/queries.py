@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlake.llm import chat, fingerprints, fmindex, itq, kdtree, manifest, mixing, partenum, pieces, topk, toxicity, urls
+from churnlake.llm import chat, fingerprints, fmindex, itq, kdtree, manifest, mining, mixing, partenum, pieces, topk, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,8 @@ URL_RULES = [
     ("block", "net", "/fr/"),
 ]
 SHARDS = 16
+ANCHOR_EVERY = 50
+LABELS = 10
 # Folder of the public tokenizer files.
 TOKENIZERS = os.environ.get("TOKENIZER_FILES", "/opt/tokenizers")
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -130,6 +132,12 @@ def op10_piece_encoding(spark: SparkSession, base: str) -> DataFrame:
     return pieces.encode_documents(_table(spark, base, "documents"), piece_model())
 
 
+def op11_hard_negatives(spark: SparkSession, base: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % LABELS).otherwise(F.col("label"))
+    rows = mining.labelled_vectors(_table(spark, base, "embeddings"), label)
+    return mining.hard_negatives(rows, F.col("vec_id") % ANCHOR_EVERY == 0)
+
+
 def op12_merkle_manifest(spark: SparkSession, base: str) -> DataFrame:
     return manifest.checked_manifest(_table(spark, base, "documents"))
 
@@ -149,6 +157,7 @@ QUERIES: dict[str, Query] = {
     "op8_fm_index_repeats": op8_fm_index_repeats,
     "op9_kd_shards": op9_kd_shards,
     "op10_piece_encoding": op10_piece_encoding,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_merkle_fingerprints": op13_merkle_fingerprints,
 }

@@ -14,40 +14,14 @@ import pyarrow.compute  # noqa: F401  as pa.compute
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlake.llm.vectors import exact_scores, matrix, whole_vectors
 from churnlake.plans.bounded import freeze
 
+__all__ = ["top_k", "whole_vectors"]
+
 QUERY_BLOCK = 1024
 SHARD = 4096
 FAN_IN = 64
-_EXACT = float(1 << 53)
-
-
-def whole_vectors(vectors: DataFrame, key: str = "vec_id", value: str = "embedding", scale: int = 64) -> DataFrame:
-    """``(vec_id, v)``: components x as floor(scale * x), one row per id.
-
-    Vectors that are null or hold null or non-finite components are left out, as are rows
-    without id and components beyond 2^30 after scaling, whose products would not fit. If an
-    id repeats, its smallest vector in array order counts.
-    """
-    scaled = F.transform(F.col(value), lambda x: F.floor(x.cast("double") * scale))
-    sound = F.forall(F.col(value), lambda x: x.isNotNull() & (F.abs(x.cast("double")) * scale < F.lit(float(1 << 30))))
-    return (
-        vectors.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
-        .filter(sound)
-        .groupBy(F.col(key).alias("vec_id"))
-        .agg(F.min(scaled).alias("v"))
-    )
-
-
-def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    """Rows of a list column, short ones padded with zeros."""
-    lists = column.combine_chunks()
-    if isinstance(lists, pa.ChunkedArray):
-        lists = pa.concat_arrays(lists.chunks)
-    lengths = np.diff(lists.offsets.to_numpy())
-    out = np.zeros((len(lists), width), dtype=np.int64)
-    out[np.arange(width) < lengths[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
-    return out
 
 
 def _best_of_tile(k: int):
@@ -59,12 +33,7 @@ def _best_of_tile(k: int):
         shard = shard.sort_by("id")
         ids, asked = shard["id"].to_numpy(), queries["query_id"].to_numpy()
         width = max(pa.compute.max(pa.compute.list_value_length(v)).as_py() for v in (queries["q"], shard["w"]))
-        a, b = _matrix(queries["q"], width), _matrix(shard["w"], width)
-        bound = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * width
-        if bound < _EXACT:  # whole numbers of this size are exact in double precision
-            scores = (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-        else:
-            scores = a @ b.T
+        scores = exact_scores(matrix(queries["q"], width), matrix(shard["w"], width))
         out: list[list[np.ndarray]] = [[], [], []]
         for row, query in zip(scores, asked):
             others = ids != query
@@ -95,7 +64,8 @@ def top_k(
     """``query_id, rank, vec_id, score``: for each row of ``vectors (vec_id, v)`` that
     ``asks`` holds for, the ``k`` other rows of highest inner product.
 
-    Ties go to the smaller vec_id; vectors of different length count as padded with zeros.
+    Ties go to the smaller vec_id; vectors of different length count as padded with zeros. A
+    score beyond the range of a long counts as its nearest end.
     A query with fewer others gets them all; an empty table gives no rows.
     """
     rows = freeze(vectors.select("vec_id", "v"), "vectors")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from churnlake.llm import chat, kdtree, mixing, pieces, topk, toxicity, urls
 from churnlake.llm.queries import piece_model
+from churnlake.llm.vectors import exact_scores
 
 
 def test_top_k_with_ties_over_many_tiles(spark):
@@ -35,6 +36,27 @@ def test_top_k_leaves_unsound_vectors_out(spark):
     assert topk.top_k(topk.whole_vectors(frame.limit(0)), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_top_k_takes_finite_vectors_of_any_size(spark):
+    big = float(1 << 40)
+    rows = [(0, [big, 1.0]), (1, [big, 0.0]), (2, [-1e30, 1.0]), (3, [3e38, 3e38])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({"v": F.lit(1), "id": F.lit(1), "w": F.lit(1)})
+    found = topk.top_k(topk.whole_vectors(frame), F.col("vec_id") == 0).orderBy("rank").collect()
+    whole = [[int(x * 64) for x in v] for _, v in rows]
+    scores = {i: sum(a * b for a, b in zip(whole[0], whole[i])) for i in (1, 2, 3)}
+    end = 1 << 63
+    held = {i: max(-end, min(end - 1, s)) for i, s in scores.items()}
+    assert [(r["vec_id"], r["score"]) for r in found] == sorted(held.items(), key=lambda x: (-x[1], x[0]))
+
+
+def test_products_are_exact_at_each_size():
+    rng = np.random.default_rng(5)
+    for bits in (10, 25, 29, 45):
+        a, b = (rng.integers(-(1 << bits), 1 << bits, (5, 7)).astype(float) for _ in range(2))
+        exact = [[sum(int(x) * int(y) for x, y in zip(r, q)) for q in b] for r in a]
+        held = [[max(-(1 << 63), min((1 << 63) - 1, x)) for x in row] for row in exact]
+        assert exact_scores(a, b).tolist() == held
+
+
 def turns(spark, rows):
     return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
 
