@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from churnlake.llm import sharedkeys
 from churnlake.llm.bloom import bloom_joins
+from churnlake.llm.rows import ROW, packed
 from churnlake.llm.words import Words, chunks, mixed, shingles
 from churnlake.plans.bounded import freeze, frozen_scope
 
@@ -37,6 +38,8 @@ WIDTH = 13
 SEED = 5
 #: Occurrences from which a minimizer's segments are sent window by window.
 FREQUENT = 20_000
+#: Bytes of a word and its space, for the number of shards.
+WORD_BYTES = 8
 
 _DOC, _HIT, _FREQUENT = 3, 4, 5
 
@@ -241,8 +244,9 @@ def _seen_twice(frequent: int):
             starts, ends = sharedkeys.runs(keys)
             if i == 0:
                 weight = np.add.reduceat(np.where(fresh, 1, extras), starts) if len(starts) else starts
-                often = keys[starts[weight >= frequent]].view(np.int64).tolist()
-                put(_FREQUENT, often, often, often, [None] * len(often))
+                often = weight >= frequent
+                keys_of = keys[starts[often]].view(np.int64).tolist()
+                put(_FREQUENT, keys_of, weight[often].tolist(), keys_of, [None] * len(keys_of))
             keys, owners, extras = keys[fresh], owners[fresh], extras[fresh]
             order = np.argsort(owners, kind="stable")
             owners, extras = owners[order], extras[order]
@@ -415,9 +419,13 @@ def repeats(docs: DataFrame, width: int = WIDTH, frequent: int = FREQUENT) -> tu
     with bloom_joins(spark):
         likely = freeze(texts.join(places.filter(F.size("places") > 0), "doc_id"), "likely")
     often = freeze(
-        found.filter(F.col("kind") == _FREQUENT).select(F.col("a").alias("key"), F.lit(True).alias("often")).distinct(), "frequent"
+        found.filter(F.col("kind") == _FREQUENT).select(F.col("a").alias("key"), F.col("b").alias("weight"), F.lit(True).alias("often")),
+        "frequent",
     )
-    segments = likely.mapInArrow(_segments(width), _SEGMENT).join(often, "key", "left")
+    # A window sent by itself is ``width`` words, so those shards are counted by what is sent.
+    windows_sent = (often.agg(F.sum("weight")).first()[0] or 0) * (width - SEED + 1)
+    shards = bins + windows_sent * width * WORD_BYTES // sharedkeys.BYTES_PER_BIN
+    segments = likely.mapInArrow(_segments(width), _SEGMENT).join(often.drop("weight"), "key", "left")
     each = F.split("words", r"[\x20\x09-\x0D]+")
     last = F.col("length") - width
     windows = F.transform(
@@ -425,9 +433,9 @@ def repeats(docs: DataFrame, width: int = WIDTH, frequent: int = FREQUENT) -> tu
         lambda i: F.struct((F.col("start") + i).alias("start"), F.slice(each, i + 1, width).alias("w")),
     )
     split = segments.filter("often and words is not null").select("key", "doc_id", F.explode(windows).alias("x"))
-    shard = lambda *by: F.pmod(F.xxhash64(*by), F.lit(bins)).alias("shard")
+    shard = lambda *by: F.pmod(F.xxhash64(*by), F.lit(shards)).alias("shard")
     usual = segments.filter("often is null or words is null").select(
-        F.when(F.col("words").isNull(), F.pmod(F.xxhash64("doc_id", "start"), F.lit(bins))).otherwise(shard("key")).alias("shard"),
+        F.when(F.col("words").isNull(), F.pmod(F.xxhash64("doc_id", "start"), F.lit(shards))).otherwise(shard("key")).alias("shard"),
         "doc_id",
         "start",
         "length",
@@ -478,8 +486,9 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, frequent: int = FREQUEN
         )
         scope.keep(lost)
     same = (F.col("doc_id") == F.col("_d")) & (F.xxhash64("text") == F.col("_h"))
-    joined = docs.join(lost, same, "left")
-    changed = {"text": F.coalesce("_kept", "text")}
+    joined = packed(docs, "doc_id", "text").join(lost, same, "left")
+    changed = F.col(ROW).withField("text", F.coalesce("_kept", "text"))
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("_kept").isNotNull(), F.length("_kept").cast("long")).otherwise(F.col("n_chars"))
-    return joined.withColumns(changed).select(*docs.columns)
+        n_chars = F.when(F.col("_kept").isNotNull(), F.length("_kept").cast("long")).otherwise(F.col(f"{ROW}.n_chars"))
+        changed = changed.withField("n_chars", n_chars)
+    return joined.select(changed.alias(ROW)).select(f"{ROW}.*")

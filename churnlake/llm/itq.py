@@ -5,9 +5,8 @@ A rotation is learned that makes the signs of a vector's coordinates a balanced
 Hamming tables, each keyed by some bits drawn from two codes. How many bits and tables there
 are is found from the sample: pairs made at the threshold, where recall is lowest, tell how
 many bits such pairs differ in, and of all choices whose expected recall there is at least
-``RECALL`` the one of least work is taken. If bits tell too little (few vectors, or a common
-mean close to the threshold), that is one table of no bits, in which all vectors meet. Pairs
-that meet are compared by cosine on the original vectors.
+``RECALL`` the one of least work is taken. Keys have one bit at least, at any number of vectors.
+Pairs that meet are compared by cosine on the original vectors.
 
 Each pair is judged once, in the first table where it meets, which its codes tell. A table
 entry that many vectors share is cut into blocks, and each pair of blocks is one matrix
@@ -36,6 +35,8 @@ THRESHOLD = 0.9
 RECALL = 0.98
 #: Most bits of a table's keys, and the work of one table entry in compared pairs.
 PART, ENTRY_COST = 28, 100
+#: Tables beyond which a width counts as without recall.
+MOST_TABLES = 4096
 BLOCK = 1024
 ROWS_PER_BIN = 20_000
 _SMALL = 32
@@ -92,10 +93,10 @@ def choose_tables(model: Quantizer, sample: np.ndarray, count: int, threshold: f
     rng = np.random.default_rng(seed)
     shares = _agreement(model, sample, threshold, rng)
     recall = lambda width, n: min(float((1 - (1 - a**width) ** n).mean()) for a in shares)
-    width, tables, least = 0, 1, ENTRY_COST + count
+    width, tables, least = 1, CODES * BITS, float("inf")
     for w in range(1, PART + 1 if shares else 0):
         low, n = 0, 1
-        while recall(w, n) < RECALL and n * ENTRY_COST < least:
+        while recall(w, n) < RECALL and n * ENTRY_COST < least and n < MOST_TABLES:
             low, n = n, 2 * n
         while n - low > 1:
             low, n = (low, (low + n) // 2) if recall(w, (low + n) // 2) >= RECALL else ((low + n) // 2, n)
@@ -298,7 +299,8 @@ def near_groups(
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
     )
-    bins = max(12, count * len(model.tables) // ROWS_PER_BIN)
+    copied = crowded.join(load, "key").agg(F.sum(F.col("count") * (F.col("blocks") - 1))).first()[0] or 0
+    bins = max(12, (count * len(model.tables) + copied) // ROWS_PER_BIN)
     dealt = tiles.withColumn("bin", F.pmod(F.xxhash64("key", "i", "j"), F.lit(bins))).select(
         "bin", "key", "i", "j", "block", "rep", "many", "codes", "v"
     )

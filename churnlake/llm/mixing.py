@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlake.llm.rows import ROW, packed
 from churnlake.plans.bounded import freeze
 from churnlake.plans.ordering import number_rows
 
@@ -180,5 +181,6 @@ def mix_words(docs: DataFrame, seed: str = "mix", **how) -> DataFrame:
 def repeat(docs: DataFrame, seed: str = "mix", **how) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as the mix takes it."""
     base = docs.select("doc_id", "source", "text")
-    chosen = decide(docs, plan(base, seed=seed, **how), seed).filter("_copies > 0")
-    return chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    whole = packed(docs, "doc_id", "source", "text")
+    chosen = decide(whole, plan(base, seed=seed, **how), seed).filter("_copies > 0")
+    return chosen.select(ROW, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(f"{ROW}.*")

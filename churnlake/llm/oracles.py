@@ -77,9 +77,9 @@ links AS (
     regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1)]) AS href
   FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
 named AS (
-  SELECT DISTINCT url, regexp_extract(url, '^(.*?://)', 1)
+  SELECT DISTINCT url, url[:strpos(url, '://') + 2]
     || translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
-    || regexp_extract(regexp_replace(url, '#.*$', ''), '^.*?://[^/?]*(.*)$', 1) AS node
+    || regexp_replace(string_split(url[strpos(url, '://') + 3:], '#')[1], '^[^/?]*', '') AS node
   FROM (SELECT url FROM pages UNION SELECT replace(href, '&amp;', '&') FROM links) WHERE url LIKE '%://%'),
 edges AS (
   SELECT a.node AS a, b.node AS b FROM links l JOIN named a ON a.url = l.url

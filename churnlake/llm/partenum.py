@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from churnlake.llm import sharedkeys
 from churnlake.llm.bloom import bloom_joins
 from churnlake.llm.components import components
+from churnlake.llm.rows import ROW, few_tasks, packed
 from churnlake.llm.words import Words, chunks, mixed, shingles
 from churnlake.plans.bounded import freeze, frozen_scope
 
@@ -41,6 +42,8 @@ WIDTH = 5
 PERCENT = 80
 #: Tests per member of open buckets from which centers are tried first, and turns of that.
 TESTS_PER_MEMBER, CENTER_TURNS = 128, 3
+#: Sets that a task makes or intersects.
+SETS_PER_TASK = 2_000
 
 _DOC, _EDGE, _MEMBER = 3, 4, 5
 _NO_ID = np.iinfo(np.int64).min
@@ -128,7 +131,7 @@ def _emit(bins: int, width: int, percent: int):
                     [
                         pa.array([chunk % bins], pa.int32()),
                         pa.array([_DOC], pa.int32()),
-                        pa.array([ids.tobytes()]),
+                        pa.array([ids.tobytes() + part.column("text_hash").to_numpy().tobytes()]),
                         pa.array([nodes.tobytes()]),
                         pa.array([sizes.tobytes() + b"".join(x.tobytes() for x in sketches)]),
                     ],
@@ -138,14 +141,14 @@ def _emit(bins: int, width: int, percent: int):
     return emit
 
 
-_FOUND = "kind int, a long, b long, n int, sketch array<long>"
+_FOUND = "kind int, a long, b long, n int, sketch array<long>, hash long"
 
 
 def _buckets(table: pa.Table) -> pa.Table:
     """Edges from the smallest node of each shared signature, and members ``(key, node)`` of
     the signatures of three nodes or more. A signature that is whole in this bin is given
     once per list of members."""
-    kinds, left, right, sizes, sketches = [], [], [], [], []
+    kinds, left, right, sizes, sketches, hashes = [], [], [], [], [], [np.zeros(0, np.int64)]
 
     def put(kind: int, a: np.ndarray, b: np.ndarray, n: np.ndarray | None = None) -> None:
         kinds.append(np.full(len(a), kind, np.int32))
@@ -154,7 +157,9 @@ def _buckets(table: pa.Table) -> pa.Table:
         sizes.append(np.zeros(len(a), np.int32) if n is None else n)
 
     for row in table.filter(pa.compute.equal(table["kind"], _DOC)).to_pylist():
-        ids, nodes = np.frombuffer(row["keys"], np.int64), np.frombuffer(row["owners"], np.int64)
+        nodes = np.frombuffer(row["owners"], np.int64)
+        ids, told = np.frombuffer(row["keys"], np.int64).reshape(2, -1)
+        hashes.append(told)
         n = np.frombuffer(row["extras"], np.int32, len(ids))
         put(_DOC, ids, nodes, n)
         words, at = np.frombuffer(row["extras"][4 * len(ids) :], np.int64), 0
@@ -185,7 +190,9 @@ def _buckets(table: pa.Table) -> pa.Table:
     arrays = [pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(columns, types)]
     lists = pa.array(sketches, pa.list_(pa.int64()))
     arrays.append(pa.concat_arrays([lists, pa.nulls(len(arrays[0]) - len(lists), lists.type)]))
-    return pa.table(arrays, names=["kind", "a", "b", "n", "sketch"])
+    texts = pa.array(np.concatenate(hashes))
+    arrays.append(pa.concat_arrays([texts, pa.nulls(len(arrays[0]) - len(texts), texts.type)]))
+    return pa.table(arrays, names=["kind", "a", "b", "n", "sketch", "hash"])
 
 
 def _sketch_words(n: int) -> int:
@@ -245,23 +252,28 @@ class _Corpus:
         Only sets of pairs that pass the sketch test are made, from the texts of one document
         each.
         """
+        pairs = freeze(pairs, "pairs")
+        asked = pairs.count()
         light = lambda x: self.nodes.select(
             F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")
         )
         both = pairs.join(light("a"), "a").join(light("b"), "b")
-        likely = freeze(both.filter(_may_link(self.percent)).select("a", "b", (F.col("na") + F.col("nb")).alias("sizes")), "likely")
+        passed = both.filter(_may_link(self.percent)).select("a", "b", (F.col("na") + F.col("nb")).alias("sizes"))
+        likely = freeze(few_tasks(passed, asked), "likely")
+        close = likely.count()
         ends = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct()
-        wanted = freeze(ends.join(self.nodes.select("node", "doc_id"), "node"), "wanted")
+        wanted = freeze(few_tasks(ends.join(self.nodes.select("node", "doc_id"), "node"), 2 * close), "wanted")
         with bloom_joins(pairs.sparkSession):
             read = self.texts.join(wanted.filter(F.col("doc_id") > F.lit(_NO_ID)), "doc_id").select("node", "text")
             # A repeated row gives its set twice, which repeats links and changes nothing.
-            sets = freeze(read.mapInArrow(_with_sets(self.width), "node long, elements array<long>"), "sets")
+            made = read.mapInArrow(_with_sets(self.width), "node long, elements array<long>")
+            sets = freeze(few_tasks(made, 2 * close, SETS_PER_TASK), "sets")
         heavy = lambda x: sets.select(F.col("node").alias(x), F.col("elements").alias(f"e{x}"))
         common = F.size(F.array_intersect("ea", "eb"))
         near = likely.join(heavy("b"), "b").join(heavy("a"), "a").filter(
             common * 100 >= (F.col("sizes") - common) * self.percent
         )
-        return freeze(near.select("a", "b"), "links")
+        return freeze(few_tasks(near.select("a", "b"), close, SETS_PER_TASK), "links")
 
 
 def _open_members(members: DataFrame, groups: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -274,6 +286,7 @@ def _open_members(members: DataFrame, groups: DataFrame, nodes: DataFrame) -> Da
         .distinct(),
         "members",
     )
+    rows = known.count()
     mark = F.sum(F.xxhash64("node").cast("decimal(38,0)"))
     parts = known.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), mark.alias("mark"))
     keys = parts.groupBy("key").agg(
@@ -284,8 +297,8 @@ def _open_members(members: DataFrame, groups: DataFrame, nodes: DataFrame) -> Da
     )
     once = keys.filter("most < all").groupBy("mark", "all", "most", "main").agg(F.min("key").alias("key"))
     tests = ((F.col("all") - F.col("most")) * F.col("all")).alias("tests")
-    unsettled = freeze(once.select("key", "main", tests), "open_keys")
-    return freeze(known.join(unsettled, "key").join(nodes.select("node", "n", "sketch"), "node"), "open")
+    unsettled = freeze(few_tasks(once.select("key", "main", tests), rows), "open_keys")
+    return freeze(few_tasks(known.join(unsettled, "key").join(nodes.select("node", "n", "sketch"), "node"), rows), "open")
 
 
 def _to_center(rows: DataFrame, turn: int) -> DataFrame:
@@ -329,9 +342,9 @@ def _linked_groups(edges: DataFrame, members: DataFrame, corpus: _Corpus) -> Dat
         if links.isEmpty():
             return groups
         known = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        return freeze(components(known.union(links)), "groups")
+        return components(known.union(links), groups.count() + links.count())
 
-    groups = freeze(components(corpus.linked(edges.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))), "groups")
+    groups = components(corpus.linked(edges.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")))
     groups = joined(groups, corpus.linked(_between(edges, groups)))
     for turn in range(CENTER_TURNS + 1):
         rows = _open_members(members, groups, corpus.nodes)
@@ -345,26 +358,16 @@ def _linked_groups(edges: DataFrame, members: DataFrame, corpus: _Corpus) -> Dat
     return joined(groups, corpus.linked(_across(rows, corpus.percent)))
 
 
-def jaccard_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs (doc_id, text)``.
-
-    Words are lower-cased in A-Z. A document's set has its distinct runs of ``width`` words,
-    or the whole sequence if it has fewer. Two documents link if 100 |x & y| is at least
-    ``percent`` |x | y|; ``component_id`` is the smallest doc_id reachable over links. A
-    null, empty or blank text has no shingles and links with nothing. A row without doc_id
-    belongs to the group of documents with its set, if there is one; else its
-    ``component_id`` is null. Rows with one doc_id are judged by their own texts. An empty
-    table gives no rows.
-
-    Sets and shingles are compared by 64-bit hashes.
-    """
+def _named(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``doc_id, hash, n, group`` of every row: the hash of its text, the size of its set, and a
+    node that names its group, null without shingles."""
     with frozen_scope(docs.sparkSession) as scope:
-        texts = docs.select(F.col("doc_id").cast("long"), "text")
+        texts = docs.select(F.col("doc_id").cast("long"), "text", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("text_hash"))
         bins = sharedkeys.bins_for(texts)
         packed = texts.mapInArrow(_emit(bins, width, percent), sharedkeys.SCHEMA)
         found = freeze(sharedkeys.in_bins(packed, _buckets, _FOUND), "signatures")
         rows = found.filter(F.col("kind") == _DOC).select(
-            F.when(F.col("a") != _NO_ID, F.col("a")).alias("doc_id"), F.when(F.col("n") > 0, F.col("b")).alias("node"), "n", "sketch"
+            F.when(F.col("a") != _NO_ID, F.col("a")).alias("doc_id"), F.when(F.col("n") > 0, F.col("b")).alias("node"), "n", "sketch", "hash"
         )
         edges = freeze(found.filter(F.col("kind") == _EDGE).select("a", "b").distinct(), "stars")
         # One document stands for each node.
@@ -376,7 +379,26 @@ def jaccard_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         members = found.filter(F.col("kind") == _MEMBER).select("a", "b")
         groups = _linked_groups(edges, members, _Corpus(texts, freeze(nodes, "nodes"), width, percent))
         named = rows.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node"))
-        named = freeze(named.select("doc_id", "n", "group"), "named")
+        named = freeze(named.select("doc_id", "hash", "n", "group"), "named")
+        scope.keep(named)
+    return named
+
+
+def jaccard_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row of ``docs (doc_id, text)``.
+
+    Words are lower-cased in A-Z. A document's set has its distinct runs of ``width`` words,
+    or the whole sequence if it has fewer. Two documents link if 100 |x & y| is at least
+    ``percent`` |x | y|; ``component_id`` is the smallest doc_id reachable over links. A
+    null, empty or blank text has no shingles and links with nothing. A row without doc_id
+    belongs to the group of documents with its set, if there is one; else its
+    ``component_id`` is null. Rows with one doc_id are judged by their own texts. An empty
+    table gives no rows.
+
+    Sets and shingles are compared by 64-bit hashes.
+    """
+    with frozen_scope(docs.sparkSession) as scope:
+        named = _named(docs, width, percent)
         least = freeze(
             named.filter("group is not null").groupBy(F.col("group").alias("g")).agg(F.min("doc_id").alias("least")), "least"
         )
@@ -389,16 +411,23 @@ def jaccard_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
 def one_per_group(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each group of linked ones: the smallest doc_id's.
 
-    Equal rows of it are given once. Rows without doc_id stay.
+    A document is what shares doc_id and text: if a doc_id has several texts, each goes or
+    stays with its own group, and of two in one group the text of smaller hash stays. Equal
+    rows of a group are given once. Rows without doc_id stay, and so do rows without
+    shingles.
     """
-    groups = freeze(jaccard_groups(docs, width, percent), "groups_of_documents")
-    # A row without doc_id has no id to compare; unlinked rows are their own group.
-    leaving = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(leaving, "doc_id", "left_anti")
-    repeated = freeze(
-        groups.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated"
-    )
-    if repeated.isEmpty():
-        return kept.select(*docs.columns)
-    several = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(several).select(*docs.columns)
+    with frozen_scope(docs.sparkSession) as scope:
+        named = _named(docs, width, percent).filter("group is not null and doc_id is not null").select("doc_id", "hash", "group")
+        first = named.groupBy(F.col("group").alias("g")).agg(F.min(F.struct("doc_id", "hash")).alias("first"))
+        told = named.join(first, F.col("group") == F.col("g")).withColumn("stays", F.col("first") == F.struct("doc_id", "hash"))
+        judged = freeze(told.groupBy("doc_id", "hash").agg(F.bool_and("stays").alias("stays"), F.count(F.lit(1)).alias("copies")), "judged")
+        leaving = freeze(judged.filter("not stays").select(F.col("doc_id").alias("d"), F.col("hash").alias("h")), "leaving")
+        repeated = freeze(judged.filter("stays and copies > 1").select(F.col("doc_id").alias("d"), F.col("hash").alias("h")), "repeated")
+        scope.keep(leaving, repeated)
+    rows = packed(docs, "doc_id", "text").withColumn("hash", F.xxhash64("text"))
+    same = lambda x: (F.col("doc_id") == x["d"]) & (F.col("hash") == x["h"])
+    kept = rows.join(leaving, same(leaving), "left_anti")
+    if not repeated.isEmpty():
+        several = kept.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", "hash"])
+        kept = kept.join(repeated, same(repeated), "left_anti").unionByName(several)
+    return kept.select(f"{ROW}.*")

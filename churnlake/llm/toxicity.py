@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 import re
 import sys
+import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -42,6 +43,8 @@ SPAN = 6
 #: Letters of a word looked at together; longer words are covered by overlapping stretches.
 STRETCH = 24
 _LETTERS = 64
+#: Letters with a code of their own; the others share the rest by a hash.
+_COMMON = 46
 _PATTERNS = [(i, j) for i in range(1, SPAN - 1) for j in range(1, SPAN - i)]
 #: Scored words that a worker keeps at hand.
 REMEMBERED = 1_000_000
@@ -81,15 +84,16 @@ class Kernel:
     """Subsequences of three letters as indices into a table of weights."""
 
     def __init__(self, alphabet: str):
-        self.alphabet = (" " + alphabet)[: _LETTERS - 1]  # a space marks the ends of a word
-        self.code = np.zeros(0x11000, np.int32)
+        self.alphabet = (" " + alphabet)[: _COMMON + 1]  # a space marks the ends of a word
+        points = np.arange(0x110000, dtype=np.uint64)
+        rest = _LETTERS - _COMMON - 1
+        self.code = (_COMMON + 1 + ((points * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(rest)).astype(np.int32)
         for i, c in enumerate(self.alphabet):
-            if ord(c) < len(self.code):
-                self.code[ord(c)] = i + 1
+            self.code[ord(c)] = i
 
     def _letters(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
-        return self.code[np.minimum(points, len(self.code) - 1)], np.array([len(w) for w in words], np.int64)
+        return self.code[points], np.array([len(w) for w in words], np.int64)
 
     def norms(self, lengths: np.ndarray) -> np.ndarray:
         total = np.zeros(len(lengths))
@@ -110,12 +114,13 @@ class Kernel:
     def scores(self, words: Sequence[str], weights: np.ndarray) -> np.ndarray:
         """Normalised sum of ``weights`` over the subsequences of each word."""
         lengths = np.array([len(w) for w in words], np.int64)
-        sums = np.zeros(int(lengths.sum()) + 1)
+        sums = np.zeros(int(lengths.sum()))
         for at, features, weight in self.each(words):
             sums[at] += weights[features] * weight
-        upto = np.concatenate([[0], np.cumsum(sums)])
-        ends = np.cumsum(lengths)
-        return (upto[ends] - upto[ends - lengths]) / self.norms(lengths)
+        if not len(words):
+            return np.zeros(0)
+        # Each word by itself, so that its score does not depend on the words before it.
+        return np.add.reduceat(sums, np.cumsum(lengths) - lengths) / self.norms(lengths)
 
     def against(self, words: Sequence[str], landmarks: Sequence[str]) -> np.ndarray:
         """Kernels of words (rows) with landmarks (columns)."""
@@ -182,7 +187,8 @@ def _independent(texts: list[str]) -> list[int]:
     keep, seen = [], [set(), set(), set(), set()]
     for i, text in enumerate(texts):
         words = text.lower().split()
-        runs = [hash(tuple(words[j : j + 5])) & 0xFFFFFFFFFFFF for j in range(max(1, len(words) - 4))]
+        # A hash that does not change from process to process.
+        runs = [zlib.crc32(" ".join(words[j : j + 5]).encode("utf-8", "surrogatepass")) + 1 for j in range(max(1, len(words) - 4))]
         marks = [min((r * m) & 0xFFFFFFFFFFFF for r in runs) for m in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)]
         if not any(m in s for m, s in zip(marks, seen)):
             keep.append(i)
@@ -241,8 +247,9 @@ def fit(texts: Sequence[str], toxic: Sequence[int]) -> ToxicModel:
     # Equal words of all texts are one object, which keeps the driver's memory small.
     docs = [set(map(sys.intern, units_of(t))) for t in texts]
     rate = (toxic.sum() + 1) / (len(toxic) + 2)
-    letters = Counter(c for d in docs[:500] for w in d for c in w if c.isalpha())
-    alphabet = "".join(sorted(c for c, _ in letters.most_common(_LETTERS - 2)))
+    letters = Counter(c for d in docs for w in d for c in w if c.isalpha())
+    common = sorted(letters, key=lambda c: (-letters[c], c))[:_COMMON]
+    alphabet = "".join(sorted(common))
     kernel = Kernel(alphabet)
     alone = _independent(list(texts))
     bad, good = [docs[i] for i in alone if toxic[i]], [docs[i] for i in alone if not toxic[i]]
@@ -298,7 +305,8 @@ def learn(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_cl
 
     At most ``max_toxic`` toxic and ``max_clean`` clean labels, by a hash of doc_id, are
     looked up in ``docs``. Null labels and texts are left out; of several labels of a
-    document the toxic one counts.
+    document the toxic one counts. If doc_ids repeat, the bound holds for the rows of each
+    class by itself.
     """
     known = (
         labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -307,14 +315,11 @@ def learn(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_cl
     )
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     picked = known.filter("toxic = 1").orderBy(*order).limit(max_toxic).union(known.filter("toxic <> 1").orderBy(*order).limit(max_clean))
-    rows = (
-        docs.select("doc_id", "text")
-        .filter("text is not null")
-        .join(F.broadcast(picked), "doc_id")  # no more rows than asked for
-        .orderBy("toxic", *order, "text")
-        .limit(max_toxic + max_clean)  # doc_ids may repeat
-        .collect()
-    )
+    # No more rows than asked for are broadcast; a doc_id may have many texts.
+    known_texts = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(picked), "doc_id")
+    toxic = known_texts.filter("toxic = 1").orderBy(*order, "text").limit(max_toxic)
+    clean = known_texts.filter("toxic <> 1").orderBy(*order, "text").limit(max_clean)
+    rows = [*clean.collect(), *toxic.collect()]
     return fit([r["text"] for r in rows], [int(r["toxic"] == 1) for r in rows])
 
 

@@ -31,24 +31,44 @@ def path_of(url: Column) -> Column:
 
 def node_of(url: Column) -> Column:
     """A URL as a node: without fragment, host in lower case. Null without ``://``."""
-    plain = F.regexp_replace(url, "#.*$", "")
-    start = F.regexp_extract(plain, "^(.*?://)", 1)
-    rest = F.regexp_extract(plain, "^.*?://[^/?]*(.*)$", 1)
+    plain = F.regexp_replace(url, r"#[\s\S]*\z", "")
+    start = F.regexp_extract(plain, r"^([\s\S]*?://)", 1)
+    rest = F.regexp_extract(plain, r"^[\s\S]*?://[^/?]*([\s\S]*)\z", 1)
     return F.when(F.instr(plain, "://") > 0, F.concat(start, host_of(plain), rest))
 
 
+def _without_dots(path: Column) -> Column:
+    """A path that starts with a slash, with ``.`` and ``..`` segments resolved."""
+    segments = F.split(path, "/")
+
+    def take(kept: Column, s: Column) -> Column:
+        up = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))
+        return F.when(s == ".", kept).when(s == "..", up).otherwise(F.concat(kept, F.array(s)))
+
+    inner = F.slice(segments, F.lit(2), F.size(segments))
+    kept = F.aggregate(inner, F.array().cast("array<string>"), take)
+    folder = F.element_at(segments, -1).isin(".", "..")  # such an end names a folder
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(folder & (F.size(kept) > 0), "/").otherwise(""))
+
+
 def _absolute(url: Column, href: Column) -> Column:
-    """``href`` as seen from ``url``."""
-    href = F.regexp_replace(href, "&amp;", "&")
-    scheme = F.regexp_extract(url, "^(.*?)://", 1)
+    """``href`` as seen from ``url``, as RFC 3986 resolves references; a fragment goes."""
+    href = F.regexp_replace(F.regexp_replace(href, "&amp;", "&"), r"#[\s\S]*\z", "")
+    scheme = F.regexp_extract(url, r"^([\s\S]*?)://", 1)
     site = F.concat(scheme, F.lit("://"), host_of(url))
-    folder = F.regexp_replace(path_of(url), "[^/]*$", "")
+    own = F.when(path_of(url) == "", F.lit("/")).otherwise(path_of(url))
+    query = F.regexp_extract(F.regexp_replace(url, r"#[\s\S]*\z", ""), r"\?[\s\S]*\z", 0)
+    folder = F.regexp_replace(own, r"[^/]*\z", "")
+    path = F.regexp_extract(href, r"^[^?]*", 0)
+    asked = F.regexp_extract(href, r"\?[\s\S]*\z", 0)
+    at = F.when(path.startswith("/"), path).otherwise(F.concat(folder, path))
     return (
-        F.when(href == "", F.lit(None))
-        .when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), href)
+        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), href)
+        .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))  # another scheme: no page
         .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-        .when(href.startswith("/"), F.concat(site, href))
-        .otherwise(F.concat(site, F.when(folder == "", F.lit("/")).otherwise(folder), href))
+        .when(href == "", F.concat(site, own, query))  # the page itself
+        .when(path == "", F.concat(site, own, asked))
+        .otherwise(F.concat(site, _without_dots(at), asked))
     )
 
 

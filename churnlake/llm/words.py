@@ -14,6 +14,8 @@ import pyarrow.compute  # noqa: F401  as pa.compute
 
 #: Bytes of text handled at a time inside a task; one longer text is handled by itself.
 CHUNK_BYTES = 4 << 20
+#: Bytes of words that are hashed at a time.
+SLICE_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -48,6 +50,8 @@ def chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
         end = max(at + 1, int(np.searchsorted(upto, limit, "right")))
         yield batch.slice(at, end - at)
         at = end
+    # What Arrow holds on to would add up over the stages that one worker runs.
+    pa.default_memory_pool().release_unused()
 
 
 class Words:
@@ -72,21 +76,37 @@ class Words:
         self.starts = np.flatnonzero(~space & (before | edge[:-1]))
         self.ends = np.flatnonzero(~space & (after | edge[1:])) + 1
         self.first = np.searchsorted(self.starts, offsets)
-        self._space = space
 
     def hashes(self, lower: bool = False) -> np.ndarray:
-        """64 bits for each word, from its bytes alone."""
-        if not len(self.starts):
-            return _NONE
+        """64 bits for each word, from its bytes alone. Words are taken some at a time, and one
+        longer word in pieces, so that what this needs beside its result is bounded."""
+        out = np.empty(len(self.starts), np.uint64)
         table = _BYTES[_LOWER] if lower else _BYTES
-        # Each byte's place since the last word began; bytes before the first word are spaces.
-        place = np.arange(len(self.data))
-        place[self.starts[0] :] -= np.repeat(self.starts, np.diff(np.append(self.starts, len(self.data))))
-        lengths = self.ends - self.starts
-        parts = table[self.data] * powers(int(lengths.max()) + 1)[np.minimum(place, lengths.max())]
-        parts[self._space] = 0
-        sums = np.add.reduceat(parts, self.starts)
-        return mixed(sums + lengths.astype(np.uint64) * _STEP)
+        at = 0
+        while at < len(out):
+            end = max(at + 1, int(np.searchsorted(self.ends, self.starts[at] + SLICE_BYTES, "right")))
+            out[at:end] = self._sums(at, end, table)
+            at = end
+        return mixed(out + (self.ends - self.starts).astype(np.uint64) * _STEP)
+
+    def _sums(self, at: int, end: int, table: np.ndarray) -> np.ndarray:
+        """Sum of each word's bytes times powers of their places."""
+        low, high = int(self.starts[at]), int(self.ends[end - 1])
+        if high - low > SLICE_BYTES:  # one long word
+            total, factor = np.uint64(0), np.uint64(1)
+            step = powers(SLICE_BYTES + 1)
+            with np.errstate(over="ignore"):  # arithmetic modulo 2^64
+                for piece in range(low, high, SLICE_BYTES):
+                    data = self.data[piece : min(piece + SLICE_BYTES, high)]
+                    total += (table[data] * step[: len(data)]).sum(dtype=np.uint64) * factor
+                    factor *= step[SLICE_BYTES]
+            return np.array([total])
+        starts, lengths = self.starts[at:end] - low, (self.ends - self.starts)[at:end]
+        # Each byte's place since the last word began.
+        place = np.arange(high - low) - np.repeat(starts, np.diff(np.append(starts, high - low)))
+        parts = table[self.data[low:high]] * powers(int(lengths.max()) + 1)[np.minimum(place, lengths.max())]
+        parts[_SPACE[self.data[low:high]]] = 0
+        return np.add.reduceat(parts, starts)
 
     def text(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.ends[i]].tobytes()

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 from llm_cases import LOWER, make_docs, words
+from pyspark.sql import functions as F
 
 from churnlake.llm import fmindex, itq, partenum, sharedkeys
 from churnlake.llm.components import components
@@ -105,6 +106,28 @@ def test_jaccard_groups_of_awkward_rows(spark, awkward):
     assert sorted((str(r[0]) for r in kept.select("doc_id").collect())) == sorted(map(str, [1, 2, 3, 4, 5, 7, None]))
 
 
+def test_one_per_group_goes_by_document_and_text(spark):
+    same, other = "a b c d e f g", "unique words of its own here"
+    rows = [(1, same), (5, same), (5, other), (5, other), (None, same), (6, same), (6, None), (1, same)]
+    names = ("d", "h", "hash", "group", "node", "stays", "copies", "first")
+    docs = make_docs(spark, rows).withColumns({n: F.lit("z") for n in names})
+    kept = partenum.one_per_group(docs)
+    assert kept.columns == docs.columns
+    found = sorted(((r[0], r[1]) for r in kept.select("doc_id", "text").collect()), key=str)
+    assert found == sorted([(1, same), (5, other), (None, same), (6, None)], key=str)
+
+
+def test_signatures_shared_by_many_components(spark):
+    # One run of boilerplate in otherwise different texts: shared shingles, no links but copies.
+    boiler = " ".join(f"b{i}" for i in range(30))
+    rows = [(i, boiler + " " + " ".join(f"t{i // 3}_{j}" for j in range(30 + i % 3))) for i in range(150)]
+    sets = [shingle_set(t) for _, t in rows]
+    links = [(a, b) for a in range(150) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    label = lowest(150, links)
+    found = {r[0]: r[2] for r in partenum.jaccard_groups(make_docs(spark, rows)).collect()}
+    assert found == dict(enumerate(label)) and len(set(label)) == 50
+
+
 def repeats_by_force(rows, width=13):
     known = {}
     for i, text in sorted(rows):
@@ -252,8 +275,8 @@ def test_tables_for_many_vectors_catch_pairs_close_to_the_threshold():
     for mean in (0.0, 0.8):
         x, y = spread_pairs(4, 3000, mean)
         model = itq.learn(x)
-        for count in (10_000, 1_000_000):
-            model.tables = itq.choose_tables(model, x, count, 0.9)
+        for count in (500, 10_000, 1_000_000):
+            model.tables = itq.choose_tables(model, x[:count], count, 0.9)
             assert model.tables.shape[1] > 0  # not by comparing all with all
             met = (model.parts(model.codes(x)) == model.parts(model.codes(y))).any(axis=1)
             assert met.mean() >= 0.95

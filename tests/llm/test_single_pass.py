@@ -1,8 +1,13 @@
 """Top-k, chat, URL rules, mixing, sharding, toxicity and encoding on small cases."""
 
 import hashlib
+import os
 import random
+import subprocess
+import sys
+import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -13,6 +18,8 @@ from churnlake.llm import chat, kdtree, mixing, pieces, topk, toxicity, urls
 from churnlake.llm.queries import piece_model
 from churnlake.llm.vectors import exact_scores
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
 
 def test_top_k_with_ties_over_many_tiles(spark):
     rng = np.random.default_rng(1)
@@ -141,6 +148,65 @@ def test_blocks_spread_over_redirects_and_canonical_links(spark):
     assert urls.judge(frame.limit(0), rules).count() == 0
 
 
+def test_references_resolve_as_the_standard_says(spark):
+    base = "http://Site.org/b/c/d;p?q"
+    # Examples of RFC 3986, section 5.4, without fragments.
+    want = {
+        "g": "/b/c/g", "./g": "/b/c/g", "g/": "/b/c/g/", "/g": "/g", "?y": "/b/c/d;p?y", "g?y": "/b/c/g?y", "g#s": "/b/c/g",
+        "#s": "/b/c/d;p?q", ";x": "/b/c/;x", ".": "/b/c/", "./": "/b/c/", "..": "/b/", "../": "/b/", "../g": "/b/g", "../..": "/",
+        "../../g": "/g", "../../../g": "/g", "/./g": "/g", "/../g": "/g", "g.": "/b/c/g.", "..g": "/b/c/..g", "./../g": "/b/g",
+        "./g/.": "/b/c/g/", "g/./h": "/b/c/g/h", "g/../h": "/b/c/h",
+    }
+    frame = spark.createDataFrame(list(want), "string").select(F.col("value").alias("href"), F.lit(base).alias("url"))
+    found = frame.select("href", urls._absolute(F.col("url"), F.col("href"))).collect()
+    assert {r[0]: r[1] for r in found} == {k: "http://site.org" + v for k, v in want.items()}
+
+
+def test_blocks_reach_aliases_by_any_reference_and_no_others(spark):
+    def page(i, url, target=None):
+        return (i, url, f'<link rel="canonical" href="{target}">' if target else "<p>")
+
+    rows = [
+        page(1, "http://bad.org/x/y", "?p=1"), page(2, "http://a.org/l", "http://bad.org/x/y?p=1"),
+        page(3, "http://bad.org/x/z/w", "../v"), page(4, "http://b.org/l", "http://bad.org/x/v"),
+        page(5, "http://a.org/x\ny", "http://bad.org/x/y"), page(6, "http://a.org/x\nw"), page(7, "http://a.org/x"),
+    ]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    rules = spark.createDataFrame([("block", "bad.org", "/x/")], "action string, host string, path string")
+    verdicts = {r["page_id"]: r["verdict"] for r in urls.judge(frame, rules).collect()}
+    assert verdicts == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "allow", 7: "allow"}
+
+
+def test_the_model_is_the_same_in_each_process():
+    code = (
+        "import random; from churnlake.llm import toxicity as t; r = random.Random(1); w = [f'w{i}' for i in range(90)];"
+        "texts = [' '.join(r.choices(w, k=12)) + (' idiot you' if i % 3 == 0 else '') for i in range(240)];"
+        "m = t.fit(texts, [int(i % 3 == 0) for i in range(240)]); print(repr((m.slope, m.offset, float(m.weights.sum()), m.alphabet)))"
+    )
+    out = {
+        subprocess.run([sys.executable, "-c", code], env={**os.environ, "PYTHONHASHSEED": s, "PYTHONPATH": ROOT}, capture_output=True, text=True, check=True).stdout
+        for s in ("1", "2")
+    }
+    assert len(out) == 1 and out.pop()
+
+
+def test_letters_of_any_script_tell_words_apart():
+    kernel = toxicity.Kernel("abc")
+    for a, b in (("дурак", "слово"), ("שלוםש", "מילהמ"), ("abcab", "cbacb")):
+        own = kernel.scores([f" {a} "], kernel.table(f" {a} "))[0]
+        assert own > 0.99 and kernel.scores([f" {b} "], kernel.table(f" {a} "))[0] < 0.8
+
+
+def test_each_class_is_limited_by_itself(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, toxic: seen.append(sorted(toxic)))
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 4 != 2][:20]
+    docs = make_docs(spark, [(i, f"text {i} {c}") for i in ids for c in range(3)])
+    labels = spark.createDataFrame([(i, int(n % 2)) for n, i in enumerate(ids)], "doc_id long, toxic int")
+    toxicity.learn(docs, labels, max_toxic=4, max_clean=6)
+    assert seen == [[0] * 6 + [1] * 4]
+
+
 def test_mix_comes_near_its_targets(spark):
     rng = random.Random(3)
     rows = [(i, "w " * rng.randrange(0, 60), rng.choice(["a", "a", "a", "b", "é", None])) for i in range(600)]
