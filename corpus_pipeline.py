@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from churnlake.llm import fmindex, mixing, partenum, pieces, toxicity
 from churnlake.llm.queries import TOXIC_FROM, piece_model
-from churnlake.plans.bounded import freeze
+from churnlake.llm.rows import fresh
+from churnlake.plans.bounded import freeze, frozen_scope
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -25,8 +26,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below the threshold. The model learns from the labelled
     ones among them."""
     model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score_texts(docs, model, "_toxicity")
-    return scored.filter(F.col("_toxicity") < TOXIC_FROM).select(*docs.columns)
+    score = fresh("toxicity", docs)
+    return toxicity.score_texts(docs, model, score).filter(F.col(score) < TOXIC_FROM).drop(score)
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,9 +64,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. What earlier stages wrote is deleted as soon as the stage after
+    them is written, but for the documents that the last one reads."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = freeze(docs, f"stage_{i}")
-    return docs
+    with frozen_scope(spark) as whole:
+        for i, (_, stage) in enumerate(STAGES[:-1]):
+            with frozen_scope(spark) as own:
+                docs = freeze(stage(spark, docs, sf_dir), f"stage_{i}")
+                own.keep(docs)
+        whole.keep(docs)
+    return STAGES[-1][1](spark, docs, sf_dir)
