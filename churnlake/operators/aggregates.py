@@ -27,7 +27,7 @@ from churnlake.functions.numbers import (
 )
 from churnlake.functions.scoring import YEAR_EDGES, YEAR_LABELS, segment_risk_label
 from churnlake.operators.relational import sort_keys
-from churnlake.plans.ordering import quantiles
+from churnlake.plans.digits import quantiles
 
 def measures(*names: str, count_as: str = "total") -> list[Column]:
     """Aggregates by report name."""
@@ -184,24 +184,20 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return counts.withColumn("pct", percent(F.col("n"), everything)).orderBy(F.desc("n"), column)
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
+def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles, one row per column.
 
-    Everything comes from the ordered values, so the table is computed once. A column
+    Quartiles are found by descent over counts, so no row is moved or ordered. A column
     without values has no row.
     """
-    v = F.col("_value")
-    stats = [
-        F.count(v).alias("count"),
-        mean(v).alias("mean"),
-        F.round(F.stddev(v), 2).alias("std"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-    ]
-    out = quantiles(df, columns, [key], {"p25": 0.25, "p50": 0.5, "p75": 0.75}, also=stats)
+    stats = {"count": F.count, "mean": mean, "std": lambda v: F.round(F.stddev(v), 2), "min": F.min, "max": F.max}
+    quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    found = quantiles(df, columns, quartiles, stats)
+    names = ["column", "count", "mean", "std", "min", *quartiles, "max"]
+    schema = "column string, count bigint, " + ", ".join(f"{n} double" for n in names[2:])
+    out = df.sparkSession.createDataFrame([tuple(r[n] for n in names) for r in found], schema)
     # Four digits hold any quartile of cents.
-    exact = [F.round(q, 4).alias(q) for q in ("p25", "p50", "p75")]
-    return out.select("column", "count", "mean", "std", "min", *exact, "max")
+    return out.withColumns({q: F.round(q, 4) for q in quartiles})
 
 
 def profile_columns(df: DataFrame) -> DataFrame:

@@ -27,6 +27,8 @@ from churnlake.functions.numbers import (
     total_where,
 )
 from churnlake.operators.relational import Order, sort_keys
+from churnlake.plans.bounded import freeze
+from churnlake.plans.digits import tile_of
 from churnlake.plans.ordering import ranked, running_sum
 
 # Names of charge quartiles and value quintiles.
@@ -144,8 +146,11 @@ def vs_partition_avg(df: DataFrame) -> DataFrame:
 
 
 def ntile_quartiles(df: DataFrame, key: str) -> DataFrame:
-    """Charge quartiles over all rows and the churn of each."""
-    tiles = ranked(df, [("monthly_charges", "asc")], [key], ntile={"charge_quartile": 4})
+    """Charge quartiles over all rows and the churn of each. ``key`` is a whole number that
+    identifies a row; charges have two decimals."""
+    cents = (money("monthly_charges") * 100).cast("bigint")
+    rows = freeze(df.select(F.col(key).cast("bigint").alias("_key"), "monthly_charges", "churn", cents.alias("_cents")), "charges")
+    tiles = rows.withColumn("charge_quartile", tile_of(rows, "_cents", "_key", 4))
     return tiles.groupBy("charge_quartile").agg(
         F.count(F.lit(1)).alias("customers"),
         as_double(F.min("monthly_charges")).alias("min_charge"),
@@ -157,9 +162,12 @@ def ntile_quartiles(df: DataFrame, key: str) -> DataFrame:
 
 
 def clv_tiers(df: DataFrame, key: str) -> DataFrame:
-    """Value quintiles; the amount at risk is the monthly charge of the churned."""
-    valued = df.withColumn("_clv", money("monthly_charges") * F.col("tenure"))
-    tiles = ranked(valued, [("_clv", "asc")], [key], ntile={"clv_quintile": 5})
+    """Value quintiles; the amount at risk is the monthly charge of the churned. ``key`` is a
+    whole number that identifies a row."""
+    clv = money("monthly_charges") * F.col("tenure")
+    valued = df.select(F.col(key).cast("bigint").alias("_key"), "monthly_charges", "churn", clv.alias("_clv"))
+    rows = freeze(valued.withColumn("_cents", (F.col("_clv") * 100).cast("bigint")), "values")
+    tiles = rows.withColumn("clv_quintile", tile_of(rows, "_cents", "_key", 5))
     return (
         tiles.groupBy("clv_quintile")
         .agg(

@@ -142,43 +142,3 @@ def _join_values(rows: DataFrame, values: DataFrame, names: Sequence[str], carry
     renamed = values.select(*[F.col(c).alias(f"_v_{c}") for c in names], *carry)
     same = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(renamed[f"_v_{c}"]) for c in names])
     return rows.join(renamed, same, "left").drop(*[f"_v_{c}" for c in names])
-
-
-def quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    tie: Sequence[str],
-    probs: Mapping[str, float],
-    also: Sequence[Column] = (),
-) -> DataFrame:
-    """Exact linear-interpolated quantiles, one row per column that has values.
-
-    All columns share one range shuffle of (column, value, key) rows; then only the rows
-    next to a quantile position are kept. No task holds the values of a column. Further
-    aggregates over ``_value`` can be taken from the same rows.
-    """
-    long = df.select(
-        *tie,
-        F.posexplode(F.array(*[F.col(c).cast("double") for c in columns])).alias("_c", "_value"),
-    ).filter(F.col("_value").isNotNull())
-    rows = number_rows(long, [("_c", "asc"), ("_value", "asc")], tie, "_row").select("_c", "_value", "_row")
-    # One row per column.
-    spans = rows.groupBy("_c").agg(F.min("_row").alias("_start"), F.count(F.lit(1)).alias("_n"), *also)
-    at = F.array(*[F.struct(F.lit(q).alias("label"), F.lit(p).alias("p")) for q, p in probs.items()])
-    wanted = spans.select("_c", "_start", ((F.col("_n") - 1)).alias("_last"), F.explode(at).alias("_q")).select(
-        "_c", F.col("_q.label").alias("_label"), (F.col("_last") * F.col("_q.p")).alias("_at"), "_start"
-    )
-    ends = wanted.select(
-        "_c",
-        "_label",
-        (F.col("_at") - F.floor("_at")).alias("_frac"),
-        F.explode(F.array(F.floor("_at") + F.col("_start"), F.ceil("_at") + F.col("_start"))).alias("_row"),
-    )
-    # The two ends of every position: 2 x columns x probabilities rows.
-    picked = rows.join(F.broadcast(ends), ["_c", "_row"])
-    low, high = F.min("_value"), F.max("_value")
-    each = picked.groupBy("_c", "_label").agg((low + (high - low) * F.max("_frac")).alias("_q"))
-    wide = each.groupBy("_c").pivot("_label", list(probs)).agg(F.first("_q"))
-    names = F.array(*[F.lit(c) for c in columns])
-    named = spans.drop("_start", "_n").withColumn("column", F.element_at(names, F.col("_c") + 1))
-    return wide.join(named, "_c").drop("_c")

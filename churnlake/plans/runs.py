@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 from churnlake.functions.numbers import mean, mean_where, percent, total, total_where
 from churnlake.functions.scoring import lifetime_value, risk_label_753, risk_score_full
-from churnlake.operators.quality import ValidationError, customer_rules, quality_checks, validation_gate
+from churnlake.operators.quality import MAX_INVALID, ValidationError, customer_rules, validation_gate
 from churnlake.operators.windows import rank_then_filter
+from churnlake.plans.observed import checked_write, staged
+from churnlake.sinks import versions
 from churnlake.sinks.files import write_csv, write_json_report
 
 log = logging.getLogger(__name__)
@@ -87,42 +89,82 @@ def kpis(df: DataFrame) -> DataFrame:
     )
 
 
+def _invalid(key: str = "customer_id") -> Column:
+    """Rows without a customer or with impossible figures."""
+    number = lambda c: F.coalesce(F.col(c) >= 0, F.lit(False))
+    return F.col(key).isNull() | ~number("monthly_charges") | ~number("tenure")
+
+
 def gate(df: DataFrame) -> dict[str, Any]:
-    """Share of rows without a customer or with impossible figures, checked against the limit."""
-    bad = (
-        F.when(F.col("customer_id").isNull(), "no customer")
-        .when(~F.coalesce(F.col("monthly_charges") >= 0, F.lit(False)), "charges")
-        .when(~F.coalesce(F.col("tenure") >= 0, F.lit(False)), "tenure")
-    )
-    row = validation_gate(df.withColumn("reason", bad))
+    """Share of invalid rows of a frame, checked against the limit."""
+    row = validation_gate(df.withColumn("reason", F.when(_invalid(), "invalid")))
     return {"invalid_records": row["invalid_records"]}
 
 
+def _passes(total: int, invalid: int) -> None:
+    """The gate on counts that are known already."""
+    if total == 0:
+        raise ValidationError("No records to validate")
+    if not invalid < total * MAX_INVALID:
+        raise ValidationError(f"{invalid} of {total} records are invalid")
+
+
+def kpi_metrics() -> dict[str, Column]:
+    """The headline figures as metrics of a write."""
+    gone, charge = F.col("churn") == 1, F.col("monthly_charges").cast("decimal(18,2)")
+    return {
+        "total_churned": F.count_if(gone),
+        "monthly_revenue": F.sum(charge),
+        "revenue_at_risk": F.sum(F.when(gone, charge).otherwise(F.lit(0).cast("decimal(18,2)"))),
+    }
+
+
+def _report_of(spark: SparkSession, seen: Mapping[str, Any]) -> DataFrame:
+    """The headline figures as a frame of one row."""
+    names = ["total_records", "total_churned", "monthly_revenue", "revenue_at_risk"]
+    row = [tuple(seen[n] for n in names)]
+    known = spark.createDataFrame(row, "total_customers bigint, total_churned bigint, revenue decimal(28,2), risk decimal(28,2)")
+    return known.select(
+        "total_customers",
+        "total_churned",
+        percent(F.col("total_churned"), F.col("total_customers"), 2).alias("churn_rate_pct"),
+        F.col("revenue").cast("double").alias("monthly_revenue"),
+        F.col("risk").cast("double").alias("revenue_at_risk"),
+    )
+
+
 def churn_run(spark: SparkSession, read: Callable[[], DataFrame], out: str, run_at: str) -> RunReport:
-    """The standard run: read, check, score, rank, summarise, save.
+    """The standard run: read, score, stage, check, publish, rank, summarise.
 
-    The gate ends the run before anything is written if too many rows are invalid. The scored
-    frame is written once and read back by the ranking and the summary.
+    The source is computed once: the scored rows are written to a staging path, and the
+    counts of all checks, the gate's share of invalid rows and the headline figures come out
+    of that write. Only if the gate holds are they published, as the current version under
+    ``out/enriched``; else they are deleted, and readers keep what was there. The ranking reads the
+    published columns that it needs.
     """
-    state: dict[str, DataFrame] = {}
+    state: dict[str, Any] = {}
+    root = f"{out}/enriched"
 
     def extract(report: RunReport) -> None:
         state["rows"] = read()
 
     def check(report: RunReport) -> None:
-        row = quality_checks(state["rows"], "customer_id", customer_rules()).first()
-        if row["total_records"] == 0:
-            raise ValidationError("No records to validate")
-        report.metrics["data_quality"] = "ALL PASSED" if row["all_passed"] else "ISSUES FOUND"
-        report.metrics["total_records"] = row["total_records"]
-        report.metrics |= gate(state["rows"])
+        more = {"invalid_records": F.count_if(_invalid()), **kpi_metrics()}
+        path, seen = checked_write(enriched(state["rows"]), root, "customer_id", customer_rules(), more)
+        state.update(path=path, seen=seen)
+        try:
+            _passes(seen["total_records"], seen["invalid_records"])
+        except ValidationError:
+            versions.discard(spark, path)
+            raise
+        report.metrics["data_quality"] = "ALL PASSED" if seen["all_passed"] else "ISSUES FOUND"
+        report.metrics |= {name: seen[name] for name in ("total_records", "invalid_records")}
 
     def save(report: RunReport) -> None:
-        scored = enriched(state["rows"])
-        scored.write.mode("overwrite").parquet(f"{out}/enriched")
-        kept = spark.read.schema(scored.schema).parquet(f"{out}/enriched")
+        versions.publish(spark, root, state["path"])
+        kept = spark.read.schema(enriched(state["rows"]).schema).parquet(state["path"])
         write_csv(top_priority(kept), f"{out}/top_priority")
-        summary = kpis(kept)
+        summary = _report_of(spark, state["seen"])
         write_json_report(summary.withColumn("run_at", F.lit(run_at)), f"{out}/report")
         report.metrics["executive_summary"] = summary.first().asDict()
 
@@ -130,18 +172,20 @@ def churn_run(spark: SparkSession, read: Callable[[], DataFrame], out: str, run_
 
 
 def multi_source_ingest(
-    spark: SparkSession, sources: Mapping[str, Callable[[], DataFrame]]
+    spark: SparkSession, sources: Mapping[str, Callable[[], DataFrame]], landing: str
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Read every source; one that fails is reported with a warning and left out.
+    """Copy every source to a folder of ``landing``; one that fails is reported with a warning
+    and left out, wherever it fails.
 
-    Counting the rows makes a source fail here and not in a later stage.
+    A source is read once: its rows are counted by the write, and later stages read the copy.
     """
     frames, rows = {}, []
     for name, read in sources.items():
         try:
             df = read()
-            rows.append((name, "SUCCESS", df.count(), None))
-            frames[name] = df
+            path, seen = staged(df, f"{landing}/{name}", {"rows": F.count(F.lit(1))})
+            frames[name] = spark.read.schema(df.schema).parquet(path)
+            rows.append((name, "SUCCESS", seen["rows"], None))
         except Exception as e:  # sources fail alone
             log.warning("source %s: %s", name, e)
             condition = getattr(e, "getCondition", lambda: None)()

@@ -241,8 +241,8 @@ def _describe_sql(c):
 
 @register("describe_numeric", q.subs(" UNION ALL ".join(_describe_sql(c) for c in ("tenure", "monthly_charges", "total_charges"))))
 def describe_numeric(spark, base):
-    df = subs(spark, base, "customer_id", "tenure", "monthly_charges", "total_charges")
-    return op.describe_numeric(df, ["tenure", "monthly_charges", "total_charges"], "customer_id")
+    columns = ["tenure", "monthly_charges", "total_charges"]
+    return op.describe_numeric(subs(spark, base, *columns), columns)
 
 
 _PROFILED = {"customer_id": "bigint", "contract": "string", "tenure": "int", "monthly_charges": "decimal(18,2)", "total_charges": "decimal(20,2)", "churn": "int"}

@@ -2,11 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from churnlake.functions.numbers import as_double
+from churnlake.functions.numbers import as_double, total
 from churnlake.operators import quality as op
+from churnlake.plans import observed
+from churnlake.plans.bounded import scratch_path
 from churnlake.queries import sql as q
 from churnlake.queries.registry import register
 from churnlake.queries.scored import scored
+from churnlake.sinks import versions
 from churnlake.sources.subscriptions import subscriptions as subs
 from churnlake.sources.tables import table
 
@@ -23,6 +26,23 @@ def quality_checks(spark, base):
     return op.quality_checks(subs(spark, base), "customer_id", op.customer_rules())
 
 
+@register("quality_checks_on_write", q.subs(
+    """SELECT COUNT(*) AS total_records, CAST(COUNT_IF(customer_id IS NULL) AS BIGINT) AS null_ids,
+       CAST(COUNT_IF(monthly_charges <= 0) AS BIGINT) AS invalid_charges, CAST(COUNT_IF(tenure < 0) AS BIGINT) AS invalid_tenure,
+       CAST(COUNT_IF(churn NOT IN (0, 1)) AS BIGINT) AS invalid_churn,
+       (SELECT COUNT(*) FROM (SELECT customer_id FROM subs GROUP BY 1 HAVING COUNT(*) > 1) d) AS duplicate_ids,
+       COUNT(*) - COUNT(DISTINCT customer_id) AS surplus_rows, TRUE AS all_passed,
+       COUNT(*) AS stored_records, CAST(SUM(monthly_charges) AS DOUBLE) AS stored_revenue FROM subs"""))
+def quality_checks_on_write(spark, base):
+    """The checks taken by the write that stores the rows, beside what was stored."""
+    root = scratch_path(spark, "checked")
+    path, seen = observed.checked_write(subs(spark, base), root, "customer_id", op.customer_rules())
+    versions.publish(spark, root, path)
+    stored = versions.read_current(spark, root).agg(F.count(F.lit(1)).alias("stored_records"), total("monthly_charges").alias("stored_revenue"))
+    told = [F.lit(v).cast("boolean" if n == "all_passed" else "bigint").alias(n) for n, v in seen.items()]
+    return stored.select(*told, "stored_records", "stored_revenue")
+
+
 _LINE_RULES = {"free_items": "l_extendedprice <= 0", "no_discount": "l_discount < 0.01"}
 
 

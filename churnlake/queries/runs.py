@@ -105,6 +105,7 @@ def multi_source_ingest(spark, base):
             "missing": lambda: read_csv_schema(spark, gone, "a string"),
             "events": lambda: table(spark, base, "events"),
         },
+        scratch_path(spark, "landing"),
     )
     return report
 

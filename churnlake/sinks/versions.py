@@ -34,6 +34,12 @@ def stage(df: DataFrame, root: str) -> str:
     return path
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged version that is not to be published."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def publish(spark: SparkSession, root: str, path: str) -> int:
     """Make a staged version the current one."""
     version = _current(spark, root)[0] + 1

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from churnlake.functions import ladders, numbers, scoring, text
 from churnlake.operators import aggregates, joins, quality, relational, warehouse, windows
 from churnlake.operators.quality import ValidationError
-from churnlake.plans import ordering, runs
+from churnlake.plans import digits, ordering, runs
 from churnlake.plans.bounded import freeze, frozen_scope
 from churnlake.sinks import files as sink
 from churnlake.sinks import versions
@@ -99,17 +99,95 @@ def test_a_failing_gate_writes_nothing(spark, tmp_path):
     with pytest.raises(ValidationError):
         runs.gate(bad)
     report = runs.churn_run(spark, lambda: bad, f"{tmp_path}/out", "now")
-    assert report.status == "FAILED" and not (tmp_path / "out").exists()
+    assert report.status == "FAILED"
+    # Nothing is published: no log, no staged rows, no reports.
+    assert not [p for p in (tmp_path / "out").rglob("*") if p.is_file()]
 
 
-def test_quantiles_equal_numpy(spark):
+def test_quantiles_equal_numpy(spark, monkeypatch):
     rng = random.Random(3)
     data = [(i, rng.random() * 100, rng.randrange(5)) for i in range(1_001)]
     df = spark.createDataFrame(data, "id bigint, a double, b int")
-    got = ordering.quantiles(df, ["a", "b"], ["id"], {"p25": 0.25, "p50": 0.5, "p90": 0.9})
-    for row in got.collect():
-        values = [r[1] if row["column"] == "a" else r[2] for r in data]
-        assert np.allclose([row["p25"], row["p50"], row["p90"]], np.quantile(values, [0.25, 0.5, 0.9]))
+    for few, bins in ((digits.FEW, digits.BINS), (3, 4)):  # by values at once, and by many narrow passes
+        monkeypatch.setattr(digits, "FEW", few)
+        monkeypatch.setattr(digits, "BINS", bins)
+        got = digits.quantiles(df, ["a", "b"], {"p25": 0.25, "p50": 0.5, "p90": 0.9})
+        for row, place in zip(got, (1, 2)):
+            values = [r[place] for r in data]
+            assert np.allclose([row["p25"], row["p50"], row["p90"]], np.quantile(values, [0.25, 0.5, 0.9]), rtol=1e-14)
+
+
+def test_order_statistics_of_extreme_values(spark, monkeypatch):
+    monkeypatch.setattr(digits, "FEW", 2)
+    monkeypatch.setattr(digits, "BINS", 8)
+    values = [-1.7e308, 1.7e308, 5e-324, -5e-324, 0.0, 1.0, 1.0 + 2**-52, 3.0, 3.0, 3.0, 3.0, 1e9, None, 1e-3]
+    longs = [-(1 << 63), (1 << 63) - 1, (1 << 63) - 2, 0, 7, 7, 7, 1 << 60, (1 << 60) + 1, -5, None, 3, 2, 1]
+    df = spark.createDataFrame(list(zip(values, longs)), "d double, l bigint")
+    for name, mine in (("d", values), ("l", longs)):
+        held = sorted(v for v in mine if v is not None)
+        lanes = {name: F.col(name)}
+        found = digits.order_statistics(df, lanes, {name: [*range(0, 20)]}, digits.spans_of(df, lanes))[name]
+        assert {p: s.value for p, s in found.items()} == {i + 1: v for i, v in enumerate(held)}
+        assert all(s.below == sum(v < s.value for v in held) for s in found.values())
+    assert digits.quantiles(df.filter("d > 1e9 and d < 2"), ["d"], {"p50": 0.5}) == []
+    nan = spark.createDataFrame([(float("nan"),), (2.0,), (4.0,)], "d double")
+    assert digits.quantiles(nan, ["d"], {"p50": 0.5}) == [{"column": "d", "p50": 3.0}]
+
+
+def test_tiles_equal_a_window(spark, monkeypatch):
+    monkeypatch.setattr(digits, "FEW", 5)
+    monkeypatch.setattr(digits, "BINS", 16)
+    rng = random.Random(4)
+    for n in (0, 1, 3, 4, 61, 200):
+        # A third of the rows share one value, some have none.
+        data = [(i * 7, rng.choice([500, 500, rng.randrange(1000), rng.randrange(1000), None])) for i in range(n)]
+        df = spark.createDataFrame(data, "k bigint, v bigint")
+        for tiles in (4, 5):
+            want = df.withColumn("t", F.ntile(tiles).over(Window.orderBy(F.col("v").asc_nulls_first(), "k")))
+            got = df.withColumn("t", digits.tile_of(df, "v", "k", tiles))
+            assert rows(got, "k", "t") == rows(want, "k", "t")
+
+
+def test_quartiles_move_no_rows(spark, base):
+    from churnlake.sources.subscriptions import subscriptions
+
+    df = subscriptions(spark, base, "customer_id", "monthly_charges", "churn")
+    plan = windows.ntile_quartiles(df, "customer_id")._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Window" not in plan and plan.count("Exchange") == 1
+
+
+def test_a_run_computes_its_source_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(i):
+        read.add(1)
+        return i
+
+    ident = F.udf(counted, "int").asNondeterministic()
+    columns = "customer_id int, contract string, payment_method string, tenure int, monthly_charges double, churn int"
+    data = [(i, "One year", "Mailed check", i % 60, 10.0 + i, i % 2) for i in range(100)]
+    good = spark.createDataFrame(data, columns).withColumn("customer_id", ident("customer_id"))
+    report = runs.churn_run(spark, lambda: good, f"{tmp_path}/out", "now")
+    assert report.status == "SUCCESS", report.errors
+    assert read.value == 100
+    assert report.metrics["executive_summary"]["total_churned"] == 50 and report.metrics["data_quality"] == "ALL PASSED"
+    assert versions.read_current(spark, f"{tmp_path}/out/enriched").count() == 100
+    # A run that fails the gate changes nothing that readers see, and leaves no staged rows.
+    bad = good.withColumn("monthly_charges", F.lit(-1.0))
+    again = runs.churn_run(spark, lambda: bad, f"{tmp_path}/out", "later")
+    assert again.status == "FAILED" and "100 of 100" in again.errors[0]
+    assert versions.read_current(spark, f"{tmp_path}/out/enriched").count() == 100
+    assert len([p for p in (tmp_path / "out" / "enriched").iterdir() if p.name.startswith("data-")]) == 1
+
+
+def test_a_source_that_fails_half_way_is_left_out(spark, tmp_path):
+    def broken():
+        return spark.range(10).withColumn("x", F.raise_error(F.lit("torn")).cast("string"))
+
+    sources = {"good": lambda: spark.range(7), "torn": broken}
+    frames, report = runs.multi_source_ingest(spark, sources, str(tmp_path))
+    assert {r["source"]: (r["status"], r["rows"]) for r in report.collect()} == {"good": ("SUCCESS", 7), "torn": ("WARNING", None)}
+    assert list(frames) == ["good"] and frames["good"].count() == 7
 
 
 def test_running_sum_includes_ties(spark):
