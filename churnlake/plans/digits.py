@@ -23,7 +23,7 @@ from churnlake.plans.bounded import freeze, frozen_scope
 
 #: Bins of a range in one pass, and rows of open ranges that are counted value by value.
 BINS = 1 << 16
-FEW = 200_000
+FEW = 1 << 20
 
 
 @dataclass(frozen=True)

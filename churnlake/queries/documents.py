@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from churnlake.plans.bounded import scratch_path
+from churnlake.queries import sql as q
 from churnlake.queries.registry import register
 from churnlake.sources import documents as op
 from churnlake.sources.tables import table
@@ -39,6 +40,35 @@ def json_flatten(spark, base):
     return op.json_flatten(spark.read.schema(op.COUNTRY_SCHEMA.replace("\n", " ")).json(path))
 
 
+@register("variant_flatten",
+    """SELECT c_name AS name, CASE WHEN c_nationkey % 3 <> 1 THEN 'Republic of ' || c_name END AS official_name,
+       CASE WHEN c_nationkey % 2 = 0 THEN c_name WHEN c_mktsegment IN ('BUILDING', 'FURNITURE') THEN 'N/A' ELSE c_name END AS capital,
+       c_custkey * 1000 AS population, CASE WHEN c_nationkey > 2 THEN c_acctbal ELSE 0 END AS area_km2, c_mktsegment AS region,
+       CASE WHEN c_nationkey < 20 THEN c_mktsegment || ' part' ELSE 'N/A' END AS subregion,
+       CASE WHEN c_nationkey <> 9 THEN c_mktsegment ELSE 'N/A' END AS currency_code, CASE WHEN c_nationkey <> 9 THEN LOWER(c_mktsegment) ELSE 'N/A' END AS currency_name,
+       CASE WHEN c_nationkey <> 4 THEN c_name || ', ' || LOWER(c_name) ELSE '' END AS languages, 'UTC' AS timezones FROM customer""")
+def variant_flatten(spark, base):
+    """The profiles in several shapes: a bare capital, a bare name, a population in quotes."""
+    c = _profiles(spark, base).withColumns({"_name": F.col("name.common"), "_key": (F.col("population") / 1000).cast("bigint")})
+    nation = table(spark, base, "customer").select(F.col("c_custkey").alias("_key"), "c_nationkey")
+    odd = c.join(nation, "_key").withColumn("population", F.col("population").cast("string"))
+    fields = ["population", "area", "region", "subregion", "currencies", "languages", "timezones"]
+
+    def shape(name, capital):
+        return F.to_json(F.struct(F.col(name).alias("name"), F.col(capital).alias("capital"), *fields))
+
+    even, bare = F.col("c_nationkey") % 2 == 0, F.col("c_nationkey") % 3 == 1
+    text = (
+        F.when(even & bare, shape("_name", "_name"))
+        .when(even, shape("name", "_name"))
+        .when(bare, shape("_name", "capital"))
+        .otherwise(shape("name", "capital"))
+    )
+    path = scratch_path(spark, "documents")
+    odd.select(text.alias("value")).write.text(path)
+    return op.variant_flatten(op.read_variants(spark, path))
+
+
 def _observations(spark, base):
     """Each order as an indicator payload: a page header, then a value, a zero and a null."""
     year = F.year("o_orderdate")
@@ -75,8 +105,11 @@ def unit_ratios(spark, base):
     return op.unit_ratios(df).select("c_custkey", "gdp_per_capita_usd", "pop_density_per_km2")
 
 
+_MICROS = "SUM(CAST(CAST(value AS DECIMAL(28,6)) * 1000000 AS HUGEINT))"
+
+
 @register("weather_summary",
-    """SELECT event_type AS name, COUNT(user_id) AS cities_monitored, ROUND(AVG(value), 2) AS avg_temp_c, ROUND(AVG(k), 2) AS avg_humidity_pct,
+    f"""SELECT event_type AS name, COUNT(user_id) AS cities_monitored, {q.ratio(_MICROS, '(1000000*COUNT(value))', 2)} AS avg_temp_c, {q.avg('k')} AS avg_humidity_pct,
        CAST(COUNT_IF(k BETWEEN 51 AND 67 OR k BETWEEN 80 AND 82) AS BIGINT) AS cities_raining
        FROM (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events) e GROUP BY event_type""")
 def weather_summary(spark, base):

@@ -9,21 +9,22 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOG = "version bigint, path string"
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def _current(spark: SparkSession, root: str) -> tuple[int, str | None]:
-    try:
-        log = spark.read.schema(_LOG).json(f"{root}/_log")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    files, log = _file_system(spark, f"{root}/_log")
+    if not files.exists(log):
         return 0, None
-    row = log.agg(F.max("version").alias("v"), F.max_by("path", "version").alias("p")).first()
+    row = spark.read.schema(_LOG).json(f"{root}/_log").agg(F.max("version").alias("v"), F.max_by("path", "version").alias("p")).first()
     return row["v"] or 0, row["p"]
 
 
@@ -36,8 +37,8 @@ def stage(df: DataFrame, root: str) -> str:
 
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a staged version that is not to be published."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
 
 
 def publish(spark: SparkSession, root: str, path: str) -> int:

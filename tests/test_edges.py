@@ -461,3 +461,41 @@ def test_country_report(spark):
     row = docs.unit_ratios(joins.merge_reference_data(flat, latest, summary)).filter("name = 'Ghana'").first()
     assert (row["year"], row["gdp_per_capita_usd"], row["pop_density_per_km2"]) == (2024, 2439.37, 141.46)
     assert (row["cities_monitored"], row["avg_temp_c"], row["avg_humidity_pct"], row["cities_raining"]) == (5, 23.94, 96.2, 4)
+
+
+def test_documents_of_odd_shapes_are_kept(spark, tmp_path):
+    from churnlake.sources import documents
+
+    lines = [
+        '{"name": {"common": "A", "official": "Aland"}, "capital": ["X", "Y"], "population": 5, "area": 1.5, "currencies": {"AA": {"name": "a"}}, "languages": {"l": "one", "m": "two"}, "timezones": ["UTC"]}',
+        '{"name": "B", "capital": "X", "population": "7", "area": "2", "currencies": {"BB": "b"}, "timezones": "UTC"}',
+        '{"name": {"common": "C"}, "capital": [], "population": "many", "area": {}, "currencies": [1], "languages": ["x"]}',
+        "[1, 2]",
+        "not json",
+    ]
+    (tmp_path / "d.json").write_text("\n".join(lines) + "\n")
+    out = documents.variant_flatten(documents.read_variants(spark, str(tmp_path)))
+    want = [
+        ("A", "X", 5, 1.5, "AA", "a", "one, two", "UTC"),
+        ("B", "X", 7, 2.0, "BB", "b", "", "UTC"),
+        ("C", "N/A", None, 0.0, "N/A", "N/A", "", "N/A"),
+        (None, "N/A", None, 0.0, "N/A", "N/A", "", "N/A"),
+        (None, "N/A", None, 0.0, "N/A", "N/A", "", "N/A"),
+    ]
+    columns = ["name", "capital", "population", "area_km2", "currency_code", "currency_name", "languages", "timezones"]
+    assert rows(out, *columns) == sorted(want, key=str)
+
+
+def test_payloads_are_parsed_once_in_any_shape(spark):
+    from churnlake.sources import documents
+
+    payloads = [
+        ("a", '[{"page": 1}, [{"date": "2001", "value": 5e9}, {"date": "2002", "value": null}, {"date": "2003", "value": 0}, {"date": "x", "value": "7000000000"}]]'),
+        ("b", '[{"page": 1}, {"message": "none"}]'), ("c", '[{"page": 1}]'), ("d", "torn ["), ("e", None), ("f", '[1, [2, [3], {"value": 1e9}]]'),
+    ]
+    df = spark.createDataFrame([(c, c, p) for c, p in payloads], "code string, name string, payload string")
+    out = documents.json_unnest_filter(df, "payload", "code", "name")
+    got = rows(out, "country_code", "year", "gdp_billions")
+    assert got == sorted([("a", 2001, 5.0), ("a", None, 7.0), ("f", None, 1.0)], key=str)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parse_json(") == 1 or plan.lower().count("parsejson") == 1
