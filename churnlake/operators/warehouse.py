@@ -7,6 +7,7 @@ readers until it is published (``sinks.versions``).
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -120,6 +121,31 @@ def dim_insert_ignore(df: DataFrame, unique: Sequence[str], others: Sequence[str
     return number_rows(kept, [(c, "asc") for c in unique], [], key).select(key, *unique, *others)
 
 
+def dim_load(dim: DataFrame, df: DataFrame, unique: Sequence[str], others: Sequence[str], key: str) -> DataFrame:
+    """Insert or ignore into a dimension that already has rows.
+
+    Rows of ``dim`` keep their surrogate keys and values whatever comes in, so facts that
+    point at them stay right. Combinations that ``dim`` does not have are numbered from its
+    largest key on, in their order; a null counts as a value like any other. Of several
+    incoming rows the smallest remaining values are kept. Only the new combinations are
+    ordered, not the dimension.
+    """
+    incoming = df.groupBy(*unique).agg(F.min(F.struct(*others)).alias("_o")).select(*unique, "_o.*")
+    known = dim.select(*[F.col(c).alias(f"_known_{c}") for c in unique])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in unique])
+    fresh = incoming.join(known, same, "left_anti")
+    last = F.coalesce(dim.agg(F.max(key)).scalar(), F.lit(0))
+    numbered = number_rows(fresh, [(c, "asc") for c in unique], [], "_nth")
+    new = numbered.select((F.col("_nth") + last).cast(dim.schema[key].dataType).alias(key), *unique, *others)
+    return dim.select(key, *unique, *others).unionByName(new)
+
+
+def store_by_key(df: DataFrame, path: str, key: str) -> None:
+    """A fact in one folder per value of a dimension's key, so that a query that picks some
+    dimension rows reads only their folders. Rows of a hot value are split over several files."""
+    df.hint("rebalance", key).write.partitionBy(key).parquet(path)
+
+
 def fact_build(
     df: DataFrame,
     plans: DataFrame | None = None,
@@ -174,6 +200,17 @@ def star_query_plan(fact: DataFrame, plans: DataFrame) -> DataFrame:
     )
 
 
+def star_query_pruned(fact: DataFrame, plans: DataFrame, contract: str) -> DataFrame:
+    """Revenue and churn of one contract's plans from a fact stored by ``plan_key``
+    (``store_by_key``): the plans that are left tell at run time which folders are read."""
+    some = plans.filter(F.col("contract") == contract).select("plan_key", "contract", "internet_service")
+    return (
+        fact.join(some, "plan_key")
+        .groupBy("contract", "internet_service")
+        .agg(F.count(F.lit(1)).alias("customers"), total("monthly_charges").alias("revenue"), churn_rate("is_churned").alias("churn_rate_pct"))
+    )
+
+
 def star_query_payment(fact: DataFrame, payments: DataFrame) -> DataFrame:
     """Per category and risk; a group with several reliabilities reports the lowest."""
     return _star(

@@ -1,12 +1,16 @@
 """Grouped and global measures bound to the tables."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from churnlake.functions import ladders, scoring
 from churnlake.operators import aggregates as op
+from churnlake.plans.bounded import scratch_path
 from churnlake.queries import sql as q
-from churnlake.queries.registry import register
+from churnlake.queries.registry import ORACLES, register
 from churnlake.queries.scored import interventions, scored
+from churnlake.sources.subscriptions import store_bucketed
 from churnlake.sources.subscriptions import subscriptions as subs
 from churnlake.sources.tables import table
 
@@ -91,6 +95,15 @@ _bind(
 )
 
 
+@register("churn_by_contract_stored", ORACLES["churn_by_contract"])
+def churn_by_contract_stored(spark, base):
+    """The report over orders and line totals that are stored in buckets of the order key."""
+    name = f"subs_{uuid.uuid4().hex}"
+    store_bucketed(spark, base, name, scratch_path(spark, "buckets"), 8)
+    names = ["total", "churned", "churn_rate_pct", "avg_monthly", "avg_tenure", "total_revenue"]
+    return op.churn_by(subs(spark, base, "contract", "tenure", "monthly_charges", "churn", stored=name), ["contract"], names)
+
+
 @register("churn_by_tenure_group", q.subs(_grouped(["tenure_group"], ["total", "churned", "churn_rate_pct", "avg_monthly", "total_revenue"], "banded"), *_BANDS))
 def churn_by_tenure_group(spark, base):
     df = subs(spark, base, "tenure_group", "monthly_charges", "churn")

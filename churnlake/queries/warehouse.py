@@ -10,7 +10,7 @@ from churnlake.functions import scoring
 from churnlake.functions.numbers import as_double, total
 from churnlake.operators import quality
 from churnlake.operators import warehouse as op
-from churnlake.plans.bounded import scratch_path
+from churnlake.plans.bounded import freeze, scratch_path
 from churnlake.queries import sql as q
 from churnlake.queries.registry import register
 from churnlake.sinks import versions
@@ -168,6 +168,42 @@ def dim_insert_ignore(spark, base):
     return _plans(spark, base)
 
 
+_FIRST_LOAD = "1996-01-01"
+
+
+@register("dim_load", q.subs(
+    f"""SELECT plan_key, contract, internet_service, phone_service, senior_citizen, TRUE AS was_there FROM old
+        UNION ALL SELECT (SELECT COALESCE(MAX(plan_key), 0) FROM old) + ROW_NUMBER() OVER (ORDER BY contract, internet_service, phone_service),
+          contract, internet_service, phone_service, senior_citizen, FALSE FROM new""",
+    f"""old AS (SELECT ROW_NUMBER() OVER (ORDER BY contract, internet_service, phone_service) AS plan_key, * FROM
+          (SELECT contract, internet_service, phone_service, MIN(senior_citizen) AS senior_citizen FROM subs
+           WHERE contract <> 'One year' AND start_date < '{_FIRST_LOAD}' GROUP BY 1, 2, 3) d)""",
+    """new AS (SELECT contract, internet_service, phone_service, MIN(senior_citizen) AS senior_citizen FROM subs s
+          WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.contract = s.contract AND o.internet_service = s.internet_service AND o.phone_service = s.phone_service)
+          GROUP BY 1, 2, 3)"""))
+def dim_load(spark, base):
+    """A load of the plans known by a day, then one of all: the keys of the first stay."""
+    unique = ["contract", "internet_service", "phone_service"]
+    df = subs(spark, base, *unique, "senior_citizen", "start_date")
+    early = df.filter((F.col("contract") != "One year") & (F.col("start_date") < _FIRST_LOAD))
+    old = freeze(op.dim_insert_ignore(early, unique, ["senior_citizen"], "plan_key"), "dim_plan")
+    both = op.dim_load(old, df, unique, ["senior_citizen"], "plan_key")
+    there = old.select(F.col("plan_key").alias("_old"))
+    return both.join(there, F.col("plan_key") == F.col("_old"), "left").withColumn("was_there", F.col("_old").isNotNull()).drop("_old")
+
+
+@register("star_query_pruned", q.subs(
+    f"""SELECT p.contract, p.internet_service, COUNT(*) AS customers, {q.money_sum('f.monthly_charges')} AS revenue, {q.pct('SUM(is_churned)', 'COUNT(*)')} AS churn_rate_pct
+        FROM fact f JOIN dim_plan p ON f.plan_key = p.plan_key WHERE p.contract = 'Two year' GROUP BY 1, 2""", *_STAR))
+def star_query_pruned(spark, base):
+    """A filter on the plans decides at run time which folders of the fact are read."""
+    path = scratch_path(spark, "fact")
+    plans = freeze(_plans(spark, base), "dim_plan")
+    fact = _fact(spark, base, plans=plans)
+    op.store_by_key(fact.select("plan_key", "monthly_charges", "is_churned"), path, "plan_key")
+    return op.star_query_pruned(spark.read.schema("monthly_charges decimal(18,2), is_churned int, plan_key bigint").parquet(path), plans, "Two year")
+
+
 @register("fact_build", q.subs(
     """SELECT customer_key, plan_key, payment_key, customer_id, CAST(monthly_charges AS DOUBLE) AS monthly_charges, CAST(total_charges AS DOUBLE) AS total_charges,
        tenure_months, is_churned, churn_risk_score, CAST(lifetime_value AS DOUBLE) AS lifetime_value FROM fact""", *_STAR))

@@ -2,16 +2,19 @@
 
 Every file is read under its own header, which is its first line, at any width, and quoted
 fields may hold line ends. Files with one header are read together, so a batch takes one read
-per distinct header. A file whose header lacks the key is reported as failed and does not
-stop the batch. The same functions serve the stream and a scan of a given path.
+per distinct header. A file whose header lacks the key, or whose bytes are no UTF-8, is reported
+as failed and does not stop the batch. Spark's file listing leaves out files of no bytes; one
+that is asked for by path is reported with zeros. The same functions serve the stream and a scan of a given path.
 """
 
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -24,6 +27,8 @@ from churnlake.sources.files import list_files
 FILE_COLUMNS = ["customerID", "Contract", "MonthlyCharges", "Churn"]
 KEY = FILE_COLUMNS[0]
 STAMP = "auto_processed_at"
+# Columns and folders that are added to a file's own.
+RESERVED = ("source_file", "source", "batch", STAMP)
 
 # Most files that one batch takes; the others follow in the next batch of the same run.
 FILES_PER_BATCH = 1_000
@@ -34,26 +39,34 @@ _RESULT = (
 )
 
 
-def _first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
-    """First line of each file. Only the first block of a file is looked at."""
-    lines = spark.read.text(list(paths)).select(
+def _first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, bool]]:
+    """First line of each file that has one, and whether all its bytes are UTF-8. A file that
+    is gone since it was listed has none."""
+    lines = spark.read.option("ignoreMissingFiles", True).text(list(paths)).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"),
         "value",
     )
-    first = lines.filter("block = 0").groupBy("path").agg(F.min_by("value", "at").alias("line"))
-    return {r["path"]: r["line"] for r in first.collect()}
+    first = lines.groupBy("path").agg(
+        F.min_by("value", F.struct("block", "at")).alias("line"), F.bool_and(F.is_valid_utf8("value")).alias("sound")
+    )
+    return {r["path"]: (r["line"], r["sound"]) for r in first.select("path", F.make_valid_utf8("line").alias("line"), "sound").collect()}
+
+
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def header_names(line: str) -> list[str]:
-    """Column names of a header line. Empty names and names that differ from an earlier one
-    in case at most get a number, so no column is lost."""
+    """Column names of a header line. Empty names get one, and names that differ in case at
+    most from an earlier one or from a column that is added here (``RESERVED``) get a number,
+    so no column is lost: a file's own ``source`` is stored as ``source_3``, say."""
     names: list[str] = []
-    seen: set[str] = set()
+    seen: set[str] = set(RESERVED)
     for i, name in enumerate(next(csv.reader([line.lstrip("\ufeff")]), [])):
         name = name.strip() or f"_c{i}"
-        if name.lower() in seen:
+        while name.lower() in seen:
             name = f"{name}_{i}"
         seen.add(name.lower())
         names.append(name)
@@ -63,31 +76,47 @@ def header_names(line: str) -> list[str]:
 def _read(spark: SparkSession, names: Sequence[str], paths: Sequence[str], header: bool) -> DataFrame:
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     reader = spark.read.schema(schema).option("header", header).option("multiLine", True).option("escape", '"')
-    fields = [F.trim(F.col(f"`{n}`")).alias(n) for n in names]
+    fields = [F.trim(_quoted(n)).alias(n) for n in names]
     return reader.csv(list(paths)).select(F.col("_metadata.file_path").alias("source_file"), *fields)
 
 
 def read_files(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, list[DataFrame]]:
-    """The files as ``(source_file, has_header)``, and one frame of rows per distinct header.
+    """The files as ``(source_file, problem)``, and one frame of rows per distinct header.
 
-    The frames keep every column of their files. An unusable file gives its lines, the first
-    one included, under numbered names. A file without any line has no header.
+    The frames keep every column of their files. A file without the key in its header gives
+    its lines, the first one included, under numbered names. One without any line is no
+    problem and has no rows; one with bytes that are no UTF-8 is not read further.
     """
     lines = _first_lines(spark, paths) if paths else {}
     groups: dict[tuple[bool, tuple[str, ...]], list[str]] = {}
-    for path in sorted(lines):
-        names = header_names(lines[path])
+    problems: dict[str, str | None] = {}
+    for path, (line, sound) in sorted(lines.items()):
+        names = header_names(line)
         usable = KEY in names
-        groups.setdefault((usable, tuple(names if usable else [f"_c{i}" for i in range(len(names) or 1)])), []).append(path)
-    usable = {p: key[0] for key, found in groups.items() for p in found}
-    told = [(p, usable.get(p, False)) for p in sorted({*paths, *lines})]
-    files = spark.createDataFrame([t for t in told if t[0] in lines or not lines], "source_file string, has_header boolean")
+        problems[path] = None if usable else f"no header with {KEY}"
+        if not sound:
+            problems[path] = "not UTF-8"
+        else:
+            groups.setdefault((usable, tuple(names if usable else [f"_c{i}" for i in range(len(names) or 1)])), []).append(path)
+    known = {_plain_path(p) for p in lines}
+    told = [*problems.items(), *((p, None if _exists(spark, p) else "file is gone") for p in paths if _plain_path(p) not in known)]
+    files = spark.createDataFrame(sorted(told), "source_file string, problem string")
     return files, [_read(spark, names, found, ok) for (ok, names), found in groups.items()]
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def _plain_path(path: str) -> str:
+    """A path without its scheme's slashes and escapes, which readers write in several ways."""
+    return unquote(re.sub(r"^([a-z0-9]+):/*", r"\1:/", path))
+
+
 def _measured(rows: DataFrame) -> DataFrame:
     """Counts per file of one group."""
-    column = lambda c: F.col(c) if c in rows.columns else F.lit(None).cast("string")
+    column = lambda c: _quoted(c) if c in rows.columns else F.lit(None).cast("string")
     filled = (F.coalesce(column(KEY), F.lit("")) != "") & (F.coalesce(column("MonthlyCharges"), F.lit("")) != "")
     gone = F.coalesce(churn_flag_truthy(column("Churn")), F.lit(False))
     return rows.groupBy("source_file").agg(
@@ -99,21 +128,23 @@ def _measured(rows: DataFrame) -> DataFrame:
 
 
 def file_results(files: DataFrame, groups: Sequence[DataFrame], processed_at: str, output: str = "") -> DataFrame:
-    """One row per file: where its rows went, record counts, churn rate and status."""
+    """One row per file: where its rows went, record counts, churn rate and status. A file
+    without rows counts as processed, with zeros and no output."""
     counts = files.sparkSession.createDataFrame([], "source_file string, total_records bigint, valid bigint, invalid bigint, churned bigint")
     for rows in groups:
         counts = counts.unionByName(_measured(rows))
     none = F.lit(0).cast("bigint")
     joined = files.join(counts, "source_file", "left")
+    failed = F.col("problem").isNotNull()
     rate = F.coalesce(percent(F.col("churned"), F.col("total_records")), F.lit(0.0))
     return joined.select(
         "source_file",
-        F.when(F.col("has_header"), F.concat(F.lit(f"{output}/source="), F.url_encode("source_file"))).alias("output_file"),
+        F.when(F.col("total_records").isNotNull() & ~failed, F.concat(F.lit(f"{output}/source="), F.url_encode("source_file"))).alias("output_file"),
         *[F.coalesce(c, none).alias(c) for c in ("total_records", "valid", "invalid", "churned")],
         rate.alias("churn_rate_pct"),
         F.lit(processed_at).alias("processed_at"),
-        F.when(F.col("has_header"), "SUCCESS").otherwise("FAILED").alias("status"),
-        F.when(~F.col("has_header"), f"no header with {KEY}").alias("error"),
+        F.when(failed, "FAILED").otherwise("SUCCESS").alias("status"),
+        F.col("problem").alias("error"),
     )
 
 
@@ -123,7 +154,7 @@ def stamped(groups: Sequence[DataFrame], processed_at: str) -> list[DataFrame]:
     out = []
     for rows in groups:
         if KEY in rows.columns:
-            kept = [F.col(f"`{c}`") for c in rows.columns if c not in ("source_file", STAMP, "source")]
+            kept = [_quoted(c) for c in rows.columns if c != "source_file"]
             out.append(rows.select(*kept, F.lit(processed_at).alias(STAMP), F.url_encode("source_file").alias("source")))
     return out
 

@@ -499,3 +499,16 @@ def test_payloads_are_parsed_once_in_any_shape(spark):
     assert got == sorted([("a", 2001, 5.0), ("a", None, 7.0), ("f", None, 1.0)], key=str)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parse_json(") == 1 or plan.lower().count("parsejson") == 1
+
+
+def test_surrogate_keys_survive_later_loads(spark):
+    schema = "a string, b string, c int"
+    first = warehouse.dim_insert_ignore(spark.createDataFrame([("m", "x", 2), ("b", None, 1), ("m", "x", 1)], schema), ["a", "b"], ["c"], "key")
+    first = freeze(first)
+    assert rows(first) == [(1, "b", None, 1), (2, "m", "x", 1)]
+    later = spark.createDataFrame([("a", "a", 5), ("m", "x", 0), ("b", None, 9), (None, "z", 4), ("a", "a", 3)], schema)
+    second = freeze(warehouse.dim_load(first, later, ["a", "b"], ["c"], "key"))
+    assert rows(second) == sorted([(1, "b", None, 1), (2, "m", "x", 1), (3, None, "z", 4), (4, "a", "a", 3)], key=str)
+    assert rows(warehouse.dim_load(second, later, ["a", "b"], ["c"], "key")) == rows(second)
+    none = warehouse.dim_load(first.limit(0), later.limit(0), ["a", "b"], ["c"], "key")
+    assert none.count() == 0

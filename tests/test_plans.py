@@ -74,3 +74,50 @@ def test_quality_reads_its_table_once(spark, base):
 
 def test_profile_is_one_pass(spark, base):
     assert plan(aggregates.profile_columns(subscriptions(spark, base, "contract", "tenure"))).count("FileScan") == 1
+
+
+def test_stored_buckets_are_joined_without_a_shuffle(spark, base, tmp_path):
+    from churnlake.sources.subscriptions import store_bucketed
+
+    store_bucketed(spark, base, "plan_test", str(tmp_path), 4)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = subscriptions(spark, base, "contract", "monthly_charges", "churn", stored="plan_test")
+        text = plan(aggregates.churn_by(rows, ["contract"], ["total", "churned"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "SortMergeJoin" in text and "orderkey" not in "".join(x for x in text.splitlines() if "Exchange" in x)
+    assert text.count("Exchange") == 2  # of the partial sums by contract, and of their order
+
+
+def test_a_filter_on_a_dimension_prunes_the_fact(spark, base):
+    df = QUERIES["star_query_pruned"](spark, base)
+    assert "dynamicpruning" in plan(df)
+    df.collect()
+    ran = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(plan_key" in ran
+    read = len({r[0] for r in df.sparkSession.read.parquet(df.inputFiles()[0].rsplit("/plan_key=", 1)[0]).select("plan_key").distinct().collect()})
+    scans = [s for s in _scans(df._jdf.queryExecution().executedPlan()) if "plan_key" in s[0] and "is_churned" in s[0]]
+    assert scans and all(parts < read for _, parts in scans)
+
+
+def _scans(node):
+    """Description and number of folders read of every file scan of an executed plan."""
+    out, todo = [], [node]
+    while todo:
+        n = todo.pop()
+        name = n.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(n.executedPlan())
+            continue
+        if name.endswith("QueryStageExec"):
+            todo.append(n.plan())
+            continue
+        if name == "FileSourceScanExec":
+            metric = n.metrics().get("numPartitions")
+            if metric.isDefined():
+                out.append((n.toString(), metric.get().value()))
+        children = n.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return out

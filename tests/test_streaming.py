@@ -76,3 +76,28 @@ def test_scan_of_one_file(spark, tmp_path):
 
 def test_headers_keep_every_column():
     assert arrivals.header_names("\ufeffa, b ,A,,a,\"c,d\"") == ["a", "b", "A_2", "_c3", "a_4", "c,d"]
+
+
+def test_own_columns_of_any_name_and_files_of_any_state(spark, tmp_path):
+    incoming = tmp_path / "incoming"
+    incoming.mkdir()
+    (incoming / "own.csv").write_text("customerID,Source,source_file,auto_processed_at,batch,a`b,c.d,MonthlyCharges\nk1,s,f,t,b,x,y,5\n")
+    (incoming / "empty.csv").write_text("")
+    (incoming / "latin.csv").write_bytes("customerID,MonthlyCharges\nJos\xe9,5\n".encode("latin-1"))
+    (incoming / "good.csv").write_text(GOOD)
+    _run(spark, tmp_path)
+    got = _results(spark, tmp_path)
+    assert got == {
+        "own.csv": (1, 1, 0, 0, 0.0, "SUCCESS"),
+        "latin.csv": (0, 0, 0, 0, 0.0, "FAILED"),
+        "good.csv": (5, 5, 0, 2, 40.0, "SUCCESS"),
+    }
+    # The stream does not see a file of no bytes; asked for by path, it is processed with zeros.
+    paths = [f"file://{incoming}/{n}.csv" for n in ("empty", "good")]
+    told = arrivals.file_results(*arrivals.read_files(spark, paths), "now").collect()
+    assert {(r["source_file"].rsplit("/", 1)[1], r["total_records"], r["status"]) for r in told} == {("empty.csv", 0, "SUCCESS"), ("good.csv", 5, "SUCCESS")}
+    stored = arrivals.read_processed(spark, f"{tmp_path}/processed").filter("customerID = 'k1'").first().asDict()
+    assert unquote_plus(stored["source"]).endswith("/incoming/own.csv") and stored["auto_processed_at"] == "now"
+    assert (stored["Source_1"], stored["source_file_2"], stored["auto_processed_at_3"], stored["batch_4"]) == ("s", "f", "t", "b")
+    assert (stored["a`b"], stored["c.d"]) == ("x", "y")
+    assert arrivals.on_demand_file_scan(spark, str(incoming / "own.csv")).first()["Source_1"] == "s"
