@@ -42,6 +42,8 @@ WIDTH = 5
 PERCENT = 80
 #: Tests per member of open buckets from which centers are tried first, and turns of that.
 TESTS_PER_MEMBER, CENTER_TURNS = 128, 3
+#: Signatures of a set by which a pair that shares several is given once.
+FIRST_KEYS = 64
 #: Sets that a task makes or intersects.
 SETS_PER_TASK = 2_000
 
@@ -315,15 +317,24 @@ def _to_center(rows: DataFrame, turn: int) -> DataFrame:
 
 def _across(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs of one signature in different components that may link, whatever their number:
-    the members outside the main component against all others."""
+    the members outside the main component against all others.
+
+    Copies share many signatures. A pair comes out of the smallest one of the ``FIRST_KEYS``
+    that each end has first, if they share one of those, and else wherever it meets.
+    """
+    firsts = F.slice(F.array_sort(F.collect_set("key")), 1, FIRST_KEYS).alias("firsts")
+    rows = rows.join(rows.groupBy(F.col("node").alias("_node")).agg(firsts), F.col("node") == F.col("_node")).drop("_node")
     one = rows.filter("component <> main").select(
-        "key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("sketch").alias("sa")
-    )
+        "key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("sketch").alias("sa"),
+        F.col("firsts").alias("fa"),
+    )
     two = rows.select(
         "key", F.col("node").alias("b"), F.col("component").alias("cb"), (F.col("component") == F.col("main")).alias("mb"),
-        F.col("n").alias("nb"), F.col("sketch").alias("sb"),
+        F.col("n").alias("nb"), F.col("sketch").alias("sb"), F.col("firsts").alias("fb"),
     )
-    met = one.join(two, "key").filter("ca <> cb and (mb or a < b)").filter(_may_link(percent))
+    common = F.array_intersect("fa", "fb")
+    here = (F.size(common) == 0) | (F.array_min(common) == F.col("key"))
+    met = one.join(two, "key").filter("ca <> cb and (mb or a < b)").filter(_may_link(percent) & here)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
