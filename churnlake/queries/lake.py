@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from churnlake.functions import text
 from churnlake.functions.numbers import as_double, churn_rate, total
-from churnlake.plans.bounded import scratch_path
+from churnlake.plans.bounded import freeze, scratch_path
 from churnlake.queries import sql as q
 from churnlake.queries.registry import register
 from churnlake.queries.scored import scored
+from churnlake.sinks import curve
 from churnlake.sinks import files as sink
+from churnlake.sources import drift
 from churnlake.sources import files as source
 from churnlake.sources.subscriptions import subscriptions as subs
 from churnlake.sources.tables import table
@@ -222,3 +224,61 @@ def cache_reuse(spark, base):
     with sink.reused(subs(spark, base, "contract", "churn")) as kept:
         counts = [("all", kept.count()), ("churned", kept.filter("churn = 1").count()), ("flexible", kept.filter("contract = 'Month-to-month'").count())]
     return spark.createDataFrame(counts, "subset string, n bigint")
+
+
+# Filters of the columns that reports filter on, and of a key.
+_CURVE_FILTERS = {
+    "contract": "contract = 'One year'",
+    "churn": "churn = 1",
+    "contract and churn": "contract = 'Two year' AND churn = 1",
+    "monthly_charges": f"monthly_charges >= {100 * q.UNIT}",
+    "tenure": "tenure <= 12",
+    "customer_id": "customer_id % 1000 = 7 AND customer_id <= 5000",
+}
+
+
+@register("layout_by_curve", q.subs(" UNION ALL ".join(
+    f"SELECT '{name}' AS filter, COUNT(*) AS customers, {q.REVENUE} AS revenue FROM subs WHERE {where}" for name, where in _CURVE_FILTERS.items())))
+def layout_by_curve(spark, base):
+    """One stored table serves filters on any of its columns."""
+    path = scratch_path(spark, "curve")
+    df = freeze(subs(spark, base, "customer_id", "contract", "churn", "monthly_charges", "tenure"), "subscriptions")
+    curve.layout_by_curve(df, path, ["contract", "churn", "monthly_charges", "tenure"], lookups={"customer_id": 1_000_000})
+    stored = spark.read.schema(df.schema).parquet(path)
+    parts = [
+        stored.filter(where).agg(F.count(F.lit(1)).alias("customers"), total("monthly_charges").alias("revenue")).select(F.lit(name).alias("filter"), "*")
+        for name, where in _CURVE_FILTERS.items()
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
+
+
+def _drifting_parts(spark, base):
+    """Parts in three drops: sizes whole, then with a fraction and a column more in another
+    order, then as text under a name in other case."""
+    root = scratch_path(spark, "drift")
+    df = _part(spark, base)
+    key, size = F.col("p_partkey").alias("Part Key"), F.col("p_size")
+    sink.write_csv(df.filter("p_size <= 10").select(key, size.alias("Size"), "p_retailprice"), f"{root}/a")
+    sink.write_csv(df.filter("p_size between 11 and 40").select(F.col("p_brand").alias("Brand"), (size + 0.5).alias("Size"), key), f"{root}/b")
+    sink.write_csv(df.filter("p_size > 40").select(key, (F.col("p_partkey") + 5_000_000_000).alias("CODE"), F.concat(F.lit("1990-01-"), F.lpad(F.pmod(size, F.lit(28)) + 1, 2, "0")).alias("made on"), size.alias("size")), f"{root}/c")
+    return root
+
+
+@register("schema_of_files",
+    """SELECT 'part_key' AS name, 'int' AS type, COUNT(*) AS filled FROM part UNION ALL SELECT 'size', 'double', COUNT(p_size) FROM part
+       UNION ALL SELECT 'p_retailprice', 'double', COUNT(p_retailprice) FROM part WHERE p_size <= 10
+       UNION ALL SELECT 'brand', 'string', COUNT(p_brand) FROM part WHERE p_size BETWEEN 11 AND 40
+       UNION ALL SELECT 'code', 'bigint', COUNT(*) FROM part WHERE p_size > 40 UNION ALL SELECT 'made_on', 'date', COUNT(*) FROM part WHERE p_size > 40""")
+def schema_of_files(spark, base):
+    return drift.schema_of_files(spark, _drifting_parts(spark, base)).table().select("name", "type", "filled")
+
+
+@register("read_drifting_files",
+    """SELECT CAST(p_partkey AS INTEGER) AS part_key, CAST(CASE WHEN p_size BETWEEN 11 AND 40 THEN p_size + 0.5 ELSE p_size END AS DOUBLE) AS size,
+       CASE WHEN p_size <= 10 THEN p_retailprice END AS p_retailprice, CASE WHEN p_size BETWEEN 11 AND 40 THEN p_brand END AS brand,
+       CASE WHEN p_size > 40 THEN p_partkey + 5000000000 END AS code, CASE WHEN p_size > 40 THEN CAST(DATE '1990-01-01' + CAST(p_size % 28 AS INTEGER) AS DATE) END AS made_on FROM part WHERE p_size IS NOT NULL""")
+def read_drifting_files(spark, base):
+    return drift.schema_of_files(spark, _drifting_parts(spark, base)).read().drop("source_file")

@@ -1,9 +1,12 @@
 """Projections, predicates, sorts, subqueries and set operations on the tables."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from churnlake.functions import numbers, scoring
 from churnlake.operators import relational as op
+from churnlake.operators import tablefunctions
 from churnlake.queries import sql as q
 from churnlake.queries.registry import register
 from churnlake.queries.scored import interventions
@@ -116,6 +119,41 @@ def segment_performance_all(spark, base):
     return op.segment_performance(subs(spark, base, "contract", "internet_service", "monthly_charges", "churn"))
 
 
+def _named(df, prefix):
+    """A temporary view of its own, so that calls in one session do not meet."""
+    name = f"{prefix}_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(name)
+    return name
+
+
+@register("risk_report_function", q.subs(
+    f"""SELECT * FROM list WHERE monthly_charges >= {100 * U} AND risk_score >= 7
+        ORDER BY risk_score DESC, monthly_charges DESC, customer_id LIMIT 10""", _INTERVENTIONS))
+def risk_report_function(spark, base):
+    """The report called from SQL text."""
+    name = _named(interventions(spark, base), "interventions")
+    tablefunctions.create_risk_report(spark, f"risk_{name}", name)
+    out = spark.sql(
+        f"""SELECT * FROM risk_{name}(min_risk_score => :score, min_monthly => :floor)
+            ORDER BY risk_score DESC, monthly_charges DESC, customer_id LIMIT 10""",
+        {"score": 7, "floor": 100.0 * U},
+    )
+    return out.withColumn("monthly_charges", numbers.as_double("monthly_charges"))
+
+
+@register("segment_performance_function", q.subs(
+    f"""{_PERFORMANCE} WHERE contract = 'Month-to-month' GROUP BY contract, internet_service
+        UNION ALL {_PERFORMANCE} WHERE internet_service = 'DSL' GROUP BY contract, internet_service"""))
+def segment_performance_function(spark, base):
+    """Two calls in one statement, each with another of the parameters."""
+    name = _named(subs(spark, base, "contract", "internet_service", "monthly_charges", "churn"), "subs")
+    tablefunctions.create_segment_performance(spark, f"segments_{name}", name)
+    return spark.sql(
+        f"""SELECT * FROM segments_{name}(only_contract => 'Month-to-month')
+            UNION ALL SELECT * FROM segments_{name}(only_internet => 'DSL')"""
+    )
+
+
 @register("order_limit", q.subs(
     """SELECT customer_id, tenure, CAST(monthly_charges AS DOUBLE) AS monthly_charges FROM subs
        ORDER BY subs.monthly_charges DESC, customer_id LIMIT 5"""))

@@ -58,12 +58,12 @@ def _quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def header_names(line: str) -> list[str]:
+def header_names(line: str, reserved: Sequence[str] = RESERVED) -> list[str]:
     """Column names of a header line. Empty names get one, and names that differ in case at
-    most from an earlier one or from a column that is added here (``RESERVED``) get a number,
+    most from an earlier one or from a ``reserved`` one, which is added here, get a number,
     so no column is lost: a file's own ``source`` is stored as ``source_3``, say."""
     names: list[str] = []
-    seen: set[str] = set(RESERVED)
+    seen: set[str] = set(reserved)
     for i, name in enumerate(next(csv.reader([line.lstrip("\ufeff")]), [])):
         name = name.strip() or f"_c{i}"
         while name.lower() in seen:
