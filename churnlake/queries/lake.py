@@ -108,6 +108,22 @@ def lake_inventory(spark, base):
     return source.lake_inventory(spark, root)
 
 
+_LINE = "LENGTH(CAST(customer_id AS VARCHAR)) + LENGTH(contract) + LENGTH(CAST(tenure AS VARCHAR)) + 3"
+_HEADER = len("customer_id,contract,tenure") + 1
+
+
+@register("lake_inventory_bytes", q.subs(
+    f"""SELECT 'raw' AS folder, CAST(4 AS BIGINT) AS objects, CAST(SUM({_LINE}) + 4 * {_HEADER} AS BIGINT) AS bytes FROM subs
+        UNION ALL SELECT 'processed', 1, CAST(SUM({_LINE}) + {_HEADER} AS BIGINT) FROM subs WHERE churn = 1"""))
+def lake_inventory_bytes(spark, base):
+    """Plain text files, whose sizes follow from the rows: four files of all and one of a part."""
+    root = scratch_path(spark, "lake")
+    df = subs(spark, base, "customer_id", "contract", "tenure", "churn")
+    sink.write_csv(df.select("customer_id", "contract", "tenure").repartition(4), f"{root}/raw/customers")
+    sink.write_single_file(df.filter("churn = 1").select("customer_id", "contract", "tenure"), f"{root}/processed/churned")
+    return source.lake_inventory(spark, root)
+
+
 @register("schema_from_sample", """SELECT p_size, COUNT(*) AS n, CAST(SUM(CAST(p_retailprice * 100 AS BIGINT)) AS BIGINT) AS cents FROM part GROUP BY p_size""")
 def schema_from_sample(spark, base):
     path = _part_csv(spark, base)

@@ -11,6 +11,7 @@ from churnlake.functions.numbers import as_double, total
 from churnlake.operators import quality
 from churnlake.operators import warehouse as op
 from churnlake.plans.bounded import freeze, scratch_path
+from churnlake.plans.scripts import run_script
 from churnlake.queries import sql as q
 from churnlake.queries.registry import register
 from churnlake.sinks import versions
@@ -125,6 +126,33 @@ def publish_or_roll_back(spark, base):
     return state("published", versions.read_current(spark, root)).union(state("rolled back", kept))
 
 
+_AFTER = f"""SELECT COUNT(*) AS customers, {q.REVENUE} AS revenue FROM (SELECT * REPLACE (CASE WHEN {STAGED} THEN monthly_charges + 1 ELSE monthly_charges END AS monthly_charges)
+  FROM subs WHERE contract <> 'Two year') a"""
+
+
+@register("scripted_changes", q.subs(" UNION ALL ".join(
+    f"SELECT '{name}' AS script, '{state}' AS state, '{during}' AS during, a.* FROM ({_AFTER}) a"
+    for name, state, during in [("update and delete", "published", "publishing"), ("failing statement", "rolled back", "writing"), ("failing check", "rolled back", "some are left")])))
+def scripted_changes(spark, base):
+    """A script of two changes, then one whose second statement fails on some rows, then one
+    whose result fails its check: the last two leave what the first published."""
+    root = scratch_path(spark, "scripted")
+    versions.publish(spark, root, versions.stage(subs(spark, base, "customer_id", "contract", "tenure", "monthly_charges"), root))
+    raised = f"SELECT customer_id, contract, tenure, CAST(IF({STAGED}, monthly_charges + 1, monthly_charges) AS DECIMAL(18,2)) AS monthly_charges FROM {{rows}}"
+    scripts = {
+        "update and delete": [raised, "SELECT * FROM {rows} WHERE NOT (contract = 'Two year')"],
+        "failing statement": [raised, "SELECT customer_id, contract, CAST(CONCAT(contract, tenure) AS INT) AS tenure, monthly_charges FROM {rows}"],
+        "failing check": ["SELECT * FROM {rows} WHERE monthly_charges IS NULL"],
+    }
+    out = None
+    for name, steps in scripts.items():
+        state, during = run_script(spark, root, steps, {"some are left": "SELECT COUNT(*) > 0 FROM {rows}"})
+        now = versions.read_current(spark, root).agg(F.count(F.lit(1)).alias("customers"), total("monthly_charges").alias("revenue"))
+        row = now.select(F.lit(name).alias("script"), F.lit(state).alias("state"), F.lit(during).alias("during"), "*")
+        out = row if out is None else out.union(row)
+    return out
+
+
 _DIM_CUSTOMER = """dim_customer AS (SELECT ROW_NUMBER() OVER (ORDER BY customer_id) AS customer_key, customer_id, senior_citizen,
   CASE WHEN tenure <= 12 THEN '0-12 months' WHEN tenure <= 24 THEN '13-24 months' WHEN tenure <= 48 THEN '25-48 months' ELSE '49+ months' END AS tenure_group FROM subs)"""
 _DIM_PLAN = """dim_plan AS (SELECT ROW_NUMBER() OVER (ORDER BY contract, internet_service, phone_service) AS plan_key, contract, internet_service, phone_service, senior_citizen
