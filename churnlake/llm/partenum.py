@@ -1,14 +1,16 @@
 """N-gram Jaccard join by PartEnum signatures.
 
 Two sets of Jaccard similarity g or more differ in at most k = (|x| + |y|)(1 - g) / (1 + g)
-elements. Sizes are cut into bands so that such sets lie in one band or in neighbours, and
-the domain of shingle hashes is cut into n > k ranges for each band. At least n - k ranges
-hold no difference, and there the two sets have the same projection: one signature per range
-finds every pair. The enumerated subsets are of one range each, which gives the fewest
-signatures per set (k + 1 and a few more).
-
-A range may be empty in both sets. A set with fewer than n - k empty ranges can't meet a
-partner in empty ranges alone, so it leaves them out; the rare set with more emits them.
+elements. Sizes are cut into bands so that such sets lie in one band or in neighbours. For each
+band the domain of shingle hashes is cut into groups of ranges, so many that one group at least
+has differences in all but two of its ranges at most. All pairs of ranges of a group are
+enumerated; a set's projection on a pair is a signature, and similar sets share one. Small k
+takes one group of k + 2 ranges, larger k groups of three. A pair of ranges tells more sets
+apart than the single range that a cut into k + 1 would give, for half as many signatures again.
+
+Both ranges of a pair may be empty in both sets. A set in which fewer groups have such a pair
+than agree with any partner can't meet one in empty pairs alone, so it leaves them out; the
+rare set with more emits them.
 Nothing is cut off: no signature, bucket or partner count is capped.
 
 Links between sets of one signature are tested until components can't grow. First each set
@@ -25,6 +27,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,8 @@ from churnlake.plans.bounded import freeze, frozen_scope
 
 WIDTH = 5
 PERCENT = 80
+#: Differences from which a band has several groups of ranges.
+ONE_GROUP = 5
 #: Tests per member of open buckets from which centers are tried first, and turns of that.
 TESTS_PER_MEMBER, CENTER_TURNS = 128, 3
 #: Signatures of a set by which a pair that shares several is given once.
@@ -64,14 +69,22 @@ def _bands(percent: int) -> list[int]:
 
 
 @lru_cache(maxsize=None)
-def _ranges(band: int, percent: int) -> tuple[int, np.ndarray, np.ndarray]:
-    """Differences allowed in a band, the lower bounds of its ranges, and their salts."""
+def _pairs(band: int, percent: int) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray]:
+    """Groups of ranges, those that any similar sets agree in at least, the lower bounds of all
+    ranges, and the enumerated pairs of ranges, group by group, with their salts.
+
+    Sets agree in a group if all but two of its ranges differ at most. One that they don't
+    agree in takes ``parts - 1`` differences.
+    """
     top = _bands(percent)[band]
     k = 2 * top * (100 - percent) // (100 + percent)
-    n = k + 2 + k // 16 if k else 1
+    parts, groups = (k + 2, 1) if k < ONE_GROUP else (3, k // 2 + 2 + k // 24)
+    n = parts * groups
     bounds = np.array([(t << 64) // n for t in range(n)], np.uint64)
-    salts = mixed(mixed(np.full(n, np.uint64(band + 1)) * _SALT) + np.arange(n, dtype=np.uint64))
-    return k, bounds, salts
+    within = np.array(list(combinations(range(parts), 2)))
+    pairs = (np.arange(groups)[:, None, None] * parts + within).reshape(-1, 2)
+    salts = mixed(mixed(np.full(len(pairs), np.uint64(band + 1)) * _SALT) + np.arange(len(pairs), dtype=np.uint64))
+    return groups, groups - k // (parts - 1), bounds, pairs, salts
 
 
 def signatures(shingle_set: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -84,12 +97,12 @@ def signatures(shingle_set: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     np.cumsum(mixed(shingle_set + _SALT), out=sums[1:])
     out = []
     for b in (band, band + 1):
-        k, bounds, salts = _ranges(b, percent)
+        groups, agreeing, bounds, pairs, salts = _pairs(b, percent)
         at = np.append(np.searchsorted(shingle_set, bounds), n)
-        empty = at[1:] == at[:-1]
-        projections = sums[at[1:]] - sums[at[:-1]]
+        projections = (sums[at[1:]] - sums[at[:-1]])[pairs].sum(axis=1)
+        empty = (at[1:] == at[:-1])[pairs].all(axis=1)
         out.append(mixed(projections[~empty] + salts[~empty]))
-        if int(empty.sum()) >= len(bounds) - k:
+        if int(empty.reshape(groups, -1).any(axis=1).sum()) >= agreeing:
             out.append(mixed(_EMPTY + salts[empty]))
     return np.concatenate(out)
 
@@ -374,7 +387,7 @@ def _named(docs: DataFrame, width: int, percent: int) -> DataFrame:
     node that names its group, null without shingles."""
     with frozen_scope(docs.sparkSession) as scope:
         texts = docs.select(F.col("doc_id").cast("long"), "text", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("text_hash"))
-        bins = sharedkeys.bins_for(texts)
+        bins = sharedkeys.bins_for(texts) * 3 // 2  # a set has that many more keys
         packed = texts.mapInArrow(_emit(bins, width, percent), sharedkeys.SCHEMA)
         found = freeze(sharedkeys.in_bins(packed, _buckets, _FOUND), "signatures")
         rows = found.filter(F.col("kind") == _DOC).select(

@@ -81,6 +81,25 @@ def test_similar_sets_share_a_signature():
                 assert np.intersect1d(partenum.signatures(x), partenum.signatures(y)).size
 
 
+def test_enumerated_pairs_survive_every_spread_of_differences():
+    rng = np.random.default_rng(4)
+    for size in [3, 6, 11, 16, 21, 24, 40, 90, 333, 1000]:
+        x = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
+        band = int(np.searchsorted(partenum._bands(80), len(x)))
+        groups, agreeing, bounds, pairs, salts = partenum._pairs(band, 80)
+        assert agreeing >= 1 and len(pairs) % groups == 0 and len(np.unique(salts)) == len(pairs)
+        assert len(np.unique(pairs, axis=0)) == len(pairs)
+        for turn in range(40):
+            # Removals, first of the elements whose ranges spoil most groups, or of one range.
+            at = np.searchsorted(bounds, x, side="right") - 1
+            order = np.lexsort((rng.random(len(x)), at if turn % 2 else rng.permutation(len(bounds))[at]))
+            once = order[np.unique(at[order], return_index=True)[1]] if turn % 3 else order
+            gone = once[: len(x) // 5]
+            y = np.delete(x, gone)
+            if len(y) * 100 >= 80 * len(x):
+                assert np.intersect1d(partenum.signatures(x), partenum.signatures(y)).size
+
+
 def test_members_of_a_signature_settled_in_one_chunk_and_alone_in_others():
     import pyarrow as pa
 
