@@ -72,6 +72,53 @@ def stream_incoming_files(spark, base):
     return arrivals.read_processed(spark, f"{root}/processed").drop("source")
 
 
+def _deliver(spark, base, root, contract, told):
+    """The files of a contract under fixed names, with or without its churn flags; a second
+    delivery replaces the first one's files."""
+    df = subs(spark, base, "customer_id", "contract", "monthly_charges", "churn").filter(F.col("contract") == contract)
+    flag = F.when((F.col("churn") == 1) & F.lit(told), "Yes").otherwise("0")
+    files = df.select(
+        F.col("customer_id").cast("string").alias("customerID"), "contract",
+        F.col("monthly_charges").cast("string").alias("MonthlyCharges"), flag.alias("Churn"),
+    )
+    # Equal keys give equal parts, whose numbers name the files of either delivery.
+    staged = f"{root}-staged/{contract.split()[0]}-{told}"
+    write_csv(files.repartition(16, "customerID"), staged)
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path
+    fs = path(staged).getFileSystem(context._jsc.hadoopConfiguration())
+    folder = path(f"{root}/{contract.split()[0]}")
+    fs.mkdirs(folder)
+    for found in fs.listStatus(path(staged)):
+        name = found.getPath().getName()
+        if name.endswith(".csv"):
+            to = path(folder, name[: len("part-00000")] + ".csv")
+            fs.delete(to, False)
+            fs.rename(found.getPath(), to)
+
+
+@register("redelivered_files", q.subs(
+    f"""SELECT contract, CAST(COUNT(*) AS BIGINT) AS total_records, {q.CHURNED} AS churned,
+        CAST(CASE contract WHEN 'Month-to-month' THEN 2 ELSE 1 END AS BIGINT) AS deliveries FROM subs GROUP BY contract"""))
+def redelivered_files(spark, base):
+    """All files, first without churn flags for one contract, then those again with them, then
+    a run with nothing new."""
+    root = scratch_path(spark, "deliveries")
+    incoming, ledger = f"{root}/incoming", f"{root}/ledger"
+    run = lambda: arrivals.process_deliveries(spark, incoming, f"{root}/processed", f"{root}/results", ledger, AT)
+    for contract in ("Month-to-month", "One year", "Two year"):
+        _deliver(spark, base, incoming, contract, contract != "Month-to-month")
+    run()
+    _deliver(spark, base, incoming, "Month-to-month", True)
+    run()
+    run()
+    rows = arrivals.read_latest(spark, f"{root}/processed", ledger)
+    folder = lambda c: F.element_at(F.split(c, "/"), -2)
+    often = arrivals.read_ledger(spark, ledger).groupBy("path").count().groupBy(folder("path").alias("folder")).agg(F.max("count").alias("deliveries"))
+    sums = rows.groupBy("contract").agg(F.count(F.lit(1)).alias("total_records"), F.count_if(F.col("Churn") == "Yes").alias("churned"))
+    return sums.join(often, F.split("contract", " ")[0] == F.col("folder")).select("contract", "total_records", "churned", "deliveries")
+
+
 @register("on_demand_file_scan", q.subs(
     f"""SELECT COUNT(*) AS total_customers, CAST(COUNT_IF(churn = 1) AS BIGINT) AS churned, {q.pct('SUM(churn)', 'COUNT(*)', 2)} AS churn_rate_pct,
         CAST(COUNT_IF(contract = 'Month-to-month' AND churn = 0) AS BIGINT) AS high_risk_retained FROM subs"""))

@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from churnlake.functions.numbers import percent
 from churnlake.functions.scoring import churn_flag_truthy
+from churnlake.sinks.versions import discard
 from churnlake.sources.files import list_files
 
 # Columns of an arriving customer file; the first one must be in its header.
@@ -39,9 +40,12 @@ _RESULT = (
 )
 
 
+_DELIVERY = "path string, length bigint, modified timestamp, batch bigint, source string"
+
+
 def _first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, bool]]:
-    """First line of each file that has one, and whether all its bytes are UTF-8. A file that
-    is gone since it was listed has none."""
+    """First line of each file that has one, and whether all its bytes are UTF-8, by the path
+    as Spark gives it, with escapes. A file that is gone since it was listed has none."""
     lines = spark.read.option("ignoreMissingFiles", True).text(list(paths)).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -97,8 +101,8 @@ def read_files(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, li
         if not sound:
             problems[path] = "not UTF-8"
         else:
-            groups.setdefault((usable, tuple(names if usable else [f"_c{i}" for i in range(len(names) or 1)])), []).append(path)
-    known = {_plain_path(p) for p in lines}
+            groups.setdefault((usable, tuple(names if usable else [f"_c{i}" for i in range(len(names) or 1)])), []).append(unquote(path))
+    known = {_plain_path(unquote(p)) for p in lines}
     told = [*problems.items(), *((p, None if _exists(spark, p) else "file is gone") for p in paths if _plain_path(p) not in known)]
     files = spark.createDataFrame(sorted(told), "source_file string, problem string")
     return files, [_read(spark, names, found, ok) for (ok, names), found in groups.items()]
@@ -110,8 +114,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def _plain_path(path: str) -> str:
-    """A path without its scheme's slashes and escapes, which readers write in several ways."""
-    return unquote(re.sub(r"^([a-z0-9]+):/*", r"\1:/", path))
+    """A path without its scheme's slashes, which readers write in several ways."""
+    return re.sub(r"^([a-z0-9]+):/*", r"\1:/", path)
 
 
 def _measured(rows: DataFrame) -> DataFrame:
@@ -176,6 +180,16 @@ def on_demand_file_scan(spark: SparkSession, path: str) -> DataFrame:
     return out
 
 
+def _process(spark: SparkSession, paths: Sequence[str], processed: str, results: str, batch_id: int, processed_at: str) -> None:
+    """Write results and rows of some files as one batch, in place of what it had before."""
+    files, groups = read_files(spark, paths)
+    out = f"{processed}/batch={batch_id}"
+    file_results(files, groups, processed_at, out).write.mode("overwrite").json(f"{results}/batch={batch_id}")
+    discard(spark, out)
+    for rows in stamped(groups, processed_at):
+        rows.hint("rebalance", "source").write.mode("append").partitionBy("source").parquet(out)
+
+
 def stream_incoming_files(
     spark: SparkSession,
     incoming: str,
@@ -194,13 +208,7 @@ def stream_incoming_files(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        files, groups = read_files(spark, [r["path"] for r in batch.select("path").collect()])
-        out = f"{processed}/batch={batch_id}"
-        file_results(files, groups, processed_at, out).write.mode("overwrite").json(f"{results}/batch={batch_id}")
-        mode = "overwrite"
-        for rows in stamped(groups, processed_at):
-            rows.hint("rebalance", "source").write.mode(mode).partitionBy("source").parquet(out)
-            mode = "append"
+        _process(spark, [r["path"] for r in batch.select("path").collect()], processed, results, batch_id, processed_at)
 
     # Only path and length are read here: the content column is pruned.
     found = (
@@ -220,6 +228,64 @@ def stream_incoming_files(
     )
 
 
+def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
+    """Deliveries processed so far: path, length and time of the file, its batch, and the folder
+    of its rows, null if it gave none. Empty before the first one."""
+    if not _exists(spark, ledger):
+        return spark.createDataFrame([], _DELIVERY)
+    return spark.read.schema(_DELIVERY).parquet(ledger)
+
+
+def process_deliveries(
+    spark: SparkSession,
+    incoming: str,
+    processed: str,
+    results: str,
+    ledger: str,
+    processed_at: str,
+    files_per_batch: int = FILES_PER_BATCH,
+) -> int:
+    """Process the files under ``incoming`` that are new or were delivered again since the last
+    run; returns the number of batches.
+
+    A stream's file source knows files by path, so it passes over new contents at an old path.
+    Here a delivery is a path with its length and modification time, and the ledger lists those
+    that are done. What is in the listing and not in the ledger is taken in batches, oldest
+    first. A batch enters the ledger as its last step: one that broke off is found again under
+    the same number and replaces what it left. A file that changes while it is read is taken
+    once more in the next run. One writer at a time. Without files nothing is written.
+    """
+    same = ["path", "length", "modified"]
+    listed = list_files(spark, incoming, "*.csv").select("path", "length", F.col("modificationTime").alias("modified"))
+    done = batches = 0
+    while True:
+        known = read_ledger(spark, ledger)
+        if not batches:
+            done = known.agg(F.max("batch")).first()[0] or 0
+        pending = listed.join(known, same, "left_anti").orderBy("modified", "path").limit(files_per_batch).collect()
+        if not pending:
+            return batches
+        batches += 1
+        batch = done + batches
+        _process(spark, [r["path"] for r in pending], processed, results, batch, processed_at)
+        told = spark.read.schema(_RESULT).json(f"{results}/batch={batch}").filter("total_records > 0 and status = 'SUCCESS'")
+        stored = {_plain_path(unquote(r["source_file"])): r["source"] for r in told.select("source_file", F.url_encode("source_file").alias("source")).collect()}
+        rows = [(r["path"], r["length"], r["modified"], batch, stored.get(_plain_path(r["path"]))) for r in pending]
+        spark.createDataFrame(rows, _DELIVERY).coalesce(1).write.mode("append").parquet(ledger)
+
+
+def read_latest(spark: SparkSession, processed: str, ledger: str) -> DataFrame:
+    """Processed rows of the last delivery of each path that gave rows, with the columns of all
+    files. A delivery that failed or had no rows leaves the one before it in force. Before
+    any rows are stored it is empty, with the columns of a customer file."""
+    if not _exists(spark, processed):
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in ["source", *FILE_COLUMNS, STAMP]))
+    told = read_ledger(spark, ledger).filter("source is not null")
+    last = told.groupBy("source").agg(F.max_by("batch", F.struct("modified", "batch")).alias("batch"))
+    stored = spark.read.option("mergeSchema", True).parquet(processed).withColumn("batch", F.col("batch").cast("bigint"))
+    return stored.join(last, ["source", "batch"], "left_semi").drop("batch")
+
+
 def read_results(spark: SparkSession, results: str) -> DataFrame:
     """Result rows of every batch."""
     return spark.read.schema(_RESULT).json(f"{results}/batch=*")

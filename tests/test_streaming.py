@@ -81,6 +81,7 @@ def test_headers_keep_every_column():
 def test_own_columns_of_any_name_and_files_of_any_state(spark, tmp_path):
     incoming = tmp_path / "incoming"
     incoming.mkdir()
+    (incoming / "a b+%20%.csv").write_text(GOOD)
     (incoming / "own.csv").write_text("customerID,Source,source_file,auto_processed_at,batch,a`b,c.d,MonthlyCharges\nk1,s,f,t,b,x,y,5\n")
     (incoming / "empty.csv").write_text("")
     (incoming / "latin.csv").write_bytes("customerID,MonthlyCharges\nJos\xe9,5\n".encode("latin-1"))
@@ -91,6 +92,7 @@ def test_own_columns_of_any_name_and_files_of_any_state(spark, tmp_path):
         "own.csv": (1, 1, 0, 0, 0.0, "SUCCESS"),
         "latin.csv": (0, 0, 0, 0, 0.0, "FAILED"),
         "good.csv": (5, 5, 0, 2, 40.0, "SUCCESS"),
+        "a%20b+%2520%25.csv": (5, 5, 0, 2, 40.0, "SUCCESS"),
     }
     # The stream does not see a file of no bytes; asked for by path, it is processed with zeros.
     paths = [f"file://{incoming}/{n}.csv" for n in ("empty", "good")]
@@ -101,3 +103,51 @@ def test_own_columns_of_any_name_and_files_of_any_state(spark, tmp_path):
     assert (stored["Source_1"], stored["source_file_2"], stored["auto_processed_at_3"], stored["batch_4"]) == ("s", "f", "t", "b")
     assert (stored["a`b"], stored["c.d"]) == ("x", "y")
     assert arrivals.on_demand_file_scan(spark, str(incoming / "own.csv")).first()["Source_1"] == "s"
+
+
+def _deliveries(spark, root, **limits):
+    return arrivals.process_deliveries(
+        spark, f"{root}/incoming", f"{root}/processed", f"{root}/results", f"{root}/ledger", "now", **limits
+    )
+
+
+def _latest(spark, root):
+    return {r["customerID"]: r["MonthlyCharges"] for r in arrivals.read_latest(spark, f"{root}/processed", f"{root}/ledger").collect()}
+
+
+def test_a_file_delivered_again_replaces_its_rows(spark, tmp_path):
+    incoming = tmp_path / "incoming"
+    incoming.mkdir()
+    assert arrivals.read_ledger(spark, f"{tmp_path}/ledger").count() == 0
+    assert _deliveries(spark, tmp_path) == 0 and _latest(spark, tmp_path) == {}
+    (incoming / "a b+%20%.csv").write_text("customerID,MonthlyCharges\nk1,5\nk2,6\n")
+    (incoming / "c.csv").write_text("customerID,MonthlyCharges\nk3,7\n")
+    (incoming / "bad.csv").write_text(BROKEN)
+    assert _deliveries(spark, tmp_path, files_per_batch=2) == 2
+    assert _latest(spark, tmp_path) == {"k1": "5", "k2": "6", "k3": "7"}
+    assert _deliveries(spark, tmp_path) == 0
+    # Same path: new contents, then a mended one, then one without the key.
+    (incoming / "a b+%20%.csv").write_text("customerID,MonthlyCharges,Extra\nk1,50,x\n")
+    (incoming / "bad.csv").write_text("customerID,MonthlyCharges\nk4,8\n")
+    assert _deliveries(spark, tmp_path) == 1
+    assert _latest(spark, tmp_path) == {"k1": "50", "k3": "7", "k4": "8"}
+    (incoming / "c.csv").write_text(BROKEN)
+    assert _deliveries(spark, tmp_path) == 1
+    assert _latest(spark, tmp_path) == {"k1": "50", "k3": "7", "k4": "8"}
+    told = [(r["source_file"].rsplit("/", 1)[1], r["status"]) for r in arrivals.read_results(spark, f"{tmp_path}/results").collect()]
+    assert sorted(s for _, s in told) == ["FAILED"] * 2 + ["SUCCESS"] * 4
+    ledger = arrivals.read_ledger(spark, f"{tmp_path}/ledger")
+    assert ledger.count() == 6 and ledger.select("batch").distinct().count() == 4
+
+
+def test_a_batch_that_broke_off_is_done_again(spark, tmp_path):
+    incoming = tmp_path / "incoming"
+    incoming.mkdir()
+    (incoming / "x.csv").write_text("customerID,MonthlyCharges\nk1,5\n")
+    # Rows and results were written, the ledger was not; then another file came.
+    arrivals._process(spark, [f"file:{incoming}/x.csv"], f"{tmp_path}/processed", f"{tmp_path}/results", 1, "before")
+    (incoming / "y.csv").write_text("customerID,MonthlyCharges\nk2,6\n")
+    assert _deliveries(spark, tmp_path) == 1
+    assert _latest(spark, tmp_path) == {"k1": "5", "k2": "6"}
+    stored = arrivals.read_processed(spark, f"{tmp_path}/processed")
+    assert stored.count() == 2 and {r[0] for r in stored.select("auto_processed_at").collect()} == {"now"}
