@@ -7,15 +7,17 @@ of smaller doc_id.
    have equal minimizers. Minimizers that occur in one document only are found with one packed
    shuffle of hashes, and windows that have one are done with.
 2. The other windows are cut into segments (windows in a row with one minimizer) and dealt to
-   shards by minimizer, so that equal windows meet. Equal segments of one chunk of input are
-   sent once. The segments of a very frequent minimizer are sent window by window, dealt by
-   minimizer, first and last word.
+   shards by minimizer, so that equal windows meet. The segments of a very frequent minimizer
+   are cut into single windows, dealt by all their words. Equal segments of one chunk of input
+   are sent once, with their places in the smallest document, and a chunk's segments travel as
+   one packed row a shard.
 3. Each shard indexes its distinct segments: suffix array, Burrows-Wheeler transform, a wavelet
-   matrix of packed bits over it, and the smallest doc_id of each range of suffixes. All
-   segments are then streamed through it, last word first, many at a time: backward search
+   matrix of packed bits over it, and the smallest doc_id of each range of suffixes. All of
+   them are then streamed through it, last word first, many at a time: backward search
    extends a match to the left as long as some occurrence lies in a smaller document. That
    gives the matching statistics, and where they reach ``width`` words the interval is
-   reported.
+   reported. A segment that is the same in several documents is streamed as the smallest
+   one's; in the others all of it is a repeat.
 """
 
 from __future__ import annotations
@@ -77,15 +79,14 @@ class RangeMin:
     """Smallest value of ranges of an array, by a table of powers of two."""
 
     def __init__(self, values: np.ndarray):
-        self.table = [values.astype(np.int32)]
-        step = 1
-        while 2 * step <= len(values):
-            last = self.table[-1]
-            self.table.append(np.minimum(last[:-step], last[step:]))
-            step *= 2
-        self.starts = np.cumsum([0] + [len(t) for t in self.table])
-        self.flat = np.concatenate(self.table)
-        self.table = []
+        n = len(values)
+        sizes = [n - (1 << i) + 1 for i in range(max(1, n.bit_length()))]
+        self.starts = np.cumsum([0, *sizes])
+        self.flat = np.empty(self.starts[-1], np.int32)
+        self.flat[:n] = values
+        for i, size in enumerate(sizes[1:]):
+            last = self.flat[self.starts[i] : self.starts[i + 1]]
+            np.minimum(last[:size], last[-size:], out=self.flat[self.starts[i + 1] : self.starts[i + 2]])
 
     def of(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """For ranges ``low <= i < high`` that are not empty."""
@@ -272,10 +273,13 @@ def _told(hashes: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
-_SEGMENT = "key long, doc_id long, start int, length int, words string"
+_NO_KEYS = np.zeros(0, np.int64)
+
 
+def _segments(width: int, often: np.ndarray = _NO_KEYS):
+    """Segments of each chunk as ``key, doc_id, start, length, words``. Those with a minimizer
+    in ``often`` are cut into windows, and a window's key is a hash of its words."""
 
-def _segments(width: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch):
@@ -297,9 +301,17 @@ def _segments(width: int):
                 tail = np.append(head[1:], len(begin)) - 1
                 low, high, owner = begin[head], begin[tail] + width, ids[doc[head]]
                 keys = seeds[place[head]].view(np.int64)
+                split = np.isin(keys, often)
+                if split.any():
+                    a, size = low[split], (high - low)[split] - width + 1
+                    each = np.repeat(a - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+                    low, high = np.concatenate([low[~split], each]), np.concatenate([high[~split], each + width])
+                    keys, owner = keys[~split], np.concatenate([owner[~split], np.repeat(owner[split], size)])
+                first = words.first[np.searchsorted(words.first, low, "right") - 1]
                 # Equal segments of this chunk: the smallest document's is sent, the others are
                 # repeats of it. They are told by a hash of all their words, each with its place.
                 same = _told(hashes, low, high)
+                keys = np.concatenate([keys, same[len(keys) :].view(np.int64)])
                 order = np.lexsort((owner, same))
                 sent = np.ones(len(order), bool)
                 sent[order[1:]] = same[order[1:]] != same[order[:-1]]
@@ -315,7 +327,7 @@ def _segments(width: int):
                     [
                         pa.array(keys),
                         pa.array(owner),
-                        pa.array(low - words.first[doc[head]], pa.int32()),
+                        pa.array(low - first, pa.int32()),
                         pa.array(high - low, pa.int32()),
                         pa.array(blobs, pa.binary()).cast(pa.string()),
                     ],
@@ -325,47 +337,104 @@ def _segments(width: int):
     return cut
 
 
+#: Segments of one chunk that go to one shard: documents, places in them, places of each
+#: segment, bytes of each and all their bytes. Without bytes: intervals that are repeats.
+_DEALT = "shard int, docs binary, starts binary, places binary, sizes binary, words binary"
+_DEALT_NAMES = ["shard", "docs", "starts", "places", "sizes", "words"]
+
+
+def _intervals(owner: np.ndarray, start: np.ndarray, until: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Intervals of each owner in order, those that touch or overlap as one."""
+    order = np.lexsort((start, owner))
+    owner, start, until = owner[order], start[order], until[order]
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (start[1:] > until[:-1])
+    head = np.flatnonzero(new)
+    return owner[head], start[head], np.maximum.reduceat(until, head) if len(head) else until
+
+
+def _dealt(width: int, shards: int, often: np.ndarray):
+    cut = _segments(width, often)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in cut(batches):
+            shard = (mixed(part.column("key").to_numpy().view(np.uint64)) % np.uint64(shards)).astype(np.int32)
+            ids, start = part.column("doc_id").to_numpy(), part.column("start").to_numpy().astype(np.int32)
+            sent = part.column("words").is_valid().to_numpy(zero_copy_only=False)
+            rows = []
+            if not sent.all():
+                length = part.column("length").to_numpy()
+                a, b, c = _intervals(ids[~sent], start[~sent], (start + length)[~sent])
+                rows.append((int(mixed(ids[:1].view(np.uint64))[0] % np.uint64(shards)), a.tobytes(), b.tobytes(), None, c.tobytes(), None))
+            at = np.flatnonzero(sent)
+            if len(at):
+                # Equal segments are of one document here, and of one shard.
+                text = part.column("words").cast(pa.binary()).take(pa.array(at)).dictionary_encode()
+                code = text.indices.to_numpy()
+                order = np.lexsort((ids[at], code, shard[at]))
+                at, code = at[order], code[order]
+                new = np.ones(len(at), bool)
+                new[1:] = (code[1:] != code[:-1]) | (ids[at[1:]] != ids[at[:-1]]) | (shard[at[1:]] != shard[at[:-1]])
+                head = np.flatnonzero(new)
+                column = text.dictionary.take(pa.array(code[head]))
+                offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+                sizes, places = np.diff(offsets), np.diff(np.append(head, len(at))).astype(np.int32)
+                begins = np.append(head, len(at))
+                for a, b in zip(*sharedkeys.runs(shard[at[head]])):
+                    blob = column.buffers()[2].slice(int(offsets[a]), int(offsets[b] - offsets[a])).to_pybytes()
+                    starts = start[at[begins[a] : begins[b]]]
+                    rows.append(
+                        (int(shard[at[head[a]]]), ids[at[head[a:b]]].tobytes(), starts.tobytes(), places[a:b].tobytes(), sizes[a:b].tobytes(), blob)
+                    )
+            types = [pa.int32()] + [pa.binary()] * 5
+            columns = zip(*rows) if rows else [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=_DEALT_NAMES)
+
+    return deal
+
+
 def _judge(width: int):
     def judge(table: pa.Table) -> pa.Table:
         """Intervals ``(doc_id, start, until)`` of one shard."""
         sent = table["words"].is_valid()
+        read = lambda rows, name, dtype: np.frombuffer(b"".join(rows[name].to_pylist()), dtype)
         told = table.filter(pa.compute.invert(sent))
         table = table.filter(sent)
-        out = [
-            told["doc_id"].to_numpy(),
-            told["start"].to_numpy().astype(np.int64),
-            told["start"].to_numpy().astype(np.int64) + told["length"].to_numpy(),
-        ]
+        out = [(read(told, "docs", np.int64), read(told, "starts", np.int32), read(told, "sizes", np.int32))]
         if table.num_rows:
-            column = table["words"].combine_chunks()
-            words = Words(column if isinstance(column, pa.Array) else pa.concat_arrays(column.chunks))
+            docs, start = read(table, "docs", np.int64), read(table, "starts", np.int32)
+            places = read(table, "places", np.int32)
+            offsets = np.concatenate([[0], np.cumsum(read(table, "sizes", np.int32), dtype=np.int64)])
+            data = pa.py_buffer(b"".join(table["words"].to_pylist()))
+            del table
+            column = pa.Array.from_buffers(pa.large_binary(), len(docs), [None, pa.py_buffer(offsets), data])
+            text = column.dictionary_encode()
+            code = np.repeat(text.indices.to_numpy(), places)
+            docs = np.repeat(docs, places)
+            words = Words(text.dictionary)
+            del column, text, data, offsets
+            # Each distinct segment is indexed once, under its smallest document.
+            order = np.lexsort((docs, code))
+            docs, start, code = docs[order], start[order], code[order]
+            begins = sharedkeys.runs(code)[0]
+            least = docs[begins]
             values, symbols = np.unique(words.hashes(), return_inverse=True)
             symbols = symbols.astype(np.int64) + 1
             starts, lengths = words.first[:-1], np.diff(words.first)
-            doc_ids, owners = np.unique(table["doc_id"].to_numpy(), return_inverse=True)
-            # Each distinct segment is indexed once, under its smallest document.
-            sums = np.add.reduceat(
-                mixed(values[symbols - 1] + (np.arange(len(symbols)) - np.repeat(starts, lengths)).astype(np.uint64)), starts
-            )
-            order = np.lexsort((owners, sums))
-            first = order[sharedkeys.runs(sums[order])[0]]
-            pick = np.zeros(len(starts), bool)
-            pick[first] = True
-            index = FMIndex(symbols[np.repeat(pick, lengths)], lengths[pick], owners[pick], len(values) + 1)
-            text, begin = repeated_windows(index, symbols, starts, lengths, owners, width)
-            at = table["start"].to_numpy().astype(np.int64)[text] + begin
-            out = [np.concatenate(x) for x in zip(out, (doc_ids[owners[text]], at, at + width))]
-        order = np.lexsort((out[1], out[0]))
-        doc_id, start, until = (x[order] for x in out)
-        # Windows in a row become one interval.
-        new = np.ones(len(doc_id), bool)
-        new[1:] = (doc_id[1:] != doc_id[:-1]) | (start[1:] > until[:-1])
-        head = np.flatnonzero(new)
-        last = np.maximum.reduceat(until, head) if len(head) else until
-        return pa.table(
-            [pa.array(doc_id[head]), pa.array(start[head], pa.int32()), pa.array(last, pa.int32())],
-            names=["doc_id", "start", "until"],
-        )
+            del words
+            owners = np.unique(least, return_inverse=True)[1]
+            index = FMIndex(symbols, lengths, owners, len(values) + 1)
+            found, begin = repeated_windows(index, symbols, starts, lengths, owners, width)
+            del index
+            # What was found holds at each place in the smallest document; others repeat it all.
+            own = docs == least[code]
+            out.append((docs[~own], start[~own], start[~own] + lengths[code[~own]]))
+            found, begin, until = _intervals(found, begin, begin + width)
+            times = np.bincount(code[own], minlength=len(least))[found]
+            at = np.repeat(begins[found] - np.cumsum(times) + times, times) + np.arange(int(times.sum()))
+            out.append((docs[at], start[at] + np.repeat(begin, times), start[at] + np.repeat(until, times)))
+        doc_id, start, until = _intervals(*(np.concatenate(x) for x in zip(*out)))
+        return pa.table([pa.array(doc_id, pa.int64()), pa.array(start, pa.int32()), pa.array(until, pa.int32())], names=["doc_id", "start", "until"])
 
     return judge
 
@@ -419,36 +488,16 @@ def repeats(docs: DataFrame, width: int = WIDTH, frequent: int = FREQUENT) -> tu
     with bloom_joins(spark):
         likely = freeze(texts.join(places.filter(F.size("places") > 0), "doc_id"), "likely")
     often = freeze(
-        found.filter(F.col("kind") == _FREQUENT).select(F.col("a").alias("key"), F.col("b").alias("weight"), F.lit(True).alias("often")),
+        found.filter(F.col("kind") == _FREQUENT).select(F.col("a").alias("key"), F.col("b").alias("weight")),
         "frequent",
     )
     # A window sent by itself is ``width`` words, so those shards are counted by what is sent.
     windows_sent = (often.agg(F.sum("weight")).first()[0] or 0) * (width - SEED + 1)
     shards = bins + windows_sent * width * WORD_BYTES // sharedkeys.BYTES_PER_BIN
-    segments = likely.mapInArrow(_segments(width), _SEGMENT).join(often.drop("weight"), "key", "left")
-    each = F.split("words", r"[\x20\x09-\x0D]+")
-    last = F.col("length") - width
-    windows = F.transform(
-        F.sequence(F.lit(0), last),
-        lambda i: F.struct((F.col("start") + i).alias("start"), F.slice(each, i + 1, width).alias("w")),
-    )
-    split = segments.filter("often and words is not null").select("key", "doc_id", F.explode(windows).alias("x"))
-    shard = lambda *by: F.pmod(F.xxhash64(*by), F.lit(shards)).alias("shard")
-    usual = segments.filter("often is null or words is null").select(
-        F.when(F.col("words").isNull(), F.pmod(F.xxhash64("doc_id", "start"), F.lit(shards))).otherwise(shard("key")).alias("shard"),
-        "doc_id",
-        "start",
-        "length",
-        "words",
-    )
-    single = split.select(
-        shard("key", F.element_at("x.w", 1), F.element_at("x.w", -1)),
-        "doc_id",
-        F.col("x.start").alias("start"),
-        F.lit(width).alias("length"),
-        F.array_join("x.w", " ").alias("words"),
-    )
-    spans = usual.union(single).groupBy("shard").applyInArrow(_judge(width), "doc_id long, start int, until int")
+    # At most one key for ``frequent`` words of input, so few that each task can have them all.
+    keys = np.array([r["key"] for r in often.select("key").collect()], np.int64)
+    segments = likely.mapInArrow(_dealt(width, shards, keys), _DEALT)
+    spans = segments.groupBy("shard").applyInArrow(_judge(width), "doc_id long, start int, until int")
     by_doc = freeze(spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "until")).alias("spans")), "spans")
     cut = likely.select("doc_id", "text", "text_hash").join(by_doc, "doc_id").mapInArrow(
         _cut_out, "doc_id long, text_hash long, n_removed long, kept string"

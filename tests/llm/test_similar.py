@@ -202,6 +202,29 @@ def test_segments_of_the_same_words_in_another_order():
     assert {r["doc_id"] for r in found if r["words"] is None} >= {len(texts) - 2, len(texts) - 1}
 
 
+def test_a_chunk_sends_each_segment_once(spark):
+    """Also windows that segments of different words share, and a document's own repeats."""
+    import pyarrow as pa
+
+    line = " ".join(f"l{i}" for i in range(13))
+    texts = ["of " * 500] + [f"a{i} b{i} {line} c{i} d{i}" for i in range(40)] + [f"{line} of " + "of " * 30]
+    everywhere = [[np.arange(len(t.split()), dtype=np.int32).tobytes()] for t in texts]
+    batch = pa.table({"doc_id": list(range(len(texts))), "text": texts, "places": everywhere}).to_batches()[0]
+    keys = np.unique([r["key"] for part in fmindex._segments(13)(iter([batch])) for r in part.to_pylist()])
+    all_windows = {tuple(t.split()[i : i + 13]) for t in texts for i in range(len(t.split()) - 12)}
+    for often in (keys[:0], keys):
+        dealt = [r for part in fmindex._dealt(13, 3, often)(iter([batch])) for r in part.to_pylist()]
+        sizes = [np.frombuffer(r["sizes"], np.int32) for r in dealt if r["words"]]
+        bounds = [np.cumsum(np.append(0, n)) for n in sizes]
+        sent = [r["words"][a:b] for r, at in zip([r for r in dealt if r["words"]], bounds) for a, b in zip(at, at[1:])]
+        assert len(sent) == len(set(sent)) and b" ".join([b"of"] * 13) in sent
+        assert len(often) == 0 or {tuple(w.decode().split()) for w in sent} == all_windows
+        shards = [fmindex._judge(13)(pa.Table.from_pylist([r for r in dealt if r["shard"] == k], pa.schema([(n, pa.int32() if n == "shard" else pa.binary()) for n in fmindex._DEALT_NAMES]))) for k in range(3)]
+        gone = {(d, w) for t in shards for d, a, b in zip(*(t[c].to_pylist() for c in ("doc_id", "start", "until"))) for w in range(a, b)}
+        lost = repeats_by_force(list(enumerate(texts)))
+        assert {i: sum(d == i for d, _ in gone) for i in lost} == {i: n for i, (_, n, _) in lost.items()}
+
+
 def test_repeats_of_awkward_rows(spark, awkward):
     found = sorted(((r[0], r[1], r[2]) for r in fmindex.repeat_digest(awkward).collect()), key=str)
     want = [(1, 6, 0), (2, 0, 0), (3, 0, 0), (4, 0, 0), (5, 40_000, 0), (6, 40_000, 40_000), (None, 2, 0), (7, 1, 0), (7, 1, 0)]
