@@ -59,9 +59,24 @@ def _place(value: Column, ends: Sequence[float], bits: int) -> Column:
 
 def curve_position(df: DataFrame, ends: Mapping[str, Sequence[float]], bits: int = BITS) -> Column:
     """Z-order position: the bits of the columns' ranges in turn, the highest first."""
-    if bits * len(ends) > 62:
+    return _interleaved([_place(_number(df, c), e, bits) for c, e in ends.items()], bits)
+
+
+def _placed(df: DataFrame, ends: Mapping[str, Sequence[float]], bits: int) -> DataFrame:
+    """The same position as a column after those of ``df``, last of all. Each step is a column
+    that the next one refers to, so that a row's numbers are computed once; in a sort key they
+    would be computed again for each comparison."""
+    width = len(df.columns)
+    whole = df.toDF(*[f"_{i}" for i in range(width)])
+    at = [df.columns.index(c) for c in ends]
+    numbers = whole.select("*", *[_number(whole, f"_{i}").alias(f"n{i}") for i in at])
+    places = numbers.select(*whole.columns, *[_place(F.col(f"n{i}"), e, bits).alias(f"p{i}") for i, e in zip(at, ends.values())])
+    return places.select(*whole.columns, _interleaved([F.col(f"p{i}") for i in at], bits).alias("z"))
+
+
+def _interleaved(places: Sequence[Column], bits: int) -> Column:
+    if bits * len(places) > 62:
         raise ValueError("the curve has 62 bits at most: take fewer columns or fewer bits")
-    places = [_place(_number(df, c), e, bits) for c, e in ends.items()]
     taken = [
         F.shiftleft(F.shiftright(p, bit).bitwiseAND(F.lit(1)).cast("bigint"), bit * len(places) + len(places) - 1 - i)
         for i, p in enumerate(places)
@@ -93,11 +108,13 @@ def layout_by_curve(
     """
     if not columns:
         raise ValueError("a curve needs a column")
-    place = curve_position(df, cuts(df, columns, bits), bits)
-    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
-    order = [place, *[F.col(c) for c in columns], F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in plain])]
-    ranged = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
-    writer = ranged.sortWithinPartitions(*order[:-1]).write.mode("overwrite").options(**(options or {}))
+    names = [f"_{i}" for i in range(len(df.columns))]
+    plain = [n for n, f in zip(names, df.schema.fields) if isinstance(f.dataType, T.AtomicType)]
+    placed = _placed(df, cuts(df, columns, bits), bits).select("*", F.xxhash64(*plain).alias("h"))
+    order = ["z", *[names[df.columns.index(c)] for c in columns], "h"]
+    ranged = placed.repartitionByRange(files, *order) if files else placed.repartitionByRange(*order)
+    kept = ranged.sortWithinPartitions(*order[:-1]).select(*names).toDF(*df.columns)
+    writer = kept.write.mode("overwrite").options(**(options or {}))
     for name, distinct in (lookups or {}).items():
         writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true").option(f"parquet.bloom.filter.expected.ndv#{name}", distinct)
     writer.parquet(path)

@@ -87,6 +87,22 @@ def test_curve_with_nulls_empty_tables_repeats_and_odd_names(spark, tmp_path):
         curve.layout_by_curve(df, str(tmp_path / "n"), [])
 
 
+def test_curve_position_is_a_column_of_the_sort(spark, spread, tmp_path):
+    """A sort key that is an expression is computed again for each comparison of rows."""
+    ends = curve.cuts(spread, COLUMNS)
+    placed = curve._placed(spread, ends, curve.BITS)
+    assert [r[-1] for r in placed.collect()] == [r["z"] for r in spread.select(curve.curve_position(spread, ends).alias("z")).collect()]
+    ran = []
+    order = type(spread).sortWithinPartitions
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(spread), "sortWithinPartitions", lambda df, *by: ran.append(out := order(df, *by)) or out)
+        curve.layout_by_curve(spread, str(tmp_path / "t"), COLUMNS, files=4)
+    plan = ran[0]._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert all("CASE" not in line and "conv(" not in line and " > " not in line for line in plan if "Sort [" in line or "RepartitionByExpression" in line)
+    assert sum(line.count("conv(") for line in plan) == 1
+    assert spark.read.parquet(str(tmp_path / "t")).columns == spread.columns
+
+
 def test_curve_takes_bits_in_turn(spark):
     df = spark.createDataFrame([(x, y) for x in range(4) for y in range(4)], "x int, y int")
     ends = {"x": [0.0, 1.0, 2.0], "y": [0.0, 1.0, 2.0]}
