@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from churnlake.llm import sharedkeys
 from churnlake.llm.bloom import bloom_joins
 from churnlake.llm.rows import ROW, packed
-from churnlake.llm.words import Words, chunks, mixed, shingles
+from churnlake.llm.words import Words, chunks, mixed, shingles, tidy, tidy_group
 from churnlake.plans.bounded import freeze, frozen_scope
 
 WIDTH = 13
@@ -476,7 +476,7 @@ def repeats(docs: DataFrame, width: int = WIDTH, frequent: int = FREQUENT) -> tu
     spark = docs.sparkSession
     texts = _keyed(docs)
     bins = sharedkeys.bins_for(texts)
-    packed = texts.mapInArrow(_emit(bins, width), sharedkeys.SCHEMA)
+    packed = texts.mapInArrow(tidy(_emit(bins, width)), sharedkeys.SCHEMA)
     found = freeze(sharedkeys.in_bins(packed, _seen_twice(frequent), _FOUND), "minimizers")
     rows = found.filter(F.col("kind") == _DOC).select(
         F.col("a").alias("doc_id"), F.col("b").alias("n_words"), F.col("c").alias("text_hash"), F.lower(F.hex("blob")).alias("sha256")
@@ -496,11 +496,11 @@ def repeats(docs: DataFrame, width: int = WIDTH, frequent: int = FREQUENT) -> tu
     shards = bins + windows_sent * width * WORD_BYTES // sharedkeys.BYTES_PER_BIN
     # At most one key for ``frequent`` words of input, so few that each task can have them all.
     keys = np.array([r["key"] for r in often.select("key").collect()], np.int64)
-    segments = likely.mapInArrow(_dealt(width, shards, keys), _DEALT)
-    spans = segments.groupBy("shard").applyInArrow(_judge(width), "doc_id long, start int, until int")
+    segments = likely.mapInArrow(tidy(_dealt(width, shards, keys)), _DEALT)
+    spans = segments.groupBy("shard").applyInArrow(tidy_group(_judge(width)), "doc_id long, start int, until int")
     by_doc = freeze(spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "until")).alias("spans")), "spans")
     cut = likely.select("doc_id", "text", "text_hash").join(by_doc, "doc_id").mapInArrow(
-        _cut_out, "doc_id long, text_hash long, n_removed long, kept string"
+        tidy(_cut_out), "doc_id long, text_hash long, n_removed long, kept string"
     )
     return rows, cut
 

@@ -38,7 +38,7 @@ from churnlake.llm import sharedkeys
 from churnlake.llm.bloom import bloom_joins
 from churnlake.llm.components import components
 from churnlake.llm.rows import ROW, few_tasks, packed
-from churnlake.llm.words import Words, chunks, mixed, shingles
+from churnlake.llm.words import Words, chunks, mixed, shingles, tidy
 from churnlake.plans.bounded import freeze, frozen_scope
 
 WIDTH = 5
@@ -281,7 +281,7 @@ class _Corpus:
         with bloom_joins(pairs.sparkSession):
             read = self.texts.join(wanted.filter(F.col("doc_id") > F.lit(_NO_ID)), "doc_id").select("node", "text")
             # A repeated row gives its set twice, which repeats links and changes nothing.
-            made = read.mapInArrow(_with_sets(self.width), "node long, elements array<long>")
+            made = read.mapInArrow(tidy(_with_sets(self.width)), "node long, elements array<long>")
             sets = freeze(few_tasks(made, 2 * close, SETS_PER_TASK), "sets")
         heavy = lambda x: sets.select(F.col("node").alias(x), F.col("elements").alias(f"e{x}"))
         common = F.size(F.array_intersect("ea", "eb"))
@@ -388,7 +388,7 @@ def _named(docs: DataFrame, width: int, percent: int) -> DataFrame:
     with frozen_scope(docs.sparkSession) as scope:
         texts = docs.select(F.col("doc_id").cast("long"), "text", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("text_hash"))
         bins = sharedkeys.bins_for(texts) * 3 // 2  # a set has that many more keys
-        packed = texts.mapInArrow(_emit(bins, width, percent), sharedkeys.SCHEMA)
+        packed = texts.mapInArrow(tidy(_emit(bins, width, percent)), sharedkeys.SCHEMA)
         found = freeze(sharedkeys.in_bins(packed, _buckets, _FOUND), "signatures")
         rows = found.filter(F.col("kind") == _DOC).select(
             F.when(F.col("a") != _NO_ID, F.col("a")).alias("doc_id"), F.when(F.col("n") > 0, F.col("b")).alias("node"), "n", "sketch", "hash"

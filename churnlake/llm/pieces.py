@@ -23,11 +23,11 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.llm.words import chunks
+from churnlake.llm.words import OBJECT_BYTES, chunks, tidy
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Words whose pieces a worker keeps at hand; the memory is emptied when it is full.
+#: Words whose pieces a task keeps at hand; the memory is emptied when it is full.
 REMEMBERED = 1_000_000
 
 
@@ -147,7 +147,11 @@ class Decoder:
 
 
 class Encoder:
-    """Encodes chunks of texts, keeping the pieces of words it has seen lately."""
+    """Encodes chunks of texts, keeping the pieces of words it has seen lately.
+
+    It goes with its task. Spark's workers live on and run the tasks of other stages, which
+    would have its words beside them in the executor's memory.
+    """
 
     def __init__(self, model: Model):
         self.model = model
@@ -187,11 +191,6 @@ class Encoder:
         return self.pieces[places], np.diff(ends)
 
 
-@lru_cache(maxsize=4)
-def _encoder(data: bytes) -> Encoder:
-    return Encoder(_model(data))
-
-
 @lru_cache(maxsize=4)
 def _decoder(data: bytes) -> Decoder:
     return Decoder(_model(data))
@@ -199,9 +198,9 @@ def _decoder(data: bytes) -> Decoder:
 
 def _encode(data: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = _encoder(data), _decoder(data)
+        encoder, decoder = Encoder(_model(data)), _decoder(data)
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, each=OBJECT_BYTES):
                 texts = part.column("text").to_pylist()
                 ids, counts = encoder.encode(texts)
                 exact = [a == (b or "") for a, b in zip(decoder.decode(ids, counts), texts)]
@@ -238,7 +237,7 @@ def encode_documents(docs: DataFrame, model: bytes) -> DataFrame:
     no shuffle.
     """
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _encode(model), "doc_id long, n_pieces long, pieces array<int>, exact boolean"
+        tidy(_encode(model)), "doc_id long, n_pieces long, pieces array<int>, exact boolean"
     )
 
 

@@ -17,7 +17,7 @@ import pyarrow.compute  # noqa: F401  as pa.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.llm.words import mixed
+from churnlake.llm.words import mixed, tidy_group
 
 SCHEMA = "bin int, kind int, keys binary, owners binary, extras binary"
 _NAMES = ["bin", "kind", "keys", "owners", "extras"]
@@ -106,4 +106,4 @@ def bin_groups(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
 
 
 def in_bins(packed: DataFrame, each: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
-    return packed.groupBy("bin").applyInArrow(each, schema)
+    return packed.groupBy("bin").applyInArrow(tidy_group(each), schema)

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from churnlake.llm.words import chunks
+from churnlake.llm.words import OBJECT_BYTES, chunks, tidy
 
 #: Labelled texts to learn from: at most so many toxic and clean ones, by a hash of doc_id.
 MAX_TOXIC, MAX_CLEAN = 1500, 3000
@@ -344,7 +344,7 @@ def _score(model: ToxicModel, column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(model)
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, each=OBJECT_BYTES):
                 scores = pa.array(scorer(part.column("text").to_pylist()), pa.float64())
                 yield pa.RecordBatch.from_arrays([*part.columns, scores], names=[*part.schema.names, column])
 
@@ -359,4 +359,4 @@ def score_texts(docs: DataFrame, model: ToxicModel, column: str = "toxicity") ->
     """
     kept = docs.drop(column)
     schema = StructType([*kept.schema.fields, StructField(column, DoubleType())])
-    return kept.mapInArrow(_score(model, column), schema)
+    return kept.mapInArrow(tidy(_score(model, column)), schema)

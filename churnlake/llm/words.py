@@ -6,7 +6,10 @@ of an Arrow column: no Python object is made per word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import sys
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +17,8 @@ import pyarrow.compute  # noqa: F401  as pa.compute
 
 #: Bytes of text handled at a time inside a task; one longer text is handled by itself.
 CHUNK_BYTES = 4 << 20
+#: The same where every word of the texts becomes an object.
+OBJECT_BYTES = 1 << 20
 #: Bytes of words that are hashed at a time.
 SLICE_BYTES = 1 << 19
 
@@ -40,18 +45,50 @@ def powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of a batch that hold about ``CHUNK_BYTES`` of text each."""
+def chunks(batch: pa.RecordBatch, column: str = "text", each: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch that hold about ``each`` bytes of text."""
     sizes = np.array(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), np.int64)
     upto = np.cumsum(sizes)
     at = 0
     while at < len(sizes):
-        limit = (upto[at - 1] if at else 0) + CHUNK_BYTES
+        limit = (upto[at - 1] if at else 0) + each
         end = max(at + 1, int(np.searchsorted(upto, limit, "right")))
         yield batch.slice(at, end - at)
         at = end
-    # What Arrow holds on to would add up over the stages that one worker runs.
+    release()
+
+
+def release() -> None:
+    """Freed memory goes back to the system. What Arrow and the C library hold on to would add
+    up over the stages that one worker runs."""
     pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim is not None:
+            trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for mapInArrow; a worker that has ended it holds none of its memory."""
+
+    @wraps(run)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return tidied
+
+
+def tidy_group(run: Callable[[pa.Table], pa.Table]):
+    """``run`` for applyInArrow; a worker that has ended it holds its result alone."""
+
+    @wraps(run)
+    def tidied(table: pa.Table) -> pa.Table:
+        out = run(table)
+        release()
+        return out
+
+    return tidied
 
 
 class Words:

@@ -1,15 +1,18 @@
 """Top-k, chat, URL rules, mixing, sharding, toxicity and encoding on small cases."""
 
+import gc
 import hashlib
 import os
 import random
 import subprocess
 import sys
+import tracemalloc
 import zlib
 from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import make_docs, words
 from pyspark.sql import functions as F
@@ -359,6 +362,30 @@ def test_pieces_decode_as_in_the_library(model):
         assert library.decode(ids.tolist()) == decoder.decode(ids, counts)[0] == text
 
 
+def test_a_worker_keeps_no_words_of_a_finished_encoding():
+    data = piece_model()
+    run = lambda n: list(pieces._encode(data)(iter([pa.record_batch({"doc_id": range(n), "text": [f"word{i} other{i}" for i in range(n)]})])))
+    run(1)  # the model itself stays
+    tracemalloc.start()
+    try:
+        coded = run(20_000)
+        assert sum(b.num_rows for b in coded) == 20_000 and all(all(b.column("exact").to_pylist()) for b in coded)
+        del coded
+        gc.collect()
+        assert tracemalloc.get_traced_memory()[0] < 1 << 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_texts_are_encoded_alike_in_chunks_of_any_size(model, monkeypatch):
+    texts = [f"word{i % 7} naïve {i}  漢字" * (i % 5) for i in range(200)] + [None, "", "x" * 3000]
+    batch = pa.record_batch({"doc_id": range(len(texts)), "text": texts})
+    told = lambda: [r for b in pieces._encode(piece_model())(iter([batch])) for r in b.to_pylist()]
+    whole = told()
+    monkeypatch.setattr(pieces, "OBJECT_BYTES", 500)
+    assert told() == whole and len(whole) == len(texts)
+
+
 def test_seeds_and_digests_read_words_alike():
     assert [len(words(t)) for t in ("a\x0bb", "a\xa0b", "\x1c")] == [2, 1, 1]
     assert hashlib.sha256(b" ".join("a\x0bb\x1c".encode().split())).digest() == hashlib.sha256(b"a b\x1c").digest()
