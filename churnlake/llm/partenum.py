@@ -17,9 +17,10 @@ Links between sets of one signature are tested until components can't grow. Firs
 against the smallest of its buckets. While many tests are left in buckets whose sets are not
 in one component yet, a center drawn anew for each bucket is tested against the members of
 other components, which joins large groups of copies. Last, the members outside a bucket's
-main component are tested against all of other components. A pair is dropped without its sets where a parity sketch already
-differs in more than k bits (each differing element flips one bit at most); the others are
-tested by exact intersection. Texts with one shingle set are one node throughout.
+main component are tested against all of other components, in tiles of both. A pair is dropped
+without its sets where a parity sketch already differs in more than k bits (each differing
+element flips one bit at most); the others are tested by exact intersection. Texts with one
+shingle set are one node throughout.
 """
 
 from __future__ import annotations
@@ -38,17 +39,22 @@ from churnlake.llm import sharedkeys
 from churnlake.llm.bloom import bloom_joins
 from churnlake.llm.components import components
 from churnlake.llm.rows import ROW, few_tasks, packed
-from churnlake.llm.words import Words, chunks, mixed, shingles, tidy
+from churnlake.llm.words import Words, chunks, mixed, shingles, tidy, tidy_group
 from churnlake.plans.bounded import freeze, frozen_scope
 
 WIDTH = 5
 PERCENT = 80
 #: Differences from which a band has several groups of ranges.
 ONE_GROUP = 5
-#: Tests per member of open buckets from which centers are tried first, and turns of that.
-TESTS_PER_MEMBER, CENTER_TURNS = 128, 3
+#: Tests per member of open buckets from which centers are tried first, and turns of that. A turn
+#: costs about as much as 2,000 tests a member do in tiles, and has to save more than that.
+TESTS_PER_MEMBER, CENTER_TURNS = 2048, 3
 #: Signatures of a set by which a pair that shares several is given once.
-FIRST_KEYS = 64
+FIRST_KEYS = 16
+#: Members and words of sketches on a side of a tile, and bytes of the tiles of a bin.
+TILE_ROWS, TILE_WORDS, TILES_BYTES = 4096, 1 << 19, 8 << 20
+#: Words that a tile compares at a time, and pairs after which repeated ones go.
+WORDS_AT_ONCE, PAIRS_AT_ONCE = 1 << 17, 1 << 20
 #: Sets that a task makes or intersects.
 SETS_PER_TASK = 2_000
 
@@ -293,8 +299,8 @@ class _Corpus:
 
 def _open_members(members: DataFrame, groups: DataFrame, nodes: DataFrame) -> DataFrame:
     """Members of the signatures whose nodes are not all in one component, with the component
-    that most of them are in (``main``) and the number of tests that the others need. Of the
-    signatures with equal members one is kept."""
+    that most of them are in (``main``), the number of tests that the others need, and the
+    first of each member's signatures. Of the signatures with equal members one is kept."""
     known = freeze(
         members.join(groups.withColumnRenamed("node", "b"), "b", "left")
         .select(F.col("a").alias("key"), F.col("b").alias("node"), F.coalesce("component", "b").alias("component"))
@@ -313,7 +319,10 @@ def _open_members(members: DataFrame, groups: DataFrame, nodes: DataFrame) -> Da
     once = keys.filter("most < all").groupBy("mark", "all", "most", "main").agg(F.min("key").alias("key"))
     tests = ((F.col("all") - F.col("most")) * F.col("all")).alias("tests")
     unsettled = freeze(few_tasks(once.select("key", "main", tests), rows), "open_keys")
-    return freeze(few_tasks(known.join(unsettled, "key").join(nodes.select("node", "n", "sketch"), "node"), rows), "open")
+    open_ = known.join(unsettled, "key")
+    firsts = F.slice(F.array_sort(F.collect_set("key")), 1, FIRST_KEYS).alias("first_keys")
+    told = nodes.select("node", "n", "sketch").join(open_.groupBy("node").agg(firsts), "node")
+    return freeze(few_tasks(open_.join(told, "node"), rows), "open")
 
 
 def _to_center(rows: DataFrame, turn: int) -> DataFrame:
@@ -328,27 +337,138 @@ def _to_center(rows: DataFrame, turn: int) -> DataFrame:
     return ends.distinct()
 
 
+def _tiled(rows: DataFrame) -> DataFrame:
+    """Rows by the tiles that they are tested in, with the ``bin`` of each tile: members outside
+    the main component in block i of their signature (role 1) against all members in block j
+    (role 2). Role 3 is both, where there is one tile.
+
+    A signature of many members has several tiles, so that no task has to take all of it.
+    """
+    side = F.least(F.lit(TILE_ROWS), F.greatest(F.lit(1), F.lit(TILE_WORDS) / F.col("words"))).cast("long")
+    keys = rows.groupBy("key").agg(
+        F.count(F.lit(1)).alias("all"),
+        F.count_if(F.col("component") != F.col("main")).alias("out"),
+        F.greatest(F.lit(2), F.max("n") / 32).alias("words"),  # of a sketch, at most
+    )
+    keys = keys.select("key", "all", "out", "words", F.ceil(F.col("out") / side).alias("p"), F.ceil(F.col("all") / side).alias("q"))
+    several = "p > 1 or q > 1"
+    sent = F.when(F.expr(several), F.expr("all * p + out * q")).otherwise(F.col("all")) * (F.col("words") + FIRST_KEYS + 6) * 8
+    wide = freeze(few_tasks(keys.filter(several).select("key", "p", "q"), 1), "wide")
+    bins = max(12, int(keys.agg(F.sum(sent)).first()[0] or 0) // TILES_BYTES)
+    block = lambda n: F.pmod(F.xxhash64("node"), n)
+    tile = lambda i, j, role: F.struct(i.cast("long").alias("i"), j.cast("long").alias("j"), F.lit(role).alias("role"))
+    one = F.array(F.when(F.col("component") == F.col("main"), tile(F.lit(0), F.lit(0), 2)).otherwise(tile(F.lit(0), F.lit(0), 3)))
+    to_all = F.transform(F.sequence(F.lit(0), F.col("q") - 1), lambda j: tile(block(F.col("p")), j, 1))
+    to_outer = F.transform(F.sequence(F.lit(0), F.col("p") - 1), lambda i: tile(i, block(F.col("q")), 2))
+    both = F.when(F.col("component") == F.col("main"), to_outer).otherwise(F.concat(to_all, to_outer))
+    tiles = F.explode(F.when(F.col("p").isNull(), one).otherwise(both)).alias("tile")
+    dealt = rows.join(wide, "key", "left").select("key", tiles, "node", "component", "main", "n", "sketch", "first_keys")
+    return dealt.select(
+        F.pmod(F.xxhash64("key", "tile.i", "tile.j"), F.lit(bins)).cast("int").alias("bin"),
+        "key", "tile.i", "tile.j", "tile.role", "node", "component", (F.col("component") == F.col("main")).alias("inner"), "n", "sketch",
+        "first_keys",
+    )
+
+
+def _fold(words: np.ndarray, to: int) -> np.ndarray:
+    """Sketches ``(word, row)`` as if they had been made with ``to`` words."""
+    while len(words) > to:
+        words = words[: len(words) // 2] ^ words[len(words) // 2 :]
+    return words
+
+
+def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values, and the start and length of each list."""
+    lists = column.combine_chunks()
+    bounds = lists.offsets.to_numpy()
+    return np.asarray(lists.values), bounds[:-1], np.diff(bounds)
+
+
+def _met(percent: int):
+    def met(table: pa.Table) -> pa.Table:
+        """Pairs of the tiles of one bin that may link."""
+        table = table.combine_chunks()
+        whole = lambda name: table.column(name).to_numpy()
+        values, starts, words = _lists(table.column("sketch"))
+        values = values.view(np.uint64)
+        key, i, j = whole("key"), whole("i"), whole("j")
+        # Tile by tile, and in a tile by the length of sketches.
+        order = np.lexsort((words, j, i, key))
+        key, i, j, words, starts = key[order], i[order], j[order], words[order], starts[order]
+        node, component, n, role = (whole(x)[order] for x in ("node", "component", "n", "role"))
+        n, inner = n.astype(np.int64), whole("inner")[order]
+        firsts, upto = np.zeros((len(key), FIRST_KEYS), np.int64), np.zeros(len(key), np.int64)
+        known, begin, upto[:] = _lists(table.column("first_keys"))
+        for k in range(FIRST_KEYS):
+            firsts[upto > k, k] = known[begin[upto > k] + k]
+        firsts, upto = firsts[order], upto[order]
+        change = np.concatenate([[True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
+        runs = np.flatnonzero(change | np.concatenate([[True], words[1:] != words[:-1]]))
+        tile = np.cumsum(change)[runs]
+        runs = np.append(runs, len(key))
+        found, size_found = [np.zeros((0, 2), np.int64)], 0
+
+        def here(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            """Whether a pair is given by this signature: the smallest that both ends have among
+            their first ones, or any if they have none in common there."""
+            has = lambda x: (np.arange(FIRST_KEYS) < upto[x, None])
+            common = ((firsts[a][:, :, None] == firsts[b][:, None, :]) & has(b)[:, None, :]).any(axis=2) & has(a)
+            return ~common.any(axis=1) | (firsts[a, common.argmax(axis=1)] == key[a])
+
+        def test(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray) -> None:
+            """Members outside the main component against all, some rows at a time."""
+            nonlocal found, size_found
+            size = min(len(x), len(y))
+            x, y = _fold(x, size), _fold(y, size)
+            step = max(1, WORDS_AT_ONCE // (size * len(b)))
+            for at in range(0, len(a), step):
+                c = a[at : at + step]
+                flips = np.bitwise_count(x[:, at : at + step, None] ^ y[:, None, :]).sum(axis=0, dtype=np.int64)
+                na, nb = n[c, None], n[None, b]
+                close = flips * (100 + percent) <= (na + nb) * (100 - percent)
+                close &= np.minimum(na, nb) * 100 >= np.maximum(na, nb) * percent
+                close &= (component[c, None] != component[None, b]) & (inner[None, b] | (node[c, None] < node[None, b]))
+                p, q = np.nonzero(close)
+                if len(p):
+                    p, q = c[p], b[q]
+                    given = here(p, q)
+                    p, q = node[p[given]], node[q[given]]
+                    found.append(np.column_stack([np.minimum(p, q), np.maximum(p, q)]))
+                    size_found += len(p)
+                if size_found > PAIRS_AT_ONCE:
+                    found = [np.unique(np.concatenate(found), axis=0)]
+                    size_found = 0
+
+        at = 0
+        while at < len(tile):
+            end = int(np.searchsorted(tile, tile[at], "right"))
+            outer, members = [], []
+            for first, last in zip(runs[at:end], runs[at + 1 : end + 1]):
+                rows = np.arange(first, last)
+                sketch = values[starts[rows] + np.arange(words[first])[:, None]]
+                for side, bit in ((outer, 1), (members, 2)):
+                    asked = (role[first:last] & bit) > 0
+                    if asked.any():
+                        side.append((rows[asked], np.ascontiguousarray(sketch[:, asked])))
+            for a, x in outer:
+                for b, y in members:
+                    test(a, x, b, y)
+            at = end
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return met
+
+
 def _across(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs of one signature in different components that may link, whatever their number:
     the members outside the main component against all others.
 
-    Copies share many signatures. A pair comes out of the smallest one of the ``FIRST_KEYS``
-    that each end has first, if they share one of those, and else wherever it meets.
+    The sketches of a tile are compared as blocks of numbers: no row is made for a pair that
+    is dropped. Copies share many signatures. A pair comes out of the smallest one of the
+    ``FIRST_KEYS`` that each end has first, if they share one of those, and else wherever it meets.
     """
-    firsts = F.slice(F.array_sort(F.collect_set("key")), 1, FIRST_KEYS).alias("firsts")
-    rows = rows.join(rows.groupBy(F.col("node").alias("_node")).agg(firsts), F.col("node") == F.col("_node")).drop("_node")
-    one = rows.filter("component <> main").select(
-        "key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("sketch").alias("sa"),
-        F.col("firsts").alias("fa"),
-    )
-    two = rows.select(
-        "key", F.col("node").alias("b"), F.col("component").alias("cb"), (F.col("component") == F.col("main")).alias("mb"),
-        F.col("n").alias("nb"), F.col("sketch").alias("sb"), F.col("firsts").alias("fb"),
-    )
-    common = F.array_intersect("fa", "fb")
-    here = (F.size(common) == 0) | (F.array_min(common) == F.col("key"))
-    met = one.join(two, "key").filter("ca <> cb and (mb or a < b)").filter(_may_link(percent) & here)
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return _tiled(rows).groupBy("bin").applyInArrow(tidy_group(_met(percent)), "a long, b long").distinct()
 
 
 def _between(pairs: DataFrame, groups: DataFrame) -> DataFrame:

@@ -147,6 +147,43 @@ def test_signatures_shared_by_many_components(spark):
     assert found == dict(enumerate(label)) and len(set(label)) == 50
 
 
+def test_members_of_a_signature_are_tested_in_tiles(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    sets = []
+    for size in [3, 3, 100, 118, 131, 150] * 4:
+        base = np.unique(rng.integers(0, 1 << 62, size).astype(np.uint64))
+        for away in [0, 1, size // 12, size // 8, size // 5, size // 3]:
+            new = rng.integers(0, 1 << 62, away // 2).astype(np.uint64)
+            sets.append(np.unique(np.concatenate([rng.permutation(base)[away:], new])))
+    sketches = [partenum._sketch(x) for x in sets]
+    assert len({len(s) for s in sketches}) == 2  # some pairs need folding
+    # One signature of all, of which every third is in the main component; one of a few; one without.
+    lists = [(1, range(len(sets)), 0), (2, range(0, len(sets), 7), 7), (3, range(4), 0)]
+    part = lambda key, i, main: main if i % 3 == main % 3 and key != 3 else 6 * (i // 6)
+    rows = [(key, i, part(key, i, main), main, len(sets[i]), sketches[i].tolist()) for key, of, main in lists for i in of]
+    want = set()
+    for key, a, ca, main, na, sa in rows:
+        for other, b, cb, _, nb, sb in rows:
+            short = min(len(sa), len(sb))
+            fold = lambda s: np.bitwise_xor.reduce(np.reshape(s, (-1, short)))  # noqa: E731, B023
+            if key == other and ca != main and ca != cb and min(na, nb) * 100 >= max(na, nb) * 80:
+                flips = int(np.bitwise_count((fold(sa) ^ fold(sb)).view(np.uint64)).sum())
+                if flips * 180 <= (na + nb) * 20:
+                    want.add((min(a, b), max(a, b)))
+    assert len(want) > 10
+    frame = spark.createDataFrame(rows, "key long, node long, component long, main long, n int, sketch array<long>")
+    firsts = F.array_sort(F.collect_set("key")).alias("first_keys")
+    frame = frame.join(frame.groupBy("node").agg(firsts), "node")
+    for side in (4096, 16, 1):
+        monkeypatch.setattr(partenum, "TILE_ROWS", side, raising=False)
+        met = partenum._across(frame, 80)
+        found = [(r[0], r[1]) for r in met.collect()]
+        assert len(found) == len(want) and set(found) == want
+        # A pair that is dropped is never a row.
+        assert "bit_count" not in met._jdf.queryExecution().toString()
+    assert partenum._across(frame.limit(0), 80).count() == 0
+
+
 def repeats_by_force(rows, width=13):
     known = {}
     for i, text in sorted(rows):
